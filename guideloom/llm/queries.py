@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality
+from . import language, mixing, quality, secrets, tiff
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +23,24 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed", "kept", *[F.round(c, 6).alias(c) for c in quality.MEASURES])
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality)}
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: base counts, their digest, and all spans."""
+    return secrets.digest(_documents(spark, sf_dir))
+
+
+def op9_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as TIFF pages and read back."""
+    return tiff.store_and_read(_documents(spark, sf_dir))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document; a quarter of the documents, by checksum of the id, is never learned from."""
+    docs = _documents(spark, sf_dir)
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    dictionaries = language.learn(docs, ~F.coalesce(held_out, F.lit(False)))
+    judged = language.identify(docs.withColumn("held_out", F.coalesce(held_out, F.lit(False))), dictionaries, keep=("held_out",))
+    return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
+
+
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op7_secrets, op9_tiff, op10_language)}
 ORACLES: dict[str, str] = {}
