@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, quality, secrets, tiff
+from . import language, mixing, oracles, quality, secrets, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,18 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(_documents(spark, sf_dir))
 
 
+#: Fixed values: (verdict, host, start of the path), and the names of hosts whose URLs make the list.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+LISTED_HOSTS = r"(^|\.)(spam-farm|cheap-pills)\."
+
+
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL. The list: canonical URLs of the pages on hosts with a blocked name."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    listed = pages.filter(urls.host_of(F.col("url")).rlike(LISTED_HOSTS)).select(urls.canonical(F.col("url")).alias("canon"))
+    return urls.url_filter(pages, listed, URL_RULES)
+
+
 def op9_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as TIFF pages and read back."""
     return tiff.store_and_read(_documents(spark, sf_dir))
@@ -42,5 +54,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op7_secrets, op9_tiff, op10_language)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op7_secrets, op8_urls, op9_tiff, op10_language)}
+ORACLES = oracles.ORACLES
