@@ -21,4 +21,21 @@ FROM c LEFT JOIN fit f ON f.n = 1 AND f.page_id IS NOT DISTINCT FROM c.page_id A
 LEFT JOIN listed l ON l.canon = c.canon
 """
 
-ORACLES = {"op8_urls": OP8}
+OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+sh AS (
+  SELECT doc_id, unnest(list_distinct(CASE WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS s FROM w),
+ids AS (SELECT s, dense_rank() OVER (ORDER BY s) AS v FROM (SELECT s FROM sh GROUP BY s HAVING count(*) > 1) m),
+few AS (SELECT sh.doc_id, ids.v FROM sh JOIN ids USING (s)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM few a JOIN few b ON a.v = b.v AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a, a AS r FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.r = edges.a),
+comp AS (SELECT a, min(r) AS c FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, d.doc_id) AS component_id, d.doc_id = coalesce(comp.c, d.doc_id) AS kept
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.a = d.doc_id
+"""
+
+ORACLES = {"op3_near_dedup": OP3, "op8_urls": OP8}

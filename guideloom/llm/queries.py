@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, oracles, packing, quality, secrets, tiff, urls
+from . import language, mixing, near_dedup, oracles, packing, quality, secrets, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed", "kept", *[F.round(c, 6).alias(c) for c in quality.MEASURES])
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents: three-word shingles, Jaccard of 85 % or more."""
+    return near_dedup.near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
@@ -59,5 +64,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op5_packing, op7_secrets, op8_urls, op9_tiff, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op5_packing, op7_secrets, op8_urls, op9_tiff, op10_language)}
 ORACLES = oracles.ORACLES
