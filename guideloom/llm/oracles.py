@@ -1,5 +1,7 @@
 """DuckDB SQL of the registered queries that SQL can express, by plain means and without the operators' filters."""
 
+from .licenses import TEMPLATES
+
 OP8 = r"""
 WITH p AS (
   SELECT page_id, url,
@@ -38,4 +40,24 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, d.doc_id) AS c
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.a = d.doc_id
 """
 
-ORACLES = {"op3_near_dedup": OP3, "op8_urls": OP8}
+_NOTICES = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+
+OP6 = rf"""
+WITH low AS (SELECT doc_id, row_number() OVER () AS r, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, r, list_filter(regexp_split_to_array(t, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words FROM low),
+phrases(phrase, label, k) AS (VALUES ('under the mit license', 'mit', 4), ('apache license version 2', 'apache-2', 4), ('cc by nc', 'cc-by-nc', 3)),
+place AS (SELECT r, label, unnest(list_filter(range(0, len(words)), lambda i: array_to_string(words[i + 1:i + k], ' ') = phrase)) AS p FROM w, phrases),
+base AS (SELECT r, count(*) AS n, min(p) AS a, max(p) AS z, list_sort(list_distinct(list(label))) AS labels FROM place GROUP BY r),
+notices(label, notice) AS (VALUES {_NOTICES}),
+n AS (SELECT label, list_distinct(list_filter(regexp_split_to_array(translate(notice, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS s FROM notices),
+block AS (SELECT r, list_distinct(words[32 * b + 1:32 * b + 64]) AS s FROM (SELECT r, words, unnest(range(0, (len(words) - 1) // 32 + 1)) AS b FROM w WHERE len(words) > 0)),
+met AS (SELECT r, label, len(list_intersect(block.s, n.s)) / len(n.s) AS share FROM block, n WHERE len(list_intersect(block.s, n.s)) >= ceil(0.8 * len(n.s) - 1e-9)),
+more AS (SELECT r, list_distinct(list(label)) AS labels, max(share) AS share FROM met GROUP BY r)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, base.a::BIGINT AS first_word, base.z::BIGINT AS last_word,
+       coalesce(array_to_string(base.labels, ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(base.labels, []), coalesce(more.labels, [])))), ',') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE round(coalesce(more.share, 0.0)::DOUBLE, 6) END AS score
+FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)
+"""
+
+ORACLES = {"op3_near_dedup": OP3, "op6_licenses": OP6, "op8_urls": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dedup, oracles, packing, quality, secrets, tiff, urls
+from . import language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +33,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
 
 
+#: Phrase and label.
+LICENSE_PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
+
+
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.license_scan(_documents(spark, sf_dir), LICENSE_PHRASES)
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document: base counts, their digest, and all spans."""
     return secrets.digest(_documents(spark, sf_dir))
@@ -64,5 +73,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op5_packing, op7_secrets, op8_urls, op9_tiff, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
 ORACLES = oracles.ORACLES
