@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, tiff, urls
+from . import language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, suffix_dedup, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_documents(spark, sf_dir), width=3, percent=85)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of 100-byte strings that start earlier."""
+    return suffix_dedup.without_repeats(_documents(spark, sf_dir), span=100)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 4096 tokens."""
     return packing.pack(packing.pieces(_documents(spark, sf_dir)))
@@ -73,5 +78,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
 ORACLES = oracles.ORACLES
