@@ -193,3 +193,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     keyed = sets.select("doc_id", "n_shingles", F.coalesce("set_id", F.unhex(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))).alias("key"))
     out = keyed.join(named, "key", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without all but the first of each near-duplicate group; columns as in docs. Rows without an id stay."""
+    found = near_duplicates(docs, width, percent, k, id_col, text_col)
+    found = staged(found, "near-found")
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias(id_col))
+    left = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, id_col, "left_anti")
+    if found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates([id_col, text_col])
+    return left.select(docs.columns)

@@ -119,26 +119,41 @@ def main_script(texts: pa.Array) -> list[str]:
     return np.where(2 * latin >= letters, "latin", "other").tolist()
 
 
-def quality(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BANDS, vocabulary: str | None = None, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, keep: tuple[str, ...] = (), id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """One row a document: doc_id, the counts, base_failed, kept, the measures and the band used. keep: further columns of docs to carry."""
+def verdicts(texts: pa.Array, langs: list[str | None], bands: dict, script_bands: dict, vocabulary: str, min_words: int, max_repeat_percent: int) -> dict:
+    """Counts, measures, band, base_failed and kept of each text."""
+    m = measure(texts, vocabulary)
+    m["base_failed"] = (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat_percent * m["n_words"])
+    names = langs if all(x in bands for x in langs) else [x if x in bands else s for x, s in zip(langs, main_script(texts), strict=True)]
+    low, high, byte, entropy = np.array([bands.get(x) or script_bands[x] for x in names]).T
+    top = np.log2(np.maximum(m["n_tokens"], 2))
+    good = (m["chars_per_token"] >= low) & (m["chars_per_token"] <= high) & (m["byte_share"] <= byte) & (m["token_entropy"] >= entropy * top)
+    return m | {"kept": ~m["base_failed"] & good, "band": names}
+
+
+def quality(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BANDS, vocabulary: str | None = None, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+    """One row a document: doc_id, the counts, base_failed, kept, the measures and the band used."""
     vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
-    lang = F.col(lang_col) if lang_col else F.lit(None).cast("string")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), lang.cast("string").alias("_lang"), *[F.col(c).alias(f"_keep_{c}") for c in keep])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("_text", "_lang")]
-    schema = ", ".join([*fields, *[f"{c} long" for c in COUNTS], "base_failed boolean, kept boolean, band string", *[f"{c} double" for c in MEASURES]])
+    lang = F.col(lang_col) if lang_col else F.lit(None)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), lang.cast("string").alias("_lang"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in COUNTS], "base_failed boolean, kept boolean, band string", *[f"{c} double" for c in MEASURES]])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
-            texts, langs = texts_of(batch, "_text"), batch.column("_lang").to_pylist()
-            m = measure(texts, vocabulary)
-            failed = (m["n_words"] < min_words) | (100 * m["n_repeat_words"] > max_repeat_percent * m["n_words"])
-            names = langs if all(x in bands for x in langs) else [x if x in bands else s for x, s in zip(langs, main_script(texts), strict=True)]
-            low, high, byte, entropy = np.array([bands.get(x) or script_bands[x] for x in names]).T
-            top = np.log2(np.maximum(m["n_tokens"], 2))
-            good = (m["chars_per_token"] >= low) & (m["chars_per_token"] <= high) & (m["byte_share"] <= byte) & (m["token_entropy"] >= entropy * top)
-            carried = [batch.column(i) for i, f in enumerate(batch.schema) if f.name not in ("_text", "_lang")]
-            names_of = [f.name for f in batch.schema if f.name not in ("_text", "_lang")]
-            new = {c: pa.array(m[c]) for c in COUNTS} | {"base_failed": pa.array(failed), "kept": pa.array(~failed & good), "band": pa.array(names)} | {c: pa.array(m[c]) for c in MEASURES}
-            yield pa.RecordBatch.from_arrays([*carried, *new.values()], names=[*names_of, *new])
+            v = verdicts(texts_of(batch, "_text"), batch.column("_lang").to_pylist(), bands, script_bands, vocabulary, min_words, max_repeat_percent)
+            names = [*COUNTS, "base_failed", "kept", "band", *MEASURES]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(v[c]) for c in names]], names=["doc_id", *names])
 
     return rows.mapInArrow(judge, schema)
+
+
+def kept_documents(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BANDS, vocabulary: str | None = None, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The documents that the rules keep; columns as in docs."""
+    vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            v = verdicts(texts_of(batch, text_col), batch.column(lang_col).to_pylist(), bands, script_bands, vocabulary, min_words, max_repeat_percent)
+            yield batch.filter(pa.array(v["kept"]))
+
+    return docs.mapInArrow(keep, docs.schema)
