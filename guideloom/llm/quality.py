@@ -40,6 +40,8 @@ BANDS = {
 #: The same by script, for languages without a band.
 SCRIPT_BANDS = {"latin": (1.2, 8.0, 0.05, 0.30), "other": (0.25, 6.0, 0.75, 0.25)}
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: Short texts say less: the lower bound on characters per token sinks by this over the root of the words.
+SLACK = 1.5
 #: Byte pieces of the vocabulary have these ids.
 BYTE_IDS = (3, 258)
 
@@ -126,6 +128,7 @@ def verdicts(texts: pa.Array, langs: list[str | None], bands: dict, script_bands
     names = langs if all(x in bands for x in langs) else [x if x in bands else s for x, s in zip(langs, main_script(texts), strict=True)]
     low, high, byte, entropy = np.array([bands.get(x) or script_bands[x] for x in names]).T
     top = np.log2(np.maximum(m["n_tokens"], 2))
+    low = low - SLACK / np.sqrt(np.maximum(m["n_words"], 1))
     good = (m["chars_per_token"] >= low) & (m["chars_per_token"] <= high) & (m["byte_share"] <= byte) & (m["token_entropy"] >= entropy * top)
     return m | {"kept": ~m["base_failed"] & good, "band": names}
 
