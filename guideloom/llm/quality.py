@@ -32,16 +32,16 @@ from .shared import WordTokens, flat_words, gather, slices, sums, texts_of
 SYMBOLS = r"[#*$%&|<>]"
 #: Least and most characters per token, most byte-fallback share, least entropy a token in proportion to the highest possible.
 BANDS = {
-    "en": (2.0, 8.0, 0.02, 0.30),
-    "de": (2.0, 8.0, 0.02, 0.30),
-    "fr": (1.75, 8.0, 0.02, 0.30),
-    "es": (1.7, 8.0, 0.02, 0.30),
+    "en": (2.05, 8.0, 0.02, 0.30),
+    "de": (2.05, 8.0, 0.02, 0.30),
+    "fr": (1.84, 8.0, 0.02, 0.30),
+    "es": (1.79, 8.0, 0.02, 0.30),
 }
 #: The same by script, for languages without a band.
 SCRIPT_BANDS = {"latin": (1.2, 8.0, 0.05, 0.30), "other": (0.25, 6.0, 0.75, 0.25)}
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Short texts say less: the lower bound on characters per token sinks by this over the root of the words.
-SLACK = 1.5
+SLACK = 2.0
 #: Byte pieces of the vocabulary have these ids.
 BYTE_IDS = (3, 258)
 

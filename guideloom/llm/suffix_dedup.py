@@ -227,19 +227,21 @@ def _surroundings(raw: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.nda
     return np.where((index >= low[:, None]) & (index < high[:, None]), raw[np.clip(index, 0, len(raw) - 1)], 0).astype(np.uint8)
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(seq, doc_id, text): seq orders the documents. The id itself if it is a whole number, never null and never repeated; else numbers along a range sort."""
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """Rows (seq, doc_id, text), and the same with each seq once: seq orders the documents. The id itself if it is a whole number, never null and never repeated; else numbers along a range sort."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     if rows.schema["doc_id"].dataType.typeName() in ("long", "integer", "short", "byte"):
         repeated = rows.groupBy("doc_id").count().filter("count > 1 or doc_id is null").limit(1).count()
         if not repeated:
-            return rows.select(F.col("doc_id").cast("long").alias("seq"), "doc_id", "text")
+            rows = rows.select(F.col("doc_id").cast("long").alias("seq"), "doc_id", "text")
+            return rows, rows
     rows = rows.withColumn("h", F.xxhash64("text"))
     distinct = rows.select("doc_id", "h").distinct()
     by = [F.col("doc_id").asc_nulls_last(), F.col("h")]
     numbers = staged(distinct.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("seq", F.monotonically_increasing_id()), "suffix-order")
     r, n = rows.alias("r"), numbers.alias("n")
-    return staged(r.join(n, F.col("r.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("r.h") == F.col("n.h"))).select("seq", "r.doc_id", "text"), "suffix-documents")
+    joined = staged(r.join(n, F.col("r.doc_id").eqNullSafe(F.col("n.doc_id")) & (F.col("r.h") == F.col("n.h"))).select("seq", "r.doc_id", "text"), "suffix-documents")
+    return joined, joined.dropDuplicates(["seq"])
 
 
 def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
@@ -280,8 +282,6 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                 first[np.unique(_key(h, before * 1024 + after, context), return_index=True)[1]] = True
                 again = ~first
                 seq = np.array(seqs, dtype=np.int64)[d]
-                if len(set(seqs)) < len(seqs):  # the same document again says nothing
-                    again &= ~np.r_[False, (seq[1:] == seq[:-1]) & (p[1:] == p[:-1])]
                 bodies = np.ascontiguousarray(context).tobytes()
                 width = span + reach
                 body = [b"" if x else bodies[k * width : (k + 1) * width] for k, x in enumerate(again.tolist())]
@@ -307,10 +307,9 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                     rows = [np.r_[a, b] for a, b in zip(held[:5], rows, strict=True)]
                     context = np.concatenate([held[5], context])
                 h, s, p, bf, af = rows
-                same = np.r_[False, (h[1:] == h[:-1]) & (s[1:] == s[:-1]) & (p[1:] == p[:-1])]
                 first = np.zeros(len(h), dtype=bool)
                 first[np.unique(_key(h, bf * 1024 + af, context), return_index=True)[1]] = True
-                whole = ~first & ~same & ~told & (bf + af >= span)
+                whole = ~first & ~told & (bf + af >= span)
                 out.append((s[whole], (p - bf)[whole], (p + af)[whole]))
                 d = np.flatnonzero(first)
                 group = h[d]
@@ -336,8 +335,8 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
 
 def without_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes that stay)."""
-    rows = numbered(docs, id_col, text_col)
-    spans = repeated_spans(rows, span).groupBy("seq").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    rows, once = numbered(docs, id_col, text_col)
+    spans = repeated_spans(once, span).groupBy("seq").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

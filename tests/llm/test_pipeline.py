@@ -1,0 +1,23 @@
+import corpus_pipeline
+from guideloom.llm import near_dedup, packing, quality
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_stages_take_effect(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, tables = docs.columns, [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        tables.append(stage(spark, tables[-1], SF).cache())
+    assert [len(corpus_pipeline.STAGES)] == [5] and all(t.columns == columns for t in tables[:-1])
+    ids = [sorted(r[0] for r in t.select("doc_id").collect()) for t in tables]
+    assert ids[1] == sorted(r["doc_id"] for r in quality.quality(docs).filter("kept").collect())
+    assert ids[2] == sorted(r["doc_id"] for r in near_dedup.near_duplicates(tables[1]).filter("kept").collect())
+    assert ids[3] == ids[2] and set(ids[4]) <= set(ids[3])
+    assert sorted(map(tuple, packing.pieces(tables[4]).collect())) == sorted(tuple(r)[:5] for r in tables[5].collect())
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, tables[5].collect()))
+
+
+def test_empty_table(spark, tmp_path):
+    spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
