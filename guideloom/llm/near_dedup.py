@@ -5,12 +5,14 @@
 2. Inverted lists of the retained values. Two sets that are similar enough share at least
    `least_overlap` retained values, so each class needs lists only for its rarest values,
    all but that many; a class whose rarest values are its own alone needs none.
-3. From each list come pairs with the first class of the list; an estimate from the
-   sketch of the union drops most wrong pairs, and the exact Jaccard of the full sets
-   decides. Lists whose other classes then still lie in different groups are searched for
-   all pairs across groups, with the estimate inside the join, so that only likely pairs
-   leave it. Pairs inside a group are never listed: a group of n near copies costs n pairs
-   a list, not n * n.
+3. From each list come pairs with its most central class, the one with the least share of
+   values of its own; an estimate from the sketch of the union drops most wrong pairs, and
+   the exact Jaccard of the full sets decides. Where the other classes of a list then still
+   lie in different groups, those classes get lists again, now from their full sets, and
+   are paired across groups only. There the count of shingles that no other open class
+   has, known exactly, bounds the overlap: a copy with too many edits of its own to be
+   like any other leaves no pair. Pairs inside a group are never listed: n near copies
+   cost n pairs a list, not n * n.
 4. Groups are the connected components of the links, by rounds of joins on staged tables.
 
 Shingles are compared as 63-bit hashes. The estimate and the overlap allow six standard
@@ -98,17 +100,18 @@ def least_overlap(n: Column, threshold: float, k: int) -> Column:
     return F.when(n <= math.floor(k * threshold), F.ceil(n * threshold - 1e-9)).otherwise(F.lit(max(1, sampled))).cast("int")
 
 
-def rarest_values(classes: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(value, node, n): the lists in which a class stands: its rarest values, as many as it may lack in common, without those of no other class."""
-    each = classes.select("node", F.explode("values").alias("value"))
+def rarest_values(sets: DataFrame, least: Column) -> DataFrame:
+    """(value, node, n, held, own, place): the lists in which a set stands: its rarest values, all but `least` of them and one, without those of no other set.
+
+    sets: (node, n, values). held: its values, own: those of no other, place: that of the value among the rest, rarest first."""
+    each = sets.select("node", F.explode("values").alias("value"))
     shared = each.groupBy("value").count().filter(F.col("count") > 1)
-    ours = each.join(shared, "value")
     place = F.row_number().over(Window.partitionBy("node").orderBy("count", "value"))
-    among = F.count("*").over(Window.partitionBy("node"))
-    ranked = ours.withColumn("place", place).withColumn("among", among)
-    size = F.size("values")
-    sized = classes.select("node", F.col("n_shingles").alias("n"), size.alias("kept_values"), (size - least_overlap(F.col("n_shingles"), threshold, k) + 1).alias("needed"))
-    return ranked.join(sized, "node").filter(F.col("kept_values") - F.col("among") + F.col("place") <= F.col("needed")).select("value", "node", "n")
+    ranked = each.join(shared, "value").withColumn("place", place).withColumn("among", F.count("*").over(Window.partitionBy("node")))
+    held = F.size("values")
+    sized = sets.select("node", "n", held.alias("held"), (held - least + 1).alias("needed"))
+    ranked = ranked.join(sized, "node").withColumn("own", F.col("held") - F.col("among"))
+    return ranked.filter(F.col("own") + F.col("place") <= F.col("needed")).select("value", "node", "n", "held", "own", "place")
 
 
 def similar_length(a: Column, b: Column, percent: int) -> Column:
@@ -124,29 +127,47 @@ def may_be_similar(a: Column, b: Column, threshold: float, k: int) -> Column:
     return common >= (threshold - slack) * of
 
 
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
+    """(node, values): the full sets of classes, made again from the texts of their first documents."""
+    wanted = staged(nodes.join(classes.select("node", F.col("first").alias("doc"), F.col("set_id").alias("wanted")), "node"), "near-wanted")
+    ids = wanted.select("doc").distinct()
+    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    texts = texts.join(F.broadcast(ids) if wanted.count() <= MAX_BROADCAST_IDS else ids, "doc", "left_semi")
+    made = shingle_sets(texts, width, None, "doc", "text").join(wanted, "doc").filter(F.col("set_id") == F.col("wanted"))
+    return staged(made.groupBy("node").agg(F.first("values").alias("values")), "near-full-sets")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, k: int, width: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) of classes whose full sets reach percent. Sets within the sketch are compared at once, others are made again from their texts."""
     threshold = percent / 100
-    left = classes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("values").alias("v_a"))
-    right = classes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("values").alias("v_b"))
+    left = classes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("values").alias("v_a"))
+    right = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("values").alias("v_b"))
     likely = staged(pairs.join(left, "a").join(right, "b").filter(may_be_similar(F.col("v_a"), F.col("v_b"), threshold, k)).select("a", "b", (F.greatest("n_a", "n_b") <= k).alias("whole"), F.size(F.array_intersect("v_a", "v_b")).alias("common"), "n_a", "n_b"), "near-likely")
     reaches = 100 * F.col("common") >= percent * (F.col("n_a") + F.col("n_b") - F.col("common"))
     short = likely.filter(F.col("whole") & reaches).select("a", "b")
-
     long = likely.filter(~F.col("whole")).select("a", "b", "n_a", "n_b")
-    wanted = staged(long.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", F.col("first").alias("doc"), F.col("set_id").alias("wanted")), "node"), "near-wanted")
-    n = wanted.count()
-    if not n:
+    if not long.limit(1).count():
         return staged(short, "near-links")
-    ids = wanted.select("doc").distinct()
-    texts = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")).join(F.broadcast(ids) if n <= MAX_BROADCAST_IDS else ids, "doc", "left_semi")
-    full = shingle_sets(texts, width, None, "doc", "text").join(wanted, "doc").filter(F.col("set_id") == F.col("wanted")).groupBy("node").agg(F.first("values").alias("values"))
-    full = staged(full, "near-full-sets")
+    full = full_sets(long.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, docs, width, id_col, text_col)
     met = long.join(full.select(F.col("node").alias("a"), F.col("values").alias("v_a")), "a").join(full.select(F.col("node").alias("b"), F.col("values").alias("v_b")), "b")
     met = met.withColumn("common", F.size(F.array_intersect("v_a", "v_b"))).filter(reaches).select("a", "b")
     return staged(short.unionByName(met), "near-links")
 
 
+def pairs_across(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of different groups that share one of their rarest shingles and whose bounds allow the similarity. live: (node, n, label), sets: their full sets."""
+    lists = rarest_values(live.join(sets, "node").select("node", "n", "values"), F.ceil(F.col("n") * (percent / 100) - 1e-9))
+    lists = staged(lists.join(live.select("node", "label"), "node"), "near-open-lists")
+    x, y = lists.alias("x"), lists.alias("y")
+    both = F.col("x.n") + F.col("y.n")
+    # overlap: no more than either shares with anyone, nor than what comes from this place on
+    most = F.least(F.col("x.n") - F.col("x.own"), F.col("y.n") - F.col("y.own"))
+    onward = 1 + F.least(F.col("x.n") - F.col("x.own") - F.col("x.place"), F.col("y.n") - F.col("y.own") - F.col("y.place"))
+    enough = lambda overlap: 100 * overlap >= percent * (both - overlap)
+    on = (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & similar_length(F.col("x.n"), F.col("y.n"), percent) & enough(most) & enough(onward)
+    return staged(x.join(y, on).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "near-across")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of the edges (a, b) reaches. Rounds of joins: the least label around, then the label of the label."""
     both = staged(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "cc-edges")
@@ -166,26 +187,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
     """One row a document: doc_id, n_shingles, component_id (the smallest id in its group), kept (it has that id)."""
     threshold = percent / 100
     sets = staged(shingle_sets(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), width, k, "doc_id", "text"), "near-sets")
-    classes = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n_shingles"), F.first("values").alias("values"))
+    classes = sets.filter("set_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("first"), F.first("n_shingles").alias("n"), F.first("values").alias("values"))
     classes = staged(classes.withColumn("node", F.monotonically_increasing_id()), "near-classes")
 
-    lists = staged(rarest_values(classes, threshold, k), "near-lists")
-    heads = lists.groupBy("value").agg(F.min(F.struct("node", "n")).alias("head"))
-    headed = lists.join(heads, "value")
-    pairs = headed.filter((F.col("head.node") != F.col("node")) & similar_length(F.col("n"), F.col("head.n"), percent)).select(F.col("head.node").alias("a"), F.col("node").alias("b")).distinct()
+    lists = staged(rarest_values(classes, least_overlap(F.col("n"), threshold, k)).withColumn("share", F.col("own") / F.col("held")).select("value", "node", "n", "share"), "near-lists")
+    heads = lists.groupBy("value").agg(F.min(F.struct("share", "node", "n")).alias("head"))
+    headed = lists.join(heads, "value").filter(F.col("head.node") != F.col("node"))
+    pairs = headed.filter(similar_length(F.col("n"), F.col("head.n"), percent)).select(F.least("node", "head.node").alias("a"), F.greatest("node", "head.node").alias("b")).distinct()
     links = verified(pairs, classes, docs, percent, k, width, id_col, text_col)
     labels = components(links)
 
-    # lists whose classes, but for the first, still lie in different groups
-    rest = headed.filter(F.col("head.node") != F.col("node")).join(labels, "node", "left").select("value", "node", "n", F.coalesce("label", "node").alias("label"))
+    # lists whose classes, but for the central one, still lie in different groups
+    rest = headed.join(labels, "node", "left").select("value", "node", "n", F.coalesce("label", "node").alias("label"))
     open_lists = rest.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("value")
-    live = staged(rest.join(open_lists, "value").join(classes.select("node", "values"), "node"), "near-live")
-    x, y = live.alias("x"), live.alias("y")
-    across = (F.col("x.value") == F.col("y.value")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & similar_length(F.col("x.n"), F.col("y.n"), percent) & may_be_similar(F.col("x.values"), F.col("y.values"), threshold, k)
-    more = staged(x.join(y, across).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct(), "near-more")
-    if more.limit(1).count():
-        links = staged(links.unionByName(verified(more, classes, docs, percent, k, width, id_col, text_col)), "near-all-links")
-        labels = components(links)
+    live = staged(rest.join(open_lists, "value").select("node", "n", "label").distinct(), "near-live")
+    if live.limit(1).count():
+        more = pairs_across(live, full_sets(live.select("node"), classes, docs, width, id_col, text_col), percent)
+        if more.limit(1).count():
+            links = staged(links.unionByName(verified(more, classes, docs, percent, k, width, id_col, text_col)), "near-all-links")
+            labels = components(links)
 
     named = classes.select("set_id", "first", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.groupBy("label").agg(F.min("first").alias("component"))
