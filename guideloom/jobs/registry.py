@@ -1,4 +1,6 @@
 """Registered queries and their SQL twins."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from guideloom.jobs.oracles import ORACLES
+from guideloom.jobs.queries import QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
