@@ -6,8 +6,10 @@ with a smaller id, or earlier in the same one. Strings never cross documents.
 1. Anchors. In each string of span bytes the places of the least hash of all its 32-byte
    grams are anchors: about one byte in 35. Equal strings have equal anchors at equal
    places, so whoever compares the surroundings of equal anchors misses nothing.
-2. Anchors whose hash stands alone are dropped; for the others the bytes around them are
-   cut out: as far as a string of span bytes through the anchor can reach.
+2. Surroundings are the bytes that a string of span bytes through the anchor can reach.
+   Of equal anchors with equal surroundings, by a 64-bit digest, all but the first repeat
+   throughout. What is left of an anchor that stands alone is dropped; where different
+   surroundings are left, their bytes are cut out.
 3. The surroundings of equal anchors are sorted twice, to the right of the anchor and
    backwards to its left: multikey quicksort to a shallow depth, then a blind trie for
    each group whose common prefix is longer. Two anchors share a string that starts o
@@ -17,12 +19,13 @@ with a smaller id, or earlier in the same one. Strings never cross documents.
 4. Marks are joined to stretches and cut from the text.
 
 Anchors, never whole suffixes, are shuffled by hash; the text is shuffled once, by
-document. One task holds the different surroundings of one anchor at a time.
+document, and that exchange serves twice. One task holds the different surroundings of one
+anchor at a time.
 
 Defined cases: null and empty texts and texts shorter than span lose nothing; rows that
 share an id are ordered by a hash of their text; rows that share id and text are one
 document and give equal rows; null ids come last; long runs of one pattern are anchors
-throughout, but only their first surroundings are shuffled.
+throughout, of which only the first surroundings are cut out.
 """
 
 from __future__ import annotations
@@ -54,12 +57,17 @@ FACTORS = [np.uint64(2 * int(x) + 1) for x in BYTE_HASHES[:8] >> np.uint64(1)]
 
 
 def gram_hashes(raw: np.ndarray, gram: int = GRAM) -> np.ndarray:
-    """A hash for each start of a gram (a power of two), put together from halves; never 0."""
-    h, size, level = BYTE_HASHES[raw], 1, 0
-    while size < gram:
-        h = h[:-size] * FACTORS[level] + h[size:]
+    """A hash for each start of a gram, put together from stretches that are powers of two; never 0."""
+    part, size, level, whole, done = BYTE_HASHES[raw], 1, 0, None, 0
+    while True:
+        if gram & size:
+            whole = part if whole is None else whole[: len(raw) - done - size + 1] * FACTORS[6] + part[done:]
+            done += size
+        if 2 * size > gram:
+            break
+        part = part[:-size] * FACTORS[level] + part[size:]
         size, level = 2 * size, level + 1
-    h ^= h >> np.uint64(32)
+    h = whole ^ (whole >> np.uint64(32))
     h *= FACTORS[7]
     h ^= h >> np.uint64(29)
     return h | np.uint64(1)
@@ -92,13 +100,13 @@ def anchors(raw: np.ndarray, ends: np.ndarray, span: int = SPAN, gram: int = GRA
     return places, h[places]
 
 
-def text_anchors(raw: np.ndarray, ends: np.ndarray, step: int = STEP_BYTES, span: int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+def text_anchors(raw: np.ndarray, ends: np.ndarray, step: int = STEP_BYTES, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
     """As anchors, in steps over the starts of strings, so that a very long text takes bounded memory."""
     found = []
     for a in range(0, max(1, len(raw)), step):
         b = min(len(raw), a + step + span - 1)
         cut = ends[(ends > a) & (ends < b)] - a
-        places, hashes = anchors(raw[a:b], np.r_[cut, b - a], span)
+        places, hashes = anchors(raw[a:b], np.r_[cut, b - a], span, gram)
         found.append((places + a, hashes))
     places, first = np.unique(np.concatenate([p for p, _ in found]), return_index=True)
     return places, np.concatenate([h for _, h in found])[first]
@@ -214,17 +222,29 @@ def repeated_around(group: np.ndarray, left: np.ndarray, before: np.ndarray, rig
     return least, most
 
 
-def _key(hashes: np.ndarray, before: np.ndarray, context: np.ndarray) -> np.ndarray:
-    """Rows as single values that are equal if hash, place of the anchor and bytes are."""
-    parts = [hashes.astype("<u8").view(np.uint8).reshape(-1, 8), before.astype("<u4").view(np.uint8).reshape(-1, 4), context]
-    whole = np.ascontiguousarray(np.concatenate(parts, axis=1))
-    return whole.view(np.dtype((np.void, whole.shape[1]))).ravel()
-
-
-def _surroundings(raw: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, span: int, gram: int) -> np.ndarray:
+def surroundings(raw: np.ndarray, at: np.ndarray, low: np.ndarray, high: np.ndarray, span: int, gram: int) -> np.ndarray:
     """Bytes from span - gram before to span after each place, zeros outside [low, high)."""
-    index = at[:, None] + np.arange(gram - span, span)
-    return np.where((index >= low[:, None]) & (index < high[:, None]), raw[np.clip(index, 0, len(raw) - 1)], 0).astype(np.uint8)
+    reach = span - gram
+    room = np.concatenate([np.zeros(reach, dtype=np.uint8), raw, np.zeros(span, dtype=np.uint8)])
+    out = np.lib.stride_tricks.sliding_window_view(room, reach + span)[at]
+    edge = np.flatnonzero((at - reach < low) | (at + span > high))
+    if len(edge):
+        place = at[edge, None] + np.arange(-reach, span)
+        out[edge] = np.where((place >= low[edge, None]) & (place < high[edge, None]), out[edge], 0)
+    return out
+
+
+def digests(rows: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of each row of bytes and of the numbers beside it."""
+    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), dtype=np.uint8)
+    wide[:, : rows.shape[1]] = rows
+    h = np.full(len(rows), FACTORS[0])
+    for word in [*wide.view("<u8").T, *(m.astype(np.uint64) for m in more)]:
+        h = (h ^ word) * FACTORS[1]
+        h ^= h >> np.uint64(29)
+        h = h * FACTORS[2]
+        h ^= h >> np.uint64(32)
+    return h
 
 
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -252,85 +272,65 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
         for batch in slices(batches, "text"):
             texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
             ends = np.cumsum([len(t) for t in texts])
-            places, hashes = text_anchors(np.frombuffer(b"".join(texts), dtype=np.uint8), ends, span=span)
-            of = np.searchsorted(ends, places, side="right")
-            seq = np.array(batch.column("seq").to_pylist(), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(seq[of]), pa.array(places - np.r_[0, ends][of])], names=["hash", "seq", "at"])
+            raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+            seqs = np.array(batch.column("seq").to_pylist(), dtype=np.int64)
+            all_places, all_hashes = text_anchors(raw, ends, span=span, gram=gram)
+            for a in range(0, len(all_places), STEP_ROWS):
+                places, hashes = all_places[a : a + STEP_ROWS], all_hashes[a : a + STEP_ROWS]
+                of = np.searchsorted(ends, places, side="right")
+                low, high = np.r_[0, ends][of], ends[of]
+                at, after = places - low, np.minimum(high - places, span)
+                digest = digests(surroundings(raw, places, low, high, span, gram), np.minimum(at, reach), after)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(seqs[of]), pa.array(at), pa.array(after.astype(np.int32))], names=["hash", "digest", "seq", "at", "after"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            seqs = batch.column("seq").to_pylist()
             marks = batch.column("marks")
-            texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
             counts = np.array([len(m) if m.is_valid else 0 for m in marks])
             if not counts.sum():
                 continue
+            texts = [t.encode() if t else b"" for t in batch.column("text").to_pylist()]
             ends = np.cumsum([len(t) for t in texts])
             starts = np.r_[0, ends[:-1]]
-            flat = marks.flatten()
-            at, hashes = flat.field("at").to_numpy(zero_copy_only=False), flat.field("hash").to_numpy(zero_copy_only=False)
-            of = np.repeat(np.arange(len(seqs)), counts)
-            order = np.lexsort((at, np.array(seqs, dtype=np.int64)[of]))
-            at, hashes, of = at[order], hashes[order], of[order]
             raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            for a in range(0, len(at), STEP_ROWS):
-                p, h, d = at[a : a + STEP_ROWS], hashes[a : a + STEP_ROWS], of[a : a + STEP_ROWS]
-                context = _surroundings(raw, p + starts[d], starts[d], ends[d], span, gram)
-                before, after = np.minimum(p, reach), np.minimum(ends[d] - starts[d] - p, span)
-                first = np.zeros(len(p), dtype=bool)
-                # lengths tell a byte 0 from what lies outside
-                first[np.unique(_key(h, before * 1024 + after, context), return_index=True)[1]] = True
-                again = ~first
-                seq = np.array(seqs, dtype=np.int64)[d]
-                bodies = np.ascontiguousarray(context).tobytes()
-                width = span + reach
-                body = [b"" if x else bodies[k * width : (k + 1) * width] for k, x in enumerate(again.tolist())]
-                spread = np.where(again, (seq * 31 + p) & 0xFFFFFF, h)
-                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(seq), pa.array(p), pa.array(before), pa.array(after), pa.array(body, type=pa.binary())], names=["hash", "seq", "at", "before", "after", "body"])
+            flat, seqs = marks.flatten(), np.array(batch.column("seq").to_pylist(), dtype=np.int64)
+            all_at, all_hashes, all_of = flat.field("at").to_numpy(zero_copy_only=False), flat.field("hash").to_numpy(zero_copy_only=False), np.repeat(np.arange(len(texts)), counts)
+            for a in range(0, len(all_at), STEP_ROWS):
+                at, of = all_at[a : a + STEP_ROWS], all_of[a : a + STEP_ROWS]
+                context = surroundings(raw, at + starts[of], starts[of], ends[of], span, gram)
+                after = np.minimum(ends[of] - starts[of] - at, span)
+                width = context.shape[1]
+                body = pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer((np.arange(len(at) + 1) * width).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(context))])
+                yield pa.RecordBatch.from_arrays([pa.array(all_hashes[a : a + STEP_ROWS]), pa.array(seqs[of]), pa.array(at), pa.array(after.astype(np.int32)), body], names=["hash", "seq", "at", "after", "body"])
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width, held = span + reach, None
+        held = None  # rows of the last group, which may go on in the next batch
         for batch in batches:
-            hashes, seq, at, before, after = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "seq", "at", "before", "after"))
-            body = batch.column("body")
-            again = np.array([len(b) == 0 for b in body.to_pylist()], dtype=bool)
-            low, high = [at[again] - before[again]], [at[again] + after[again]]
-            keep = before[again] + after[again] >= span
-            out = [(seq[again][keep], low[0][keep], high[0][keep])]
-            new = ~again
-            if new.any():
-                context = np.frombuffer(b"".join(b for b in body.to_pylist() if b), dtype=np.uint8).reshape(-1, width)
-                rows = [hashes[new], seq[new], at[new], before[new], after[new]]
-                told = np.zeros(int(new.sum()), dtype=bool)
-                if held is not None and held[0][0] == rows[0][0]:  # the group goes on: its earlier rows again
-                    told = np.r_[np.ones(len(held[0]), dtype=bool), told]
-                    rows = [np.r_[a, b] for a, b in zip(held[:5], rows, strict=True)]
-                    context = np.concatenate([held[5], context])
-                h, s, p, bf, af = rows
-                first = np.zeros(len(h), dtype=bool)
-                first[np.unique(_key(h, bf * 1024 + af, context), return_index=True)[1]] = True
-                whole = ~first & ~told & (bf + af >= span)
-                out.append((s[whole], (p - bf)[whole], (p + af)[whole]))
-                d = np.flatnonzero(first)
-                group = h[d]
-                alone = np.ones(len(d), dtype=bool)
-                alone[1:] &= group[1:] != group[:-1]
-                alone[:-1] &= group[1:] != group[:-1]
-                m = d[~alone]
-                if len(m):
-                    number = np.cumsum(np.r_[0, (h[m][1:] != h[m][:-1]).astype(np.int64)])
-                    least, most = repeated_around(number, np.ascontiguousarray(context[m, :reach][:, ::-1]), bf[m], np.ascontiguousarray(context[m, reach:]), af[m], span, gram)
-                    hit = (most >= 0) & ~told[m]
-                    out.append((s[m][hit], (p[m] - most)[hit], (p[m] - least + span)[hit]))
-                last = d[h[d] == h[-1]]
-                held = [x[last] for x in (h, s, p, bf, af)] + [context[last]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in out]).astype(np.int64)) for k in range(3)], names=["seq", "low", "high"])
-
-    found = docs.select("seq", "text").mapInArrow(find, "hash long, seq long, at long")
-    shared = found.withColumn("n", F.count("*").over(Window.partitionBy("hash"))).filter("n > 1")
-    marks = shared.groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
-    around = docs.join(marks, "seq", "left").mapInArrow(cut, "hash long, seq long, at long, before long, after long, body binary")
-    return around.repartition("hash").sortWithinPartitions("hash", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "seq", "at", "after")]
+            rows.append(np.frombuffer(b"".join(batch.column("body").to_pylist()), dtype=np.uint8).reshape(-1, span + reach))
+            told = 0
+            if held is not None and held[0][0] == rows[0][0]:
+                told = len(held[0])
+                rows = [np.concatenate([a, b]) for a, b in zip(held, rows, strict=True)]
+            hashes, seq, at, after, context = rows
+            group = np.cumsum(np.r_[0, (hashes[1:] != hashes[:-1]).astype(np.int64)])
+            least, most = repeated_around(group, np.ascontiguousarray(context[:, :reach][:, ::-1]), np.minimum(at, reach), np.ascontiguousarray(context[:, reach:]), after.astype(np.int64), span, gram)
+            hit = most >= 0
+            hit[:told] = False
+            held = [x[group == group[-1]] for x in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(seq[hit]), pa.array((at - most)[hit]), pa.array((at - least + span)[hit])], names=["seq", "low", "high"])
+
+    found = docs.select("seq", "text").mapInArrow(find, "hash long, digest long, seq long, at long, after int")
+    same = Window.partitionBy("hash", "digest").orderBy("seq", "at")
+    shared = found.withColumn("nth", F.row_number().over(same)).withColumn("low", F.min("digest").over(Window.partitionBy("hash"))).withColumn("high", F.max("digest").over(Window.partitionBy("hash")))
+    before = F.least(F.col("at"), F.lit(reach))
+    whole = shared.filter((F.col("nth") > 1) & (before + F.col("after") >= span)).select("seq", (F.col("at") - before).alias("low"), (F.col("at") + F.col("after")).alias("high"))
+    marks = shared.filter("nth = 1 and low <> high").groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
+    around = docs.join(marks, "seq", "left").mapInArrow(cut, "hash long, seq long, at long, after int, body binary")
+    parts = around.repartition("hash").sortWithinPartitions("hash", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
+    return whole.unionByName(parts)
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
