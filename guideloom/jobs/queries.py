@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from guideloom.functions import sequences, votes
 from guideloom.operators import acquisition, efficiency, results, sites, specificity, targets
 from guideloom.sources import fasta, tables
-from guideloom.sources.staging import scratch
+from guideloom.sources.staging import scratch, spread
 from guideloom.streaming import streams
 
 #: Fixed values of the stand-in tables.
@@ -37,7 +37,7 @@ def guides(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def guides_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guides of whole documents taken as jobs, numbered block by block."""
-    docs = contigs(spark, sf_dir).select(F.col("contig").alias("job_id"), F.col("seq").alias("sequence"))
+    docs = spread(contigs(spark, sf_dir)).select(F.col("contig").alias("job_id"), F.col("seq").alias("sequence"))
     return targets.design_guides(docs, block=1000)
 
 
@@ -70,7 +70,7 @@ def contig_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_sites(spark: SparkSession, sf_dir: str, reverse_slice: str = "protospacer") -> DataFrame:
-    return sites.extract_offtargets(sites.chunk_contigs(contigs(spark, sf_dir)), reverse_slice)
+    return sites.extract_offtargets(sites.chunk_contigs(spread(contigs(spark, sf_dir))), reverse_slice)
 
 
 def site_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +94,13 @@ def site_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.build_site_index(all_sites(spark, sf_dir))
 
 
+def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index as scoring jobs find it: written once, read as often as needed."""
+    path = scratch(spark, "site-index")
+    site_index(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def slice_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.slice_histogram(site_index(spark, sf_dir))
 
@@ -109,16 +116,16 @@ def fasta_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct guides of the jobs and their sites with at most four mismatches."""
     ours = specificity.with_genome(guides(spark, sf_dir), jobs(spark, sf_dir)).select("genome", sequences.encode2bit(F.substring("sequence", 1, 20)).alias("guide_code")).distinct()
-    return specificity.neighbours(ours, site_index(spark, sf_dir)).select("genome", "guide_code", "code", "n", "mismatches")
+    return specificity.neighbours(ours, written_index(spark, sf_dir)).select("genome", "guide_code", "code", "n", "mismatches")
 
 
 def neighbours_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     ours = specificity.with_genome(guides(spark, sf_dir), jobs(spark, sf_dir)).select("genome", sequences.encode2bit(F.substring("sequence", 1, 20)).alias("guide_code")).distinct()
-    return specificity.neighbours(ours, site_index(spark, sf_dir), salt=4).select("genome", "guide_code", "code", "n", "mismatches")
+    return specificity.neighbours(ours, written_index(spark, sf_dir), salt=4, max_broadcast=0).select("genome", "guide_code", "code", "n", "mismatches")
 
 
 def specificity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return specificity.score_specificity(guides(spark, sf_dir), jobs(spark, sf_dir), site_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
+    return specificity.score_specificity(guides(spark, sf_dir), jobs(spark, sf_dir), written_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
 
 def orphan_targets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from guideloom.functions.sequences import GUIDE, SITE, decode2bit, encode2bit, reverse_complement
 
-FORWARD = r"(?=([ACG][ACGT]{20}[AG]G))"
+#: The PAM first, then what stands before it: most places fail at their first letter. The group is the site.
+FORWARD = r"(?=[AG]G)(?<=([ACG][ACGT]{19})[ACGT])"
 BACKWARD = r"(?=(C[CT][ACGT]{20}[TGC]))"
 #: A site of 20 bases is five slices of four.
 SLICES, SLICE_BITS = 5, 8
@@ -25,7 +26,7 @@ def extract_offtargets(chunks: DataFrame, reverse_slice: str = "reference") -> D
     if reverse_slice not in ("reference", "protospacer"):
         raise ValueError(reverse_slice)
     turned = lambda m: reverse_complement(F.substring(m, 1, SITE)) if reverse_slice == "reference" else F.substring(reverse_complement(m), 1, SITE)
-    found = F.concat(F.transform(F.regexp_extract_all("seq", F.lit(FORWARD), 1), lambda m: F.substring(m, 1, SITE)), F.transform(F.regexp_extract_all("seq", F.lit(BACKWARD), 1), turned))
+    found = F.concat(F.regexp_extract_all("seq", F.lit(FORWARD), 1), F.transform(F.regexp_extract_all("seq", F.lit(BACKWARD), 1), turned))
     return chunks.select("genome", "contig", F.explode(found).alias("site"))
 
 

@@ -21,7 +21,11 @@ def mismatch_mask(a: Column, b: Column) -> Column:
     return x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(LOW_BITS))
 
 
-def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1) -> DataFrame:
+#: Guides whose slices may be broadcast; beyond that both sides are shuffled by slice.
+MAX_BROADCAST_GUIDES = 200_000
+
+
+def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1, max_broadcast: int = MAX_BROADCAST_GUIDES) -> DataFrame:
     """(genome, guide_code, code, n, mask, mismatches): all sites within max_mismatches of each guide, each once.
 
     Five slices and at most four mismatches leave a slice untouched, so an equi-join on
@@ -35,6 +39,8 @@ def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, sal
         left = left.withColumn("part", F.explode(F.array(*map(F.lit, range(salt)))))
         index = index.withColumn("part", F.pmod(F.hash("code"), F.lit(salt)))
         keys = [*keys, "part"]
+    # the index is never broadcast, however small it is thought to be
+    left = F.broadcast(left) if guides.count() * salt <= max_broadcast else left.hint("merge")
     met = left.join(index, keys).withColumn("mask", mismatch_mask(F.col("guide_code"), F.col("code"))).withColumn("mismatches", F.bit_count("mask").cast("int"))
     first = F.lit(SLICES)
     for s in reversed(range(SLICES)):
