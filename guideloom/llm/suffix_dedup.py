@@ -281,7 +281,12 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                 low, high = np.r_[0, ends][of], ends[of]
                 at, after = places - low, np.minimum(high - places, span)
                 digest = digests(surroundings(raw, places, low, high, span, gram), np.minimum(at, reach), after)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(seqs[of]), pa.array(at), pa.array(after.astype(np.int32))], names=["hash", "digest", "seq", "at", "after"])
+                seq = seqs[of]
+                order = np.lexsort((at, seq))
+                again = np.ones(len(at), dtype=bool)  # seen here before: settled, and kept away from the task of a frequent anchor
+                again[order[np.unique(digest[order], return_index=True)[1]]] = False
+                key = np.where(again, digest ^ digests(np.zeros((len(at), 0), dtype=np.uint8), seq, at), hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(seq), pa.array(at), pa.array(after.astype(np.int32)), pa.array(again)], names=["hash", "digest", "seq", "at", "after", "again"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -322,12 +327,15 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
             held = [x[group == group[-1]] for x in rows]
             yield pa.RecordBatch.from_arrays([pa.array(seq[hit]), pa.array((at - most)[hit]), pa.array((at - least + span)[hit])], names=["seq", "low", "high"])
 
-    found = docs.select("seq", "text").mapInArrow(find, "hash long, digest long, seq long, at long, after int")
+    found = docs.select("seq", "text").mapInArrow(find, "hash long, digest long, seq long, at long, after int, again boolean")
     same = Window.partitionBy("hash", "digest").orderBy("seq", "at")
     shared = found.withColumn("nth", F.row_number().over(same)).withColumn("low", F.min("digest").over(Window.partitionBy("hash"))).withColumn("high", F.max("digest").over(Window.partitionBy("hash")))
+    mark = (F.col("nth") == 1) & (F.col("low") != F.col("high")) & ~F.col("again")
     before = F.least(F.col("at"), F.lit(reach))
-    whole = shared.filter((F.col("nth") > 1) & (before + F.col("after") >= span)).select("seq", (F.col("at") - before).alias("low"), (F.col("at") + F.col("after")).alias("high"))
-    marks = shared.filter("nth = 1 and low <> high").groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
+    repeat = (F.col("again") | (F.col("nth") > 1)) & (before + F.col("after") >= span)
+    settled = staged(shared.filter(mark | repeat).select("seq", "at", "after", F.when(mark, F.col("hash")).alias("hash")), "suffix-anchors")  # read twice, found once
+    whole = settled.filter("hash is null").select("seq", (F.col("at") - before).alias("low"), (F.col("at") + F.col("after")).alias("high"))
+    marks = settled.filter("hash is not null").groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
     around = docs.join(marks, "seq", "left").mapInArrow(cut, "hash long, seq long, at long, after int, body binary")
     parts = around.repartition("hash").sortWithinPartitions("hash", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
     return whole.unionByName(parts)
