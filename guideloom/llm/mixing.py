@@ -17,12 +17,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, staged, uniform
+from .shared import WORD, staged
 
 #: Documents that one task orders at most, about.
 BUCKET_ROWS = 4096
 
 
+def drawn(seed: int, key: Column) -> Column:
+    """A number in [0, 1) that depends on the seed and the key alone: 52 bits of an MD5, which other engines have too."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))).cast("binary"))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -56,7 +62,7 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, cycle
     The plan has source, source_size, target, whole (repetitions of every document) and
     cut (documents with draw <= cut are taken once more). weights: (source, weight), or
     else the cycle along the sources."""
-    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), uniform(seed, F.col(id_col)).alias("draw")), "mix-sizes")
+    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), drawn(seed, F.col(id_col)).alias("draw")), "mix-sizes")
     totals = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "mix-totals")
     weights = cyclic_weights(totals, cycle) if weights is None else weights.select("source", F.col("weight").cast("double"))
     t, w = totals.alias("t"), weights.alias("w")
@@ -83,7 +89,7 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, cycle
     taken = inside.withColumn("running", running).filter(F.col("running") - F.col("words") / 2 <= F.col("left"))
     cut = taken.groupBy("source").agg(F.max("draw").alias("inside_cut")).alias("i")
     plan = g.join(c, F.col("g.source").eqNullSafe(F.col("c.source")), "left").join(cut, F.col("g.source").eqNullSafe(F.col("i.source")), "left")
-    before = F.col("c.bucket") / F.col("buckets") - F.lit(2.0**-54)  # all buckets before the crossed one are taken
+    before = F.col("c.bucket") / F.col("buckets") - F.lit(2.0**-53)  # all buckets before the crossed one are taken
     plan = plan.select("g.source", "source_size", "target", "whole", F.when(F.col("rest") <= 0, F.lit(-1.0)).otherwise(F.coalesce("inside_cut", before, F.lit(1.0))).alias("cut"))
     return sized, staged(plan, "mix-plan")
 
@@ -102,6 +108,6 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
     """The documents themselves, each row as often as the mix takes it; columns as in docs."""
     _, plan = plan_mix(docs, seed=seed, id_col=id_col, source_col=source_col, **options)
-    rows = docs.select(F.struct("*").alias("row"), uniform(seed, F.col(id_col)).alias("draw"), F.col(source_col).alias("of"))
+    rows = docs.select(F.struct("*").alias("row"), drawn(seed, F.col(id_col)).alias("draw"), F.col(source_col).alias("of"))
     out = rows.join(plan, F.col("of").eqNullSafe(F.col("source"))).filter(_copies() > 0)
     return out.select("row", F.explode(F.sequence(F.lit(1), _copies()))).select("row.*")

@@ -2,6 +2,32 @@
 
 from .licenses import TEMPLATES
 
+OP1 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size,
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS draw
+  FROM documents),
+s AS (
+  SELECT *, [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap
+  FROM (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source) x),
+-- sources in the order in which they reach their caps; with the first k at theirs, the level that shares the rest
+k AS (
+  SELECT row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS n, cap / weight AS full_at,
+         (1.5 * (SELECT sum(source_size) FROM s)::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM s),
+lv AS (SELECT arg_min(level, n) FILTER (WHERE level <= full_at) AS level FROM k),
+g AS (
+  SELECT source, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::INT AS whole
+  FROM (SELECT s.*, least(cap, weight * level) AS target FROM s, lv) x),
+same AS (SELECT source, draw, sum(size)::BIGINT AS words FROM d GROUP BY source, draw),
+run AS (SELECT source, draw, words, sum(words) OVER (PARTITION BY source ORDER BY draw) AS upto FROM same),
+m AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, g.whole + CASE WHEN g.target - g.whole * g.source_size > 0 AND run.upto - run.words / 2.0::DOUBLE <= g.target - g.whole * g.source_size THEN 1 ELSE 0 END AS copies
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source JOIN run ON d.source IS NOT DISTINCT FROM run.source AND d.draw = run.draw)
+SELECT doc_id, size, source_size, target, (size * copies)::BIGINT AS taken, copies::INT AS copies FROM m
+"""
+
 OP8 = r"""
 WITH p AS (
   SELECT page_id, url,
@@ -40,6 +66,23 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(comp.c, d.doc_id) AS c
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN comp ON comp.a = d.doc_id
 """
 
+OP4 = r"""
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, b[i + 1:i + 100] AS s FROM (SELECT r, b, unnest(range(0, octet_length(b) - 99)) AS i FROM d WHERE octet_length(b) >= 100) x),
+first AS (SELECT s, min(r * 4294967296 + i) AS at FROM w GROUP BY s HAVING count(*) > 1),
+again AS (SELECT w.r, w.i FROM w JOIN first USING (s) WHERE w.r * 4294967296 + w.i > first.at),
+-- maximal runs of removed bytes: windows whose starts are at most 100 apart run together
+step AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 100 THEN 0 ELSE 1 END AS new FROM again),
+run AS (SELECT r, min(i) AS a, max(i) + 100 AS z FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i) AS g FROM step) x GROUP BY r, g),
+gap AS (
+  SELECT r, z AS a, coalesce(lead(a) OVER (PARTITION BY r ORDER BY a), 4294967296) AS z FROM run
+  UNION ALL SELECT r, 0, min(a) FROM run GROUP BY r),
+kept AS (SELECT r, unhex(string_agg(hex(b[gap.a + 1:gap.z]), '' ORDER BY gap.a)) AS b FROM gap JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM run GROUP BY r)
+SELECT d.doc_id, octet_length(d.b)::BIGINT AS n_bytes, coalesce(n.n_removed, 0) AS n_removed, coalesce(n.n_spans, 0) AS n_spans, sha256(coalesce(kept.b, d.b)) AS kept_sha256
+FROM d LEFT JOIN n USING (r) LEFT JOIN kept USING (r)
+"""
+
 _NOTICES = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
 
 OP6 = rf"""
@@ -60,4 +103,4 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n
 FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)
 """
 
-ORACLES = {"op3_near_dedup": OP3, "op6_licenses": OP6, "op8_urls": OP8}
+ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8}
