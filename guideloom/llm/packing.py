@@ -1,9 +1,9 @@
 """Best-fit packing of token sequences with a bounded number of open bins.
 
 Documents become ids of a public word-piece vocabulary and one closing id; what is longer
-than a sequence is cut into pieces. Pieces are dealt by a hash into buckets of a stated
-size and each bucket, longest pieces first, is packed by itself: bounded-space online
-best-fit, in which a bitset keyed by free space finds the fullest open sequence that still
+than a sequence is cut into pieces. Pieces are dealt by their places into buckets of a
+stated size, so that no id or text makes a bucket large, and each bucket, longest pieces
+first, is packed by itself: bounded-space online best-fit, in which a bitset keyed by free space finds the fullest open sequence that still
 takes the piece; if none does and all places for open sequences are taken, the fullest is
 closed first. Dealing into buckets costs about one sequence in a thousand.
 
@@ -173,7 +173,8 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, b
     """The pieces with sequence_id and offset. Buckets hold about bucket_pieces pieces each, whatever the size of the table."""
     cut = staged(cut, "pack-pieces")
     buckets = max(1, -(-cut.count() // bucket_pieces))
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "piece"), F.lit(buckets)))
+    # the staged table has fixed places, so a task that runs again deals alike
+    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(buckets)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
 
     def one(group: pd.DataFrame) -> pd.DataFrame:

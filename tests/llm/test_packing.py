@@ -84,3 +84,9 @@ def test_odd_tables(frame):
     assert packing.pack(packing.pieces(frame([]))).collect() == []
     rows = packing.pack(packing.pieces(frame(["a", "a", None], ids=[1, 1, None]))).collect()
     assert sorted(r["length"] for r in rows) == [1, 2, 2] and len({r["sequence_id"] for r in rows}) == 1
+
+
+def test_rows_that_share_an_id_are_dealt_out(frame):
+    rows = packing.pack(packing.pieces(frame(["a b"] * 400, ids=[None] * 400)), bucket_pieces=50).collect()
+    check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 4096)
+    assert len(rows) == 400 and len({r["sequence_id"] >> 32 for r in rows}) == 8
