@@ -35,7 +35,8 @@ HEX = re.compile(r"[0-9a-f]{32,}+")
 #: Runs that may be base64 or hex. The look-behind keeps the scan from trying each start in a word.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+={0,2}")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,}?)-----END [A-Z0-9 ]*PRIVATE KEY-----")
-JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
+#: The first part starts with an opening brace and a quote or white space, encoded.
+JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{6,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 
 
@@ -137,7 +138,7 @@ def find_spans(text: str) -> list[tuple[int, int, str]]:
             data = unbase64(re.sub(r"\s", "", m[2]))
             if data and (is_der_key(data) or is_openssh(data)):
                 found.append((m.start(), m.end(), "openssh" if is_openssh(data) else "der"))
-    if "eyJ" in text or "ewo" in text or "eyA" in text:
+    if "ey" in text or "ew" in text:
         found += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_signed_header(m[1])]
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 

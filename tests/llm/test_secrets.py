@@ -67,3 +67,10 @@ def test_redaction(frame):
     assert all(r["n_chars"] == (None if r["text"] is None else len(r["text"])) for r in rows)
     assert not any(brute_base(r["text"] or "") for r in rows)
     assert secrets.redacted(frame([])).collect() == [] == secrets.digest(frame([])).collect()
+
+
+def test_headers_with_white_space_and_after_dots():
+    part = lambda raw: base64.urlsafe_b64encode(raw).decode().rstrip("=")
+    for header in (b'{"alg": "ES256"}', b'{\t"alg": "ES256"}', b'{\r\n "alg": "ES256"}', b'{ "alg": "ES256"}'):
+        token = f"{part(header)}.{part(b'{}')}."
+        assert [(s, e, k) for s, e, k in secrets.find_spans(f"at longhostname.{token} end") if k == "jwt"] == [(16, 16 + len(token), "jwt")]
