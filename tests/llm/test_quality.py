@@ -1,9 +1,12 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
+import duckdb
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -53,3 +56,14 @@ def test_kept_documents(frame):
     out = quality.kept_documents(docs)
     assert out.columns == docs.columns and [r["doc_id"] for r in out.collect()] == [1, 1]
     assert quality.kept_documents(frame([])).collect() == [] == quality.quality(frame([])).collect()
+
+
+def test_bands_part_held_out_labels():
+    """Labelled documents that the bands were not measured on, and that pass the base rules."""
+    sf = "/root/testdata/sf0.1"
+    rows = duckdb.execute(f"SELECT doc_id, lang, quality, text FROM '{sf}/documents.parquet' JOIN '{sf}/labels.parquet' USING (doc_id)").fetchall()
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 2]
+    v = quality.verdicts(pa.array([r[3] for r in rows], type=pa.string()), [r[1] for r in rows], quality.BANDS, quality.SCRIPT_BANDS, public_tokenizers.path("piece_bpe_32k.model"), quality.MIN_WORDS, quality.MAX_REPEAT_PERCENT)
+    kept = Counter((r[2], bool(k)) for r, k, failed in zip(rows, v["kept"], v["base_failed"], strict=True) if not failed)
+    assert kept[1, False] == 0 and kept[1, True] > 1000
+    assert kept[0, False] >= 0.8 * (kept[0, False] + kept[0, True])
