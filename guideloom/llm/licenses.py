@@ -1,7 +1,8 @@
 """License scans: phrases, and an exact set-similarity join of text blocks with notice templates.
 
-Native throughout. Words are lower-cased; a block is a window of words, one every half
-window. A block meets a template if it holds at least the threshold's share of the
+Native throughout. Words are lower-cased; a block is a window of words that starts at a
+word of some template, so that no notice is missed by its place: the first template word of
+any other window starts a block that holds as many. A block meets a template if it holds at least the threshold's share of the
 template's distinct words. The words of all templates are ordered by their count in the
 whole corpus, rarest first, and three filters find all such blocks: a block must hold one
 of the template's rarest words (prefix), enough words of any template (length), and enough
@@ -9,7 +10,7 @@ of both sides' words from the place of the first shared one on (position). What
 compared exactly.
 
 The text is read twice, for the counts and for the blocks, and never shuffled: only words
-of templates leave the scan, in blocks that hold a rare one.
+of templates leave the scan, with their places, in documents that hold a rare one.
 
 Defined cases: null or empty texts have no words, labels or places, and score 0; repeated
 rows give equal rows; a document of any length is searched whole.
@@ -21,7 +22,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .shared import LOWER, UPPER, staged
@@ -29,7 +30,7 @@ from .shared import LOWER, UPPER, staged
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD, WINDOW = 0.8, 64
 
-#: Label and notice, each at most half a window of words long.
+#: Label and notice, each at most half a window of words long. A notice of few words would also be met by those of its sister licenses (CC BY 4.0 stands whole in CC BY-NC 4.0).
 TEMPLATES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("apache-2", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License"),
@@ -40,6 +41,7 @@ TEMPLATES = [
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
     ("cc-by-sa", "This work is licensed under a Creative Commons Attribution ShareAlike 4.0 International License"),
     ("unlicense", "This is free and unencumbered software released into the public domain"),
+    ("gpl", "This work is licensed under the GNU General Public License, version 3"),
 ]
 
 
@@ -75,7 +77,7 @@ def corpus_counts(texts: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]
 
 def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score. phrases: (phrase in lower case, label)."""
-    spark, half = docs.sparkSession, window // 2
+    spark = docs.sparkSession
     sets = [(label, set(words_of(text))) for label, text in templates]
     texts = docs.select(F.col(id_col).alias("doc_id"), padded(F.col(text_col)).alias("padded"))
     counts = corpus_counts(texts, sorted(set().union(*[s for _, s in sets])))
@@ -91,21 +93,24 @@ def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates:
     base = F.array_sort(F.array_distinct(F.filter(F.array(*[F.when(n > 0, F.lit(label)) for (n, _, _), (_, label) in zip(places, phrases, strict=True)]), lambda x: x.isNotNull())))
     rare = sorted({p[0] for p in prefixes})
     words = F.split(F.trim(text), " ")
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(words) - 1) / half).cast("int")), lambda b: F.array_intersect(F.array(*map(F.lit, order)), F.slice(words, b * half + 1, window)))
+    marked = F.filter(F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))), lambda x: x["word"].isin(*order))
     has_rare = F.exists(words, lambda w: w.isin(*rare))
-    rows = texts.select("doc_id", n_words.alias("n_words"), sum((n for n, _, _ in places), F.lit(0)).cast("long").alias("n_base"), least([f for _, f, _ in places]).alias("first_word"), F.array_max(F.array(*[z for _, _, z in places])).alias("last_word"), base.alias("base"), F.when(has_rare, blocks).alias("blocks"))
+    rows = texts.select("doc_id", n_words.alias("n_words"), sum((n for n, _, _ in places), F.lit(0)).cast("long").alias("n_base"), least([f for _, f, _ in places]).alias("first_word"), F.array_max(F.array(*[z for _, _, z in places])).alias("last_word"), base.alias("base"), F.when(has_rare, marked).alias("marked"))
     rows = staged(rows.withColumn("row", F.monotonically_increasing_id()), "license-rows")
 
     prefix = F.broadcast(spark.createDataFrame(prefixes, "word string, template int, i int, of int, need int"))
     whole = F.broadcast(spark.createDataFrame([(t, label, ws) for t, label, ws, _ in ranked], "template int, label string, words array<string>"))
-    block = rows.filter("blocks is not null").select("row", F.posexplode("blocks").alias("block", "tokens"))
-    token = block.select("row", "block", "tokens", F.posexplode("tokens").alias("j", "word")).join(prefix, "word")
+    onward = Window.partitionBy("row").orderBy("at").rangeBetween(0, window - 1)
+    held = rows.filter("marked is not null").select("row", F.inline("marked")).select("row", F.collect_set("word").over(onward).alias("held"))
+    held = held.filter((F.size("held") >= min((need for *_, need in ranked), default=0)) & F.exists("held", lambda w: w.isin(*rare)))
+    block = held.select("row", F.array_intersect(F.array(*map(F.lit, order)), "held").alias("tokens")).distinct()
+    token = block.select("row", "tokens", F.posexplode("tokens").alias("j", "word")).join(prefix, "word")
     size = F.size("tokens")
-    candidates = token.filter((size >= F.col("need")) & (1 + F.least(F.col("of") - F.col("i") - 1, size - F.col("j") - 1) >= F.col("need"))).select("row", "block", "tokens", "template", "need").distinct()
+    candidates = token.filter((size >= F.col("need")) & (1 + F.least(F.col("of") - F.col("i") - 1, size - F.col("j") - 1) >= F.col("need"))).select("row", "tokens", "template", "need").distinct()
     share = F.size(F.array_intersect("tokens", "words"))
     met = candidates.join(whole, "template").filter(share >= F.col("need")).select("row", "label", (share / F.size("words")).alias("share"))
     found = met.groupBy("row").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
-    out = rows.drop("blocks").join(found, "row", "left")
+    out = rows.drop("marked").join(found, "row", "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0)))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), F.round(score, 6).alias("score"))

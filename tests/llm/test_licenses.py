@@ -42,3 +42,19 @@ def test_odd_tables(frame):
     assert licenses.license_scan(frame([]), LICENSE_PHRASES).collect() == []
     rows = licenses.license_scan(frame([MIT, MIT, None], ids=[1, 1, None]), LICENSE_PHRASES).collect()
     assert sorted((r["doc_id"] or 0, r["labels"]) for r in rows) == [(0, ""), (1, "mit"), (1, "mit")]
+
+
+def test_stretched_notices_at_any_place(frame, prose):
+    words = MIT.split()
+    stretched = " ".join(w + " zz" * (k < 21) for k, w in enumerate(words))
+    most = max(len(words), 64)
+    wide = " ".join([*words[:-1], *["zz"] * (most - len(words)), words[-1]])
+    texts = [f"{prose(k, k)} {notice} {prose(40, 7)}" for notice in (stretched, wide) for k in range(1, 34, 4)]
+    rows = licenses.license_scan(frame(texts), LICENSE_PHRASES).collect()
+    assert len(rows) == len(texts) and all((r["labels"], r["score"]) == ("mit", 1.0) for r in rows)
+
+
+def test_short_lines(frame, prose):
+    lines = {"This work is licensed under the GNU General Public License, version 3.": "gpl", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "This work is licensed under the Mozilla Public License, version 2.": ""}
+    rows = {r["doc_id"]: r["labels"] for r in licenses.license_scan(frame([f"{prose(90)}\n{x}\n{prose(50, 3)}" for x in lines]), LICENSE_PHRASES).collect()}
+    assert rows == dict(enumerate(lines.values()))
