@@ -3,7 +3,10 @@
 Plain patterns give the base kinds (assign, access, hex). Further candidates are reported
 only after a look at what they hold: base64 or hex runs are decoded and parsed as DER keys
 (nested lengths must fill each other exactly), OpenSSH keys (length-prefixed fields), and
-dotted base64url triples must carry a signed-token header (JSON with "alg").
+dotted base64url triples must carry a signed-token header (JSON with "alg"). Runs that go on
+in the next line are joined, line ends may be written as backslash and letter, and keys are
+also tried at each place inside a run that looks like the start of one; such a key ends where
+its own lengths say.
 
 One pass, no shuffle, code point positions, end exclusive. Spans come by start, then kind
 in the order of KINDS; one place may carry a base kind and a confirmed one.
@@ -18,6 +21,7 @@ import base64
 import binascii
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,9 +38,17 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}+")
 #: Runs that may be base64 or hex. The look-behind keeps the scan from trying each start in a word.
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+={0,2}")
-ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,}?)-----END [A-Z0-9 ]*PRIVATE KEY-----")
-#: The first part starts with an opening brace and a quote or white space, encoded.
-JWT = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]{6,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+)")
+#: A line end, as such or as a backslash and a letter.
+BREAK = r"[ \t]*+(?:\r?\n|(?:\\+r)?\\+n)[ \t]*+"
+#: A run with those that follow it line by line.
+WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{{40,}}+(?:={{0,2}}{BREAK}[A-Za-z0-9+/_-]++)*+={{0,2}}")
+ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/]){16,}+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
+#: Starts of keys: DER sequences and OpenSSH files in base64, DER sequences in hex.
+START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA|AAAA(?:[BC]3NzaC1|E2VjZHNhL|GnNrLXNz|InNrLWVj)|30(?:8[1-4]|[2-7][0-9A-Fa-f])")
+#: The first part starts with an opening brace and a quote or white space, encoded. The look-ahead consumes nothing, so that a word before a header hides none.
+JWT = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))(?=(e[wy][A-Za-z0-9_-]{6,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
+#: Fields of public keys by algorithm; others have three.
+SSH_FIELDS = {b"ssh-dss": 5, b"ssh-ed25519": 2, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
 MIN_ASSIGN, MIN_ACCESS = 8, 16
 
 
@@ -126,20 +138,99 @@ def confirmed(run: str) -> str | None:
     return None
 
 
+def ssh_size(data: bytes) -> int | None:
+    """The length of the OpenSSH key at the start of the data, by its fields; None if they go beyond it."""
+    number = lambda at: int.from_bytes(data[at : at + 4])
+    private = data.startswith(b"openssh-key-v1\0")
+    if private:
+        at = 15
+        for _ in range(3):  # cipher, derivation and its options
+            at += 4 + number(at)
+        at, todo = at + 4, number(at) + 1
+    else:
+        at, todo = 0, SSH_FIELDS.get(data[4 : 4 + number(0)], 3)
+    while todo and at + 4 <= len(data):
+        at += 4 + number(at)
+        todo -= 1
+    return at if not todo and at <= len(data) else None
+
+
+def key_inside(run: str, at: int) -> tuple[int, str] | None:
+    """(end, kind) of the key that starts at a place of a run without line ends or padding."""
+    if run[at] in "bA":
+        body = max((re.compile(c).match(run, at)[0] for c in ("[A-Za-z0-9+/]*+", "[A-Za-z0-9_-]*+")), key=len)
+        data = unbase64(body[: len(body) - (len(body) % 4 == 1)]) or b""
+        size = ssh_size(data)
+        if size and is_openssh(data[:size]):
+            return at + -(-size * 4 // 3), "openssh"
+        return None
+    hexed = run[at] == "3"
+    decode = (lambda t: bytes.fromhex(t) if re.fullmatch(r"(?:[0-9A-Fa-f]{2})+", t) else None) if hexed else unbase64
+    chars = lambda size: 2 * size if hexed else -(-size * 4 // 3)
+    head = decode(run[at : at + 24])
+    room = (len(run) - at) // 2 if hexed else (len(run) - at) * 3 // 4
+    top = der_item(head, 0, room) if head and len(head) >= 12 else None
+    # keys start with a version or an algorithm
+    if not top or head[top[1]] not in (0x02, 0x30):
+        return None
+    end = at + chars(top[2])
+    data = decode(run[at:end])
+    return (end, "der") if data and is_der_key(data[: top[2]]) else None
+
+
+def keys_in_runs(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Keys that start inside a run or go on over line ends, but for those within found spans."""
+    out, known, k = [], sorted(found), 0
+    begun = {a for a, _, _ in found}
+    for m in WRAPPED.finditer(text):
+        bodies = [(p.start(), p[0]) for p in re.finditer(rf"{BREAK}|=+|[A-Za-z0-9+/_-]++", m[0]) if p[0][0] not in "= \t\r\n\\"]
+        run, starts, firsts, n = "".join(t for _, t in bodies), [a for a, _ in bodies], [], 0
+        for _, t in bodies:
+            firsts.append(n)
+            n += len(t)
+
+        def place(i: int) -> int:
+            b = bisect_right(firsts, i) - 1
+            return m.start() + starts[b] + i - firsts[b]
+
+        upto, at = 0, 0
+        while s := START.search(run, at):
+            at = s.start() + 1
+            start = place(s.start())
+            while k < len(known) and known[k][0] <= start:
+                upto = max(upto, known[k][1])
+                k += 1
+            if start < upto and start not in begun:
+                continue
+            key = key_inside(run, s.start())
+            if key:
+                end = place(key[0] - 1) + 1
+                out.append((start, end + len(re.match("={0,2}", text[end : end + 2])[0]), key[1]))
+                at = key[0]
+    return out
+
+
 def find_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of all spans, by start, then kind."""
     found = [(m.start(), m.end(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= MIN_ASSIGN]
     if "AKIA" in text:
         found += [(m.start(), m.end(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= MIN_ACCESS]
     found += [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
-    found += [(m.start(), m.end(), kind) for m in RUN.finditer(text) if (kind := confirmed(m[0]))]
+    keys = [(m.start(), m.end(), kind) for m in RUN.finditer(text) if (kind := confirmed(m[0]))]
     if "PRIVATE KEY-----" in text:
         for m in ARMOUR.finditer(text):
-            data = unbase64(re.sub(r"\s", "", m[2]))
+            data = unbase64(re.sub(r"\\+[nrt]|\\+(?=/)|\s", "", m[2]))
             if data and (is_der_key(data) or is_openssh(data)):
-                found.append((m.start(), m.end(), "openssh" if is_openssh(data) else "der"))
+                keys.append((m.start(), m.end(), "openssh" if is_openssh(data) else "der"))
+    more = keys_in_runs(text, keys)
+    ends = {(a, kind): b for a, b, kind in more}
+    found += more + [s for s in keys if s[1] >= ends.get((s[0], s[2]), 0)]  # a key's first line alone gives way
     if "ey" in text or "ew" in text:
-        found += [(m.start(), m.end(), "jwt") for m in JWT.finditer(text) if is_signed_header(m[1])]
+        upto = 0
+        for m in JWT.finditer(text):
+            if m.start() >= upto and is_signed_header(m[1]):
+                upto = m.end(3)
+                found.append((m.start(), upto, "jwt"))
     return sorted(set(found), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

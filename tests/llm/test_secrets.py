@@ -74,3 +74,34 @@ def test_headers_with_white_space_and_after_dots():
     for header in (b'{"alg": "ES256"}', b'{\t"alg": "ES256"}', b'{\r\n "alg": "ES256"}', b'{ "alg": "ES256"}'):
         token = f"{part(header)}.{part(b'{}')}."
         assert [(s, e, k) for s, e, k in secrets.find_spans(f"at longhostname.{token} end") if k == "jwt"] == [(16, 16 + len(token), "jwt")]
+
+
+def test_keys_inside_and_across_runs():
+    text64, lines = base64.b64encode(KEY).decode(), base64.encodebytes(KEY).decode().strip().split("\n")
+    long = der(0x30, der(0x02, b"\0") + der(0x02, bytes(range(1, 200))))
+    wide = base64.b64encode(long).decode()
+    wrapped = [wide[a : a + 64] for a in range(0, len(wide), 64)]
+    private = b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(SSH) + field(bytes(range(64)))
+    ssh = base64.b64encode(private).decode()
+    cases = [("der", f"{{\"private_key\": \"-----BEGIN PRIVATE KEY-----{e}{e.join(wrapped)}{e}-----END PRIVATE KEY-----{e}\"}}", "-----BEGIN", "KEY-----" + e) for e in ("\\n", "\\r\\n", "\\\\n")]
+    cases += [("der", f"the key\n{e.join(wrapped)}\nis here", wrapped[0], wrapped[-1]) for e in ("\n", "\r\n", "\n    ", "\\n")]
+    cases += [("der", f"at {p}{text64} end", text64, text64) for p in ("path/", "key_", "my-key-", "a+", "x")]
+    cases += [("der", f"at {p}{KEY.hex()} end", KEY.hex(), KEY.hex()) for p in ("path/", "key_", "a")]
+    cases += [("openssh", f"at {p}{base64.b64encode(x).decode()} end", base64.b64encode(x).decode(), base64.b64encode(x).decode()) for p in ("path/", "key_") for x in (SSH, private)]
+    cases += [("openssh", f"it:\n{ssh[:64]}\n{ssh[64:128]}\n{ssh[128:]}\nand more", ssh[:64], ssh[128:])]
+    cases += [("jwt", f"{p}{JWT} end", JWT, JWT) for p in ("eyewitness.", "ewaldstrasse.eyewitness.", "a\\n")]
+    assert len(lines) > 1
+    for kind, text, first, last in cases:
+        spans = [(a, b) for a, b, k in secrets.find_spans(text) if k == kind]
+        start, end = text.index(first), text.rindex(last) + len(last.rstrip("\\n").rstrip("\\r"))
+        assert spans == [(start, end)], (kind, text, spans, start, end)
+
+
+def test_runs_without_keys():
+    import random
+
+    r = random.Random(5)
+    for _ in range(20):
+        noise = base64.b64encode(r.randbytes(6000)).decode()
+        assert not [s for s in secrets.find_spans(f"data {noise}\n{noise[::-1].strip('=')} {r.randbytes(3000).hex().upper()}") if s[2] in ("der", "openssh", "jwt")]
+    assert secrets.find_spans("MI" * 50_000 + "\n" + "MIIB" * 50_000) == []
