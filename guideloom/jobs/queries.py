@@ -295,11 +295,12 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def streamed_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Guides of jobs that arrive as JSON lines, some of them twice."""
-    path, out = scratch(spark, "requests"), scratch(spark, "guides")
+    """Guides of jobs that arrive as JSON lines, some of them again in a later batch."""
+    path, out, rejects, state = (scratch(spark, name) for name in ("requests", "guides", "rejects", "guides-state"))
     requests = jobs(spark, sf_dir).withColumn("submitted_at", F.lit("2024-01-01T00:00:00Z").cast("timestamp"))
-    requests.unionByName(requests.filter("cast(job_id AS long) % 3 = 0")).coalesce(1).write.json(path)
-    streams.start_scoring(streams.stream_jobs(spark, path), targets.design_guides, out, scratch(spark, "rejects"), scratch(spark, "guides-state"), {"availableNow": True}).awaitTermination()
+    for delivered in (requests, requests.filter("cast(job_id AS long) % 3 = 0")):
+        delivered.write.mode("append").json(path)
+        streams.start_scoring(streams.stream_jobs(spark, path), targets.design_guides, out, rejects, state, {"availableNow": True}).awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").schema(guides(spark, sf_dir).schema).parquet(out)
 
 

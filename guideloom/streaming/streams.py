@@ -21,10 +21,16 @@ def stream_jobs(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
 
 
 def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000) -> StreamingQuery:
-    """Each micro-batch through the batch functions. A batch that runs again replaces its own part, so redelivery is harmless; rejected jobs go to their own path."""
+    """Each micro-batch through the batch functions. A batch that runs again replaces its own part, and jobs that an earlier batch has written are left out, so redelivery is harmless; rejected jobs go to their own path. Rows of score keep their job_id."""
+
+    def written(spark: SparkSession, folder: str, number: int) -> DataFrame:
+        return spark.read.schema("job_id string, batch long").parquet(folder).filter(F.col("batch") < number).select("job_id")
 
     def write(batch: DataFrame, number: int) -> None:
         once = batch.dropDuplicates(["job_id"])
+        if number:
+            for folder in (path, rejects):
+                once = once.join(written(batch.sparkSession, folder, number), "job_id", "left_anti")
         accepted, rejected = validate_jobs(once, max_length)
         score(accepted).write.mode("overwrite").parquet(f"{path}/batch={number}")
         rejected.write.mode("overwrite").parquet(f"{rejects}/batch={number}")

@@ -73,6 +73,19 @@ def test_streamed_guides_and_rejects(spark, tmp_path):
     assert [r["reject_reason"] for r in read.parquet(str(tmp_path / "bad")).collect()] == ["empty"]
 
 
+def test_jobs_delivered_again_in_a_later_batch(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    seq = "ATCGATCGATCGATCGATCGAGG ATCGATCGATCGATCGATCGTGG\nCCAATCGATCGATCGATCGATCG"
+    jobs = [{"job_id": "a", "sequence": seq, "genome": "g"}, {"job_id": "b", "sequence": "", "genome": "g"}, {"job_id": "c", "sequence": seq, "genome": "g"}]
+    for name, delivered in (("x", jobs[:2]), ("y", jobs), ("z", jobs)):
+        (tmp_path / f"in/{name}.json").write_text("\n".join(map(json.dumps, delivered)))
+        paths = [str(tmp_path / d) for d in ("out", "bad", "state")]
+        streams.start_scoring(streams.stream_jobs(spark, str(tmp_path / "in")), targets.design_guides, *paths, {"availableNow": True}).awaitTermination()
+    read = spark.read.option("recursiveFileLookup", "true")
+    assert sorted(r["job_id"] for r in read.parquet(str(tmp_path / "out")).collect()) == ["a"] * 3 + ["c"] * 3
+    assert [r["job_id"] for r in read.parquet(str(tmp_path / "bad")).collect()] == ["b"]
+
+
 def test_watermark_stream(spark, tmp_path):
     rows = spark.createDataFrame([("a", 1, "2024-01-01 00:00:00"), ("a", 1, "2024-01-01 00:01:00"), ("a", 2, "2024-01-01 00:02:00")], "job_id string, target_id long, ts string").selectExpr("job_id", "target_id", "cast(ts AS timestamp) AS ts")
     rows.coalesce(1).write.parquet(str(tmp_path / "ev"))
