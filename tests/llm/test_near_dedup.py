@@ -1,6 +1,9 @@
 import random
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from guideloom.llm import near_dedup
 
 
@@ -55,6 +58,64 @@ def test_groups_as_by_brute_force(frame, prose):
         assert all(rows[i]["kept"] == (rows[i]["component_id"] == i) for i in rows)
 
 
+def test_long_lists_as_by_brute_force(frame, prose, monkeypatch):
+    """Lists of more than two classes go by differences from a head, through several levels."""
+    monkeypatch.setattr(near_dedup, "MAX_LISTED", 2)
+    for seed, width, percent in ((4, 3, 85), (5, 3, 60)):
+        texts = corpus(prose, seed)
+        rows = {r["doc_id"]: r for r in near_dedup.near_duplicates(frame(texts), width, percent).collect()}
+        assert [(rows[i]["n_shingles"], rows[i]["component_id"]) for i in range(len(texts))] == brute(texts, width, percent)
+
+
+def copies(words, n, edits, seed, vocabulary=500):
+    """Copies of a text with some words replaced, by words that others may get too."""
+    r, out = random.Random(seed), []
+    for _ in range(n):
+        edited = list(words)
+        for _ in range(r.randint(*edits)):
+            edited[r.randrange(len(edited))] = "other%d" % r.randrange(vocabulary)
+        out.append(" ".join(edited))
+    return out
+
+
+def components_of(texts, width, percent):
+    """By a matrix of all overlaps."""
+    sets = [shingles(t, width) for t in texts]
+    number = {x: k for k, x in enumerate(set().union(*sets))}
+    held = np.zeros((len(sets), len(number)), dtype=np.float32)
+    for k, s in enumerate(sets):
+        held[k, [number[x] for x in s]] = 1
+    common, size = held @ held.T, held.sum(axis=1)
+    linked = 100 * common >= percent * (size[:, None] + size[None] - common)
+    label = np.arange(len(sets))
+    while True:
+        low = np.array([label[row].min() for row in linked])
+        if (low == label).all():
+            return label.tolist()
+        label = low
+
+
+def test_many_copies_short_of_the_threshold(frame, prose):
+    """2000 copies of a text that is not there, most of them too far from each other: no pairs within the group, the same groups."""
+    words = prose(150, 31).split()
+    for edits in ((2, 6), (4, 12)):
+        texts = copies(words, 2000, edits, 32)
+        rows = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame(texts), 3, 85).collect()}
+        assert [rows[k] for k in range(len(texts))] == components_of(texts, 3, 85)
+
+
+def test_pairs_of_a_group_grow_with_its_size(spark, prose):
+    words = prose(150, 31).split()
+    made = []
+    for n in (300, 1200):
+        sets = [sorted(hash(x) for x in shingles(t, 3)) for t in dict.fromkeys(copies(words, n, (4, 12), 33))]
+        full = spark.createDataFrame(list(enumerate(sets)), "node long, values array<bigint>").cache()
+        live = full.select("node", F.size("values").alias("n"), F.col("node").alias("label"))
+        links, pairs = near_dedup.pairs_across(live, full, 85, 32)
+        made.append(links.count() + pairs.count())
+    assert made[1] < 6 * max(made[0], 300)
+
+
 def test_chain_and_long_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 105), (105, 103)], "a long, b long")
     labels = dict(near_dedup.components(edges).collect())
@@ -73,6 +134,12 @@ def test_odd_tables(frame, prose):
     text = prose(80)
     rows = near_dedup.near_duplicates(frame([text, text, text, None], ids=[5, 5, None, None])).collect()
     assert [r["component_id"] for r in rows if r["n_shingles"]] == [5, 5, 5]
+    long = prose(400, 3)
+    rows = near_dedup.near_duplicates(frame([long, long + " more", prose(300, 4)], ids=[None, None, 3]), 3, 85).collect()
+    assert sorted((r["doc_id"] is None, r["component_id"]) for r in rows) == [(False, 3), (True, None), (True, None)]
+    assert near_dedup.one_of_each(frame([long, long + " more", None], ids=[None, None, None])).count() == 2
+    # rows that share an id: only the copy goes
+    assert sorted(r["text"] for r in near_dedup.one_of_each(frame([text, text + " x", long], ids=[1, 2, 2])).collect()) == sorted([text, long])
     docs = frame([text, text, text + " x", "other words"], ids=[5, 5, 9, 7])
     out = near_dedup.one_of_each(docs)
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [5, 7]
