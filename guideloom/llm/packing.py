@@ -129,6 +129,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, closing_id: int = CLOSING_
             if with_ids:
                 columns["ids"] = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)], type=pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+        word_tokens(vocabulary).forget()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 

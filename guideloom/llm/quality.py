@@ -148,6 +148,7 @@ def quality(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BA
             v = verdicts(texts_of(batch, "_text"), batch.column("_lang").to_pylist(), bands, script_bands, vocabulary, min_words, max_repeat_percent)
             names = [*COUNTS, "base_failed", "kept", "band", *MEASURES]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(v[c]) for c in names]], names=["doc_id", *names])
+        _word_tokens(vocabulary).forget()
 
     return rows.mapInArrow(judge, schema)
 
@@ -160,5 +161,6 @@ def kept_documents(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SC
         for batch in slices(batches, text_col):
             v = verdicts(texts_of(batch, text_col), batch.column(lang_col).to_pylist(), bands, script_bands, vocabulary, min_words, max_repeat_percent)
             yield batch.filter(pa.array(v["kept"]))
+        _word_tokens(vocabulary).forget()
 
     return docs.mapInArrow(keep, docs.schema)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Words of every contract that splits on ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Words whose ids a worker keeps, and bytes of text that one step takes.
+MAX_WORDS, STEP_BYTES = 100_000, 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,8 +41,8 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each has at most `most` bytes of text, or one row: whole texts, bounded memory."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each has at most `most` bytes of text, or one row: whole texts, bounded memory. At the end Arrow's free memory is given back."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -51,6 +53,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
             end = max(start + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    pa.default_memory_pool().release_unused()  # workers live on and serve other stages
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
@@ -96,23 +99,32 @@ def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
+def extended(array: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """The array with more written behind its used part; doubled when it is full."""
+    if used + len(more) > len(array):
+        array = np.concatenate([array[:used], np.zeros(max(used, len(more), 1 << 12), dtype=array.dtype)])
+    array[used : used + len(more)] = more
+    return array
+
+
 class WordTokens:
     """Token ids of words that a worker has met, forgotten when there are too many: bounded memory, the same ids."""
 
-    def __init__(self, encode, most: int = 400_000):
+    def __init__(self, encode, most: int = MAX_WORDS):
         self.encode, self.most = encode, most
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.starts = self.lengths = self.ids = np.zeros(0, dtype=np.int64)
+        self.starts, self.lengths, self.ids = (np.zeros(0, dtype=t) for t in (np.int32, np.int32, np.int32))
+        self.used = 0
 
     def look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, length) of each word's ids in the third array."""
         known = words.to_pylist()
         if len(self.place) + len(known) > self.most:
             self.forget()
-        get, new = self.place.get, []
+        get = self.place.get
         at = np.fromiter((get(w, -1) for w in known), dtype=np.int64, count=len(known))
         if len(missing := np.flatnonzero(at < 0)):
             new = [known[i] for i in missing]
@@ -120,6 +132,7 @@ class WordTokens:
             first = len(self.place)
             at[missing] = np.arange(first, first + len(new))
             self.place.update(zip(new, range(first, first + len(new)), strict=True))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-            self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
-        return self.starts[at], self.lengths[at], self.ids
+            self.starts = extended(self.starts, first, self.used + np.cumsum(lengths) - lengths)
+            self.lengths, self.ids = extended(self.lengths, first, lengths), extended(self.ids, self.used, ids)
+            self.used += len(ids)
+        return self.starts[at].astype(np.int64), self.lengths[at].astype(np.int64), self.ids
