@@ -2,16 +2,18 @@
 
 Documents become ids of a public word-piece vocabulary and one closing id; what is longer
 than a sequence is cut into pieces. Pieces are dealt by their places into buckets of a
-stated size, so that no id or text makes a bucket large, and each bucket, longest pieces
-first, is packed by itself: bounded-space online best-fit, in which a bitset keyed by free space finds the fullest open sequence that still
-takes the piece; if none does and all places for open sequences are taken, the fullest is
-closed first. Dealing into buckets costs about one sequence in a thousand.
+stated size, so that no id or text makes a bucket large. Each bucket is packed by itself,
+its pieces in the order of their seeded draws and none known in advance: bounded-space
+online best-fit, in which a bitset keyed by free space finds the fullest open sequence that
+still takes the piece; if none does and all places for open sequences are taken, the
+fullest is closed first.
 
 Only (id, piece, start, length, checksum) is shuffled, never text or ids.
 
 Defined cases: a null or empty text is one piece that holds the closing id alone; texts of
 any length are encoded whole; repeated rows are packed as often as they stand; an empty
-table gives no pieces; strings of special tokens in a text are ordinary text.
+table gives no pieces; strings of special tokens in a text become those tokens, as the
+vocabulary's own library has it.
 """
 
 from __future__ import annotations
@@ -34,7 +36,7 @@ from tokenizers import Tokenizer
 
 from .shared import WordTokens, flat_words, gather, slices, staged, texts_of
 
-CAPACITY, CLOSING_ID, OPEN_BINS, BUCKET_PIECES = 4096, 1, 4096, 8192
+CAPACITY, CLOSING_ID, OPEN_BINS, BUCKET_PIECES = 4096, 1, 256, 8192
 WORD_END = "</w>"
 #: The vocabulary's own split of a word.
 SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -53,7 +55,8 @@ def byte_letters() -> dict[str, int]:
 def word_tokens(path: str) -> WordTokens:
     """Ids of whole words. The line feed, which no word holds, stands for the end of a word, so that many words are encoded in one call."""
     with open(path, encoding="utf-8") as f:
-        vocabulary = json.load(f)["model"]["vocab"]
+        content = json.load(f)
+    vocabulary, special = content["model"]["vocab"], [t["content"] for t in content["added_tokens"]]
     letters = byte_letters()
     ranks, ends = {}, np.zeros(max(vocabulary.values()) + 2, dtype=bool)
     for token, number in vocabulary.items():
@@ -68,14 +71,13 @@ def word_tokens(path: str) -> WordTokens:
     ranks[b"\n"] = len(ends) - 1
     fast = tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={})
     full = Tokenizer.from_file(path)
-    full.encode_special_tokens = True
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         pieces, counts, odd = [], np.ones(len(words), dtype=np.int64), {}
         for k, w in enumerate(words):
             if w.isascii() and w.isalpha():
                 pieces.append(w.lower())
-            elif PLAIN.fullmatch(w):
+            elif PLAIN.fullmatch(w) and not any(t in w for t in special):
                 found = SPLIT.findall(w.lower())
                 counts[k] = len(found)
                 pieces += found
@@ -175,13 +177,13 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS, b
     cut = staged(cut, "pack-pieces")
     buckets = max(1, -(-cut.count() // bucket_pieces))
     # the staged table has fixed places, so a task that runs again deals alike
-    dealt = cut.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), F.monotonically_increasing_id()), F.lit(buckets)))
+    dealt = cut.withColumn("draw", F.xxhash64(F.lit(seed), F.monotonically_increasing_id())).withColumn("bucket", F.pmod("draw", F.lit(buckets)))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
 
     def one(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["length", "ids_crc32", "doc_id", "piece"], ascending=[False, True, True, True], kind="stable")
+        group = group.sort_values("draw")
         sequence, offset = best_fit(group["length"].tolist(), capacity, open_bins)
         base = int(group["bucket"].iloc[0]) << 32
-        return group.drop(columns="bucket").assign(sequence_id=np.array(sequence, dtype=np.int64) + base, offset=np.array(offset, dtype=np.int64))
+        return group.drop(columns=["bucket", "draw"]).assign(sequence_id=np.array(sequence, dtype=np.int64) + base, offset=np.array(offset, dtype=np.int64))
 
     return dealt.groupBy("bucket").applyInPandas(one, f"{fields}, sequence_id long, offset long")

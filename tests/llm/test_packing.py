@@ -3,8 +3,10 @@ import random
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -12,13 +14,11 @@ from tokenizers import Tokenizer
 from guideloom.llm import packing
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["ΣΑΣ ΌΣ", "İstanbul STRASSE straße", "it's don't'll", "日本語 テキスト", "😀😀 a​b", "x² ½ Ⅷ", "́abc a\x1cb", "<|endoftext|> text", "foo\xa0bar", "l’été", "a\x00b", "été"]
+ODD = ["ΣΑΣ ΌΣ", "İstanbul STRASSE straße", "it's don't'll", "日本語 テキスト", "😀😀 a​b", "x² ½ Ⅷ", "́abc a\x1cb", "<|endoftext|> text", "x<|startoftext|>y <|endoftext|>", "<|ENDOFTEXT|> \n<|endoftext|>\té<|endoftext|>日本", "foo\xa0bar", "l’été", "a\x00b", "été"]
 
 
 def brute_ids(text):
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t.encode(text or "", add_special_tokens=False).ids + [1]
+    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_ids_as_by_the_library(frame, prose):
@@ -77,7 +77,31 @@ def test_few_sequences(frame, prose):
     rows = packing.pack(packing.pieces(docs), bucket_pieces=100).collect()
     total = sum(r["length"] for r in rows)
     assert len(rows) == 300
-    assert check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 4096) <= total / 4096 * 1.05 + 4
+    assert check([(r["sequence_id"], r["offset"], r["length"]) for r in rows], 4096) <= total / 4096 * 1.05 + 8
+
+
+def test_the_fullest_closes_first(spark):
+    """Through pack, with the bound it has in production: more sequences than may be open cannot be filled up later, and those closed are the fullest."""
+    r = random.Random(2)
+    large = [r.randint(2100, 4000) for _ in range(3000)]
+    rows = [(k, 0, 0, n, k) for k, n in enumerate(large)]
+    cut = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").coalesce(1)
+    out = packing.pack(cut, bucket_pieces=10**6).collect()
+    check([(x["sequence_id"], x["offset"], x["length"]) for x in out], 4096)
+    assert len({x["sequence_id"] for x in out}) == 3000  # no two fit together
+    # 3000 large pieces, then as many that fit beside the emptiest only
+    sequence, _ = packing.best_fit([*large, *[96] * 3000], 4096)
+    used = {s for s in sequence[3000:] if s < 3000}
+    emptiest = sorted(range(3000), key=lambda k: large[k])[: packing.OPEN_BINS]
+    assert 0 < len(used) <= packing.OPEN_BINS and used - {2999} <= set(emptiest)  # the last was opened after the last closing
+
+
+def test_ids_of_every_document_as_by_the_library():
+    texts = [r[0] for r in duckdb.execute("SELECT text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()]
+    whole = Tokenizer.from_file(PATH)
+    sizes, ids = packing.document_ids(pa.array(texts, type=pa.string()).fill_null(""), PATH)
+    for text, own in zip(texts, np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
+        assert own.tolist() == whole.encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_odd_tables(frame):
