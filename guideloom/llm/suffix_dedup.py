@@ -7,8 +7,8 @@ with a smaller id, or earlier in the same one. Strings never cross documents.
    grams are anchors: about one byte in 35. Equal strings have equal anchors at equal
    places, so whoever compares the surroundings of equal anchors misses nothing.
 2. Surroundings are the bytes that a string of span bytes through the anchor can reach.
-   Of equal anchors with equal surroundings, by a 64-bit digest, all but the first repeat
-   throughout. What is left of an anchor that stands alone is dropped; where different
+   Of equal anchors (a 64-bit hash) with equal surroundings (another 64 bits, of all their
+   bytes), all but the first repeat throughout. What is left of an anchor that stands alone is dropped; where different
    surroundings are left, their bytes are cut out.
 3. The surroundings of equal anchors are sorted twice, to the right of the anchor and
    backwards to its left: multikey quicksort to a shallow depth, then a blind trie for
@@ -19,8 +19,11 @@ with a smaller id, or earlier in the same one. Strings never cross documents.
 4. Marks are joined to stretches and cut from the text.
 
 Anchors, never whole suffixes, are shuffled by hash; the text is shuffled once, by
-document, and that exchange serves twice. One task holds the different surroundings of one
-anchor at a time.
+document, and that exchange serves twice. An anchor that is frequent in one step is known
+not to stand alone, so its surroundings are dealt out by digest, and one with more than
+GROUP_ROWS different surroundings is cut into smaller groups by longer and longer bytes
+around it, until those of different bytes are apart (see smaller_groups): no task holds or
+orders more of one anchor than that.
 
 Defined cases: null and empty texts and texts shorter than span lose nothing; rows that
 share an id are ordered by a hash of their text; rows that share id and text are one
@@ -32,17 +35,20 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import slices, staged
+from .shared import gather, slices, staged
 
 SPAN, GRAM, SHALLOW = 100, 32, 16
 #: Bytes of text that one step hashes, and surroundings that one step sorts.
 STEP_BYTES, STEP_ROWS = 1 << 20, 100_000
+#: Different surroundings of an anchor that one task sorts at once, and how many in one step make an anchor frequent.
+GROUP_ROWS, FREQUENT = 4096, 4
 
 
 def _table() -> np.ndarray:
@@ -164,27 +170,49 @@ class BlindTrie:
 def deep_shallow(group: np.ndarray, rows: np.ndarray, lengths: np.ndarray, common: int, shallow: int = SHALLOW) -> np.ndarray:
     """The order of rows (bytes, zeros after `lengths`) within their groups.
 
-    Multikey quicksort, eight bytes a key and all open segments at once, from `common`
-    (what rows of a group share) to `shallow` bytes further; segments still tied go to a
-    blind trie."""
-    width = rows.shape[1]
-    order, segment = np.argsort(group, kind="stable"), None
-    segment = np.cumsum(np.r_[0, (np.diff(group[order]) != 0).astype(np.int64)])
-    for a in [*range(0, common, 8), *range(common, common + shallow, 8)]:
-        key = np.zeros((len(rows), 8), dtype=np.uint8)
-        part = rows[order, a : min(a + 8, width)]
-        key[:, : part.shape[1]] = part
-        key = key.view(">u8").ravel()
-        by = np.lexsort((key, segment))
-        order, segment, key = order[by], segment[by], key[by]
-        segment = np.cumsum(np.r_[0, ((np.diff(segment) != 0) | (key[1:] != key[:-1])).astype(np.int64)])
-    starts = np.flatnonzero(np.r_[True, np.diff(segment) != 0])
-    sizes = np.diff(np.r_[starts, len(order)])
-    for a, n in zip(starts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+    Multikey quicksort, eight bytes a key and all open segments at once: each round parts
+    every segment by a pivot in three, less, equal and greater, and only the equal part goes
+    on eight bytes deeper. It starts behind the `common` bytes that rows of a group share (by
+    their hash; where that is wrong, all rows go to the trie); equal parts `shallow` bytes
+    further go to a blind trie."""
+    n, width = rows.shape
+    order = np.argsort(group, kind="stable")
+    fresh = np.diff(group[order]) != 0
+    if common:  # the hash may be that of other bytes
+        odd = (rows[order[1:], :common] != rows[order[:-1], :common]).any(axis=1) & ~fresh
+        mixed = np.zeros(int(group.max()) + 1 if n else 0, dtype=bool)
+        mixed[group[order[1:][odd]]] = True
+    keys = [np.pad(rows[:, a : a + 8], ((0, 0), (0, max(0, a + 8 - width)))).copy().view(">u8").ravel() for a in range(common, min(common + shallow, width), 8)]
+    begins = np.flatnonzero(np.r_[True, fresh])
+    sizes = np.diff(np.r_[begins, n])
+    depths = np.zeros(len(begins), dtype=np.int64)
+    if common:
+        depths[mixed[group[order[begins]]]] = len(keys)
+    deep = []
+    while len(begins):
+        done = (sizes > 1) & (depths == len(keys))
+        deep += zip(begins[done].tolist(), sizes[done].tolist(), strict=True)
+        going = (sizes > 1) & ~done
+        begins, sizes, depths = begins[going], sizes[going], depths[going]
+        if not len(begins):
+            break
+        place, segment = gather(begins, sizes), np.repeat(np.arange(len(begins)), sizes)
+        held = order[place]
+        key = np.stack(keys)[depths[segment], held] if len(keys) > 1 else keys[0][held]
+        third = (np.cumsum(sizes) - sizes)[:, None] + np.stack([np.zeros_like(sizes), sizes // 2, sizes - 1], axis=1)
+        pivot = np.sort(key[third], axis=1)[:, 1][segment]  # median of three
+        part = 3 * segment + (key >= pivot) + (key > pivot)
+        by = np.argsort(part, kind="stable")
+        order[place] = held[by]
+        part = part[by]
+        opens = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        begins, sizes = place[opens], np.diff(np.r_[opens, len(part)])
+        depths = depths[part[opens] // 3] + (part[opens] % 3 == 1)
+    for a, m in deep:
         trie = BlindTrie()
-        for k in order[a : a + n].tolist():
+        for k in order[a : a + m].tolist():
             trie.insert(rows[k, : lengths[k]].tobytes(), k)
-        order[a : a + n] = trie.order()
+        order[a : a + m] = trie.order()
     return order
 
 
@@ -197,8 +225,8 @@ def neighbour_prefixes(order: np.ndarray, group: np.ndarray, rows: np.ndarray, l
     return np.r_[-1, np.where(group[a] == group[b], found, -1)]
 
 
-def repeated_around(group: np.ndarray, left: np.ndarray, before: np.ndarray, right: np.ndarray, after: np.ndarray, span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """For each anchor, (least, most) o for which the string that starts o bytes before it also stands around an earlier anchor of its group; most is -1 if there is none.
+def repeated_around(group: np.ndarray, left: np.ndarray, before: np.ndarray, right: np.ndarray, after: np.ndarray, span: int = SPAN, gram: int = GRAM, low: np.ndarray | int = 0, high: np.ndarray | int = SPAN) -> tuple[np.ndarray, np.ndarray]:
+    """For each anchor, (least, most) o for which the string that starts o bytes before it also stands around an earlier anchor of its group; most is -1 if there is none. Only o from low to high count.
 
     Rows come in order of place. left: the bytes before the anchor, backwards."""
     n = len(group)
@@ -212,7 +240,7 @@ def repeated_around(group: np.ndarray, left: np.ndarray, before: np.ndarray, rig
     for o in range(span - gram + 1):
         run_r[order_r] = np.cumsum(prefix_r < span - o)
         run_l[order_l] = np.cumsum(prefix_l < o)
-        able = np.flatnonzero((after >= span - o) & (before >= o))
+        able = np.flatnonzero((after >= span - o) & (before >= o) & (low <= o) & (o <= high))
         first = np.unique(run_r[able] * (n + 1) + run_l[able], return_index=True)[1]
         later = np.ones(len(able), dtype=bool)
         later[first] = False
@@ -264,7 +292,7 @@ def numbered(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Da
     return joined, joined.dropDuplicates(["seq"])
 
 
-def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most_rows: int = GROUP_ROWS) -> DataFrame:
     """(seq, low, high): stretches of bytes to remove, as they come from each anchor. docs: (seq, doc_id, text)."""
     reach = span - gram
 
@@ -285,8 +313,15 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                 order = np.lexsort((at, seq))
                 again = np.ones(len(at), dtype=bool)  # seen here before: settled, and kept away from the task of a frequent anchor
                 again[order[np.unique(digest[order], return_index=True)[1]]] = False
-                key = np.where(again, digest ^ digests(np.zeros((len(at), 0), dtype=np.uint8), seq, at), hashes)
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(seq), pa.array(at), pa.array(after.astype(np.int32)), pa.array(again)], names=["hash", "digest", "seq", "at", "after", "again"])
+                # the different surroundings of an anchor that is frequent here: all but the first are dealt out by digest, marked as not alone
+                new = order[~again[order]]
+                _, first, which, times = np.unique(hashes[new], return_index=True, return_inverse=True, return_counts=True)
+                many = np.zeros(len(at), dtype=bool)
+                many[new] = times[which] >= FREQUENT
+                dealt = many.copy()
+                dealt[new[first]] = False
+                key = np.where(again, digest ^ digests(np.zeros((len(at), 0), dtype=np.uint8), seq, at), np.where(dealt, digest ^ hashes, hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(hashes.view(np.int64), mask=~dealt), pa.array(digest.view(np.int64)), pa.array(seq), pa.array(at), pa.array(after.astype(np.int32)), pa.array(again), pa.array(many)], names=["key", "hash", "digest", "seq", "at", "after", "again", "many"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -309,42 +344,78 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataF
                 yield pa.RecordBatch.from_arrays([pa.array(all_hashes[a : a + STEP_ROWS]), pa.array(seqs[of]), pa.array(at), pa.array(after.astype(np.int32)), body], names=["hash", "seq", "at", "after", "body"])
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # rows of the last group, which may go on in the next batch
+        held = None  # rows of the last group, which may go on in the next batch; no group has more than `most` rows
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "seq", "at", "after")]
+            rows = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "seq", "at", "after", "least", "most")]
             rows.append(np.frombuffer(b"".join(batch.column("body").to_pylist()), dtype=np.uint8).reshape(-1, span + reach))
             told = 0
             if held is not None and held[0][0] == rows[0][0]:
                 told = len(held[0])
                 rows = [np.concatenate([a, b]) for a, b in zip(held, rows, strict=True)]
-            hashes, seq, at, after, context = rows
-            group = np.cumsum(np.r_[0, (hashes[1:] != hashes[:-1]).astype(np.int64)])
-            least, most = repeated_around(group, np.ascontiguousarray(context[:, :reach][:, ::-1]), np.minimum(at, reach), np.ascontiguousarray(context[:, reach:]), after.astype(np.int64), span, gram)
+            keys, seq, at, after, low, high, context = rows
+            group = np.cumsum(np.r_[0, (keys[1:] != keys[:-1]).astype(np.int64)])
+            least, most = repeated_around(group, np.ascontiguousarray(context[:, :reach][:, ::-1]), np.minimum(at, reach), np.ascontiguousarray(context[:, reach:]), after.astype(np.int64), span, gram, low, high)
             hit = most >= 0
             hit[:told] = False
             held = [x[group == group[-1]] for x in rows]
             yield pa.RecordBatch.from_arrays([pa.array(seq[hit]), pa.array((at - most)[hit]), pa.array((at - least + span)[hit])], names=["seq", "low", "high"])
 
-    found = docs.select("seq", "text").mapInArrow(find, "hash long, digest long, seq long, at long, after int, again boolean")
-    same = Window.partitionBy("hash", "digest").orderBy("seq", "at")
-    shared = found.withColumn("nth", F.row_number().over(same)).withColumn("low", F.min("digest").over(Window.partitionBy("hash"))).withColumn("high", F.max("digest").over(Window.partitionBy("hash")))
-    mark = (F.col("nth") == 1) & (F.col("low") != F.col("high")) & ~F.col("again")
+    found = docs.select("seq", "text").mapInArrow(find, "key long, hash long, digest long, seq long, at long, after int, again boolean, many boolean")
+    same, alike = Window.partitionBy("key", "digest").orderBy("seq", "at"), Window.partitionBy("key")
+    shared = found.withColumn("nth", F.row_number().over(same)).withColumn("low", F.min("digest").over(alike)).withColumn("high", F.max("digest").over(alike)).withColumn("known", F.max("many").over(alike))
+    mark = (F.col("nth") == 1) & ((F.col("low") != F.col("high")) | F.col("known")) & ~F.col("again")
     before = F.least(F.col("at"), F.lit(reach))
     repeat = (F.col("again") | (F.col("nth") > 1)) & (before + F.col("after") >= span)
-    settled = staged(shared.filter(mark | repeat).select("seq", "at", "after", F.when(mark, F.col("hash")).alias("hash")), "suffix-anchors")  # read twice, found once
+    settled = staged(shared.filter(mark | repeat).select("seq", "at", "after", F.when(mark, F.coalesce("hash", "key")).alias("hash")), "suffix-anchors")  # read often, found once
     whole = settled.filter("hash is null").select("seq", (F.col("at") - before).alias("low"), (F.col("at") + F.col("after")).alias("high"))
-    marks = settled.filter("hash is not null").groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
+    marked = settled.filter("hash is not null")
+    marks = marked.groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
     around = docs.join(marks, "seq", "left").mapInArrow(cut, "hash long, seq long, at long, after int, body binary")
-    parts = around.repartition("hash").sortWithinPartitions("hash", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
-    return whole.unionByName(parts)
+    around = around.select(F.col("hash").alias("key"), "seq", "at", "after", F.lit(0).alias("least"), F.lit(reach).alias("most"), "body")
+    large = staged(marked.groupBy("hash").count().filter(F.col("count") > most_rows).select(F.col("hash").alias("key")), "suffix-large")
+    known = whole
+    if large.limit(1).count():
+        around = staged(around, "suffix-around")
+        around, certain = smaller_groups(around.join(large, "key", "left_anti"), around.join(large, "key", "left_semi"), span, reach, most_rows)
+        known = known.unionByName(certain)
+    parts = around.repartition("key").sortWithinPartitions("key", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
+    return known.unionByName(parts)
+
+
+def smaller_groups(small: DataFrame, large: DataFrame, span: int, reach: int, most_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(rows in groups of at most most_rows, stretches to remove for certain). Rows: key, seq, at, after, least, most, body.
+
+    Strings that start least to most bytes before an anchor all hold the bytes from `least`
+    before it to span - most behind it. So a large group is cut by those bytes, for each half
+    of the range by itself, and those of different bytes never meet; most rows are then alone
+    and out. At last the range is one place, and the bytes are the string itself: all but the
+    first row of such a group are repeats."""
+    done, certain = [small], []
+    while True:
+        middle = F.floor((F.col("least") + F.col("most")) / 2).cast("int")
+        halves = F.array(F.struct(F.col("least").alias("a"), middle.alias("b")), F.struct((middle + 1).alias("a"), F.col("most").alias("b")))
+        cut = large.withColumn("half", F.explode(halves)).withColumn("least", F.col("half.a")).withColumn("most", F.col("half.b")).drop("half")
+        cut = cut.filter((F.col("least") <= F.col("most")) & (F.least("at", F.lit(reach)) >= F.col("least")) & (F.col("after") >= span - F.col("most")))
+        core = F.expr(f"substring(body, {reach} - least + 1, {span} + least - most)")
+        cut = staged(cut.withColumn("key", F.xxhash64("key", "least", F.md5(core))), "suffix-cut")
+        sizes = cut.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+        sized = cut.join(sizes, "key")
+        done.append(sized.filter(F.col("n") <= most_rows).drop("n"))
+        over = sized.filter(F.col("n") > most_rows)
+        one = over.filter("least = most")
+        first = one.groupBy("key").agg(F.min(F.struct("seq", "at")).alias("first"))
+        certain.append(one.join(first, "key").filter(F.struct("seq", "at") != F.col("first")).select("seq", (F.col("at") - F.col("least")).alias("low"), (F.col("at") - F.col("least") + span).alias("high")))
+        large = staged(over.filter("least < most").drop("n"), "suffix-large-groups")
+        if not large.limit(1).count():
+            return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, certain)
 
 
 def without_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (the bytes that stay)."""
     rows, once = numbered(docs, id_col, text_col)
-    spans = repeated_spans(once, span).groupBy("seq").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = repeated_spans(once, span, most_rows=GROUP_ROWS).groupBy("seq").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,6 +57,34 @@ def test_groups_across_batches(spark, frame, prose):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_large_groups_are_cut(frame, prose, monkeypatch):
+    """Groups of more than three rows go by the bytes around the anchor, down to single places."""
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 3)
+    monkeypatch.setattr(suffix_dedup, "FREQUENT", 2)
+    for seed in (3, 4):
+        texts = corpus(prose, seed)
+        assert run(frame(texts)) == dict(enumerate(brute(texts)))
+
+
+def test_an_anchor_in_very_many_places(frame, monkeypatch):
+    """A line of 60 bytes that stands in 20000 texts between others, now and then with what was around it before."""
+    r = random.Random(8)
+    line = "".join(r.choices("abcdefgh", k=60))
+    texts, letters = [], "abcdefghijklmnop"
+    for k in range(20_000):
+        left, right = "".join(r.choices(letters, k=44)), "".join(r.choices(letters, k=44))
+        if k % 50 == 1:
+            left = texts[-1][:44]
+        if k % 70 == 2:
+            right = texts[-1][-44:]
+        texts.append(left + line + right)
+    found = []
+    original = suffix_dedup.smaller_groups
+    monkeypatch.setattr(suffix_dedup, "smaller_groups", lambda *a: found.append(1) or original(*a))
+    got = run(frame(texts))
+    assert found and got == dict(enumerate(brute(texts))) and sum(g[1] > 0 for g in got.values()) > 500
+
+
 def test_steps_find_the_same_anchors(prose):
     raw = np.frombuffer((prose(3000, 5) + "ab" * 500).encode(), dtype=np.uint8)
     ends = np.array([700, 720, 5000, len(raw)])
@@ -75,6 +103,10 @@ def test_deep_shallow_orders():
         rows[k, : len(s)] = list(s)
     group = np.array([k % 3 for k in range(len(strings))])
     order = suffix_dedup.deep_shallow(group, rows, lengths, 0, 8)
+    # behind shared bytes, and behind bytes that are wrongly said to be shared
+    for common, shallow in ((8, 8), (8, 24)):
+        lead = np.where((group == 2)[:, None], rows[:, :8], 7)
+        assert suffix_dedup.deep_shallow(group, np.concatenate([lead, rows], axis=1), lengths + 8, common, shallow).tolist() == suffix_dedup.deep_shallow(group, np.concatenate([lead, rows], axis=1), lengths + 8, 0, 48).tolist()
     assert [(group[k], strings[k]) for k in order] == sorted((group[k], strings[k]) for k in range(len(strings)))
 
 
