@@ -48,7 +48,7 @@ SPAN, GRAM, SHALLOW = 100, 32, 16
 #: Bytes of text that one step hashes, and surroundings that one step sorts.
 STEP_BYTES, STEP_ROWS = 1 << 20, 100_000
 #: Different surroundings of an anchor that one task sorts at once, and how many in one step make an anchor frequent.
-GROUP_ROWS, FREQUENT = 4096, 4
+GROUP_ROWS, FREQUENT = 65_536, 4
 
 
 def _table() -> np.ndarray:
@@ -399,15 +399,15 @@ def smaller_groups(small: DataFrame, large: DataFrame, span: int, reach: int, mo
         cut = large.withColumn("half", F.explode(halves)).withColumn("least", F.col("half.a")).withColumn("most", F.col("half.b")).drop("half")
         cut = cut.filter((F.col("least") <= F.col("most")) & (F.least("at", F.lit(reach)) >= F.col("least")) & (F.col("after") >= span - F.col("most")))
         core = F.expr(f"substring(body, {reach} - least + 1, {span} + least - most)")
-        cut = staged(cut.withColumn("key", F.xxhash64("key", "least", F.md5(core))), "suffix-cut")
+        cut = cut.withColumn("key", F.xxhash64("key", "least", F.md5(core)))
         sizes = cut.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-        sized = cut.join(sizes, "key")
+        sized = staged(cut.join(sizes, "key"), "suffix-cut")
         done.append(sized.filter(F.col("n") <= most_rows).drop("n"))
         over = sized.filter(F.col("n") > most_rows)
         one = over.filter("least = most")
         first = one.groupBy("key").agg(F.min(F.struct("seq", "at")).alias("first"))
         certain.append(one.join(first, "key").filter(F.struct("seq", "at") != F.col("first")).select("seq", (F.col("at") - F.col("least")).alias("low"), (F.col("at") - F.col("least") + span).alias("high")))
-        large = staged(over.filter("least < most").drop("n"), "suffix-large-groups")
+        large = over.filter("least < most").drop("n")
         if not large.limit(1).count():
             return reduce(DataFrame.unionByName, done), reduce(DataFrame.unionByName, certain)
 

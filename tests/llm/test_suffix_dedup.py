@@ -78,6 +78,7 @@ def test_an_anchor_in_very_many_places(frame, monkeypatch):
         if k % 70 == 2:
             right = texts[-1][-44:]
         texts.append(left + line + right)
+    monkeypatch.setattr(suffix_dedup, "GROUP_ROWS", 4096)
     found = []
     original = suffix_dedup.smaller_groups
     monkeypatch.setattr(suffix_dedup, "smaller_groups", lambda *a: found.append(1) or original(*a))
