@@ -4,7 +4,9 @@ The reader takes little- and big-endian files, strips and tiles, 8-bit samples,
 planar, without compression or with PackBits, LZW or deflate, and undoes the horizontal
 predictor. It gives one row a page, in the order of the directories.
 
-Defined cases: null or broken files give one row with page null and an error; an empty
+Defined cases: null files and files without a page give one row with page null and an
+error; a broken file gives the pages before the fault and then such a row, and so does one
+whose page is larger than a stated bound or than its data can hold; an empty
 table gives no rows; each file is held by one task, one at a time; columns other than the
 id and the file are not read.
 """
@@ -14,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -28,15 +30,24 @@ CODES = {"none": 1, "lzw": 5, "deflate": 8, "packbits": 32773}
 TYPES = {1: "B", 3: "H", 4: "I"}
 
 PAGE_WIDTH, PAGE_ROWS, STRIP_ROWS = 576, 1024, 128
+#: Largest page to unpack, in bytes.
+MAX_PAGE_BYTES = 1 << 30
+#: The forms in which texts are stored, by checksum: compression, predictor, size of tiles (none: strips).
+FORMS = [("deflate", False, None), ("deflate", True, None), ("deflate", False, (192, 16)), ("deflate", True, (96, 32)), ("packbits", False, None), ("packbits", True, (288, 16)), ("lzw", True, None), ("lzw", False, (192, 16))]
 
 
 class TiffError(ValueError):
     """The file is not one that this reader takes."""
 
 
-def unpackbits(data: bytes) -> bytes:
+#: What a damaged file may raise.
+BROKEN = (TiffError, zlib.error, struct.error, IndexError, KeyError, ValueError, OverflowError, MemoryError)
+
+
+def unpackbits(data: bytes, need: int) -> bytes:
+    """Unpacked bytes, no more than one run beyond `need`."""
     out, at = bytearray(), 0
-    while at < len(data):
+    while at < len(data) and len(out) < need:
         n = data[at]
         if n < 128:
             out += data[at + 1 : at + n + 2]
@@ -73,11 +84,11 @@ def packbits(data: bytes) -> bytes:
     return bytes(out)
 
 
-def unlzw(data: bytes) -> bytes:
-    """Codes of 9 to 12 bits, high bit first; the width grows one code early."""
+def unlzw(data: bytes, need: int) -> bytes:
+    """Codes of 9 to 12 bits, high bit first; the width grows one code early. No more than one entry beyond `need`."""
     table = [bytes([i]) for i in range(256)] + [b"", b""]
     out, bits, held, at, width, last = [], 0, 0, 0, 9, None
-    while True:
+    while need > 0:
         while held < width:
             if at >= len(data):
                 return b"".join(out)
@@ -100,50 +111,59 @@ def unlzw(data: bytes) -> bytes:
             if len(table) + 1 >= 1 << width and width < 12:
                 width += 1
         out.append(entry)
+        need -= len(entry)
         last = entry
+    return b"".join(out)
 
 
 def lzw(data: bytes) -> bytes:
-    table: dict[bytes, int] = {}
-    out, bits, held, width, size = bytearray(), 0, 0, 9, 258
-
-    def put(code: int) -> None:
-        nonlocal bits, held
-        bits, held = bits << width | code, held + width
-        while held >= 8:
-            out.append(bits >> (held - 8) & 255)
-            held -= 8
-        bits &= (1 << held) - 1
-
-    put(256)
-    known = b""
+    """The codes are found one by one, and their bits put together at once."""
+    codes, widths = [256], []
+    table: dict[int, int] = {}
+    width, size, code = 9, 258, -1
     for b in data:
-        longer = known + bytes([b])
-        if len(longer) == 1 or longer in table:
-            known = longer
+        if code < 0:
+            code = b
             continue
-        put(known[0] if len(known) == 1 else table[known])
-        table[longer] = size
+        key = code << 8 | b
+        longer = table.get(key)
+        if longer is not None:
+            code = longer
+            continue
+        codes.append(code)
+        table[key] = size
         size += 1
         if size == 4094:
-            put(256)
+            codes.append(256)
+            widths += [width] * (len(codes) - len(widths))
             table, width, size = {}, 9, 258
         elif size + 1 > 1 << width:
+            widths += [width] * (len(codes) - len(widths))
             width += 1
-        known = longer[-1:]
-    if known:
-        put(known[0] if len(known) == 1 else table[known])
+        code = b
+    if code >= 0:
+        codes.append(code)
         size += 1
         if size + 1 > 1 << width and width < 12:
+            widths += [width] * (len(codes) - len(widths))
             width += 1
-    put(257)
-    if held:
-        out.append(bits << (8 - held) & 255)
-    return bytes(out)
+    codes.append(257)
+    widths += [width] * (len(codes) - len(widths))
+    places = np.arange(11, -1, -1)
+    bits = np.array(codes)[:, None] >> places & 1
+    return np.packbits(bits[places[None] < np.array(widths)[:, None]].astype(np.uint8)).tobytes()
 
 
 PACK = {"none": lambda d: d, "lzw": lzw, "deflate": lambda d: zlib.compress(d, 1), "packbits": packbits}
-UNPACK = {1: bytes, 5: unlzw, 8: zlib.decompress, 32946: zlib.decompress, 32773: unpackbits}
+
+
+def inflate(data: bytes, need: int) -> bytes:
+    """At most `need` bytes, so that a small file cannot fill the memory."""
+    return zlib.decompressobj().decompress(data, need)
+
+
+#: How to unpack each compression, and the most bytes that it makes of one.
+UNPACK = {1: (lambda data, need: data[:need], 1), 5: (unlzw, 3840), 8: (inflate, 1032), 32946: (inflate, 1032), 32773: (unpackbits, 64)}
 
 
 def directories(data: bytes) -> Iterator[dict[int, tuple]]:
@@ -168,13 +188,15 @@ def directories(data: bytes) -> Iterator[dict[int, tuple]]:
         at = struct.unpack_from(order + "I", data, at + 2 + 12 * n)[0]
 
 
-def page_samples(data: bytes, tags: dict[int, tuple]) -> np.ndarray:
-    """Samples of a page as (height, width, samples), strips or tiles unpacked and predictors undone."""
+def page_samples(data: bytes, tags: dict[int, tuple], most: int = MAX_PAGE_BYTES) -> np.ndarray:
+    """Samples of a page as (height, width, samples), strips or tiles unpacked and predictors undone. Pages of more than `most` bytes, or of more than their data can hold, are errors before anything is allocated."""
     one = lambda tag, default: tags.get(tag, (default,))[0]
     width, height, samples, planar = one(WIDTH, 0), one(HEIGHT, 0), one(SAMPLES, 1), one(PLANAR, 1)
     if set(tags.get(BITS, (1,))) != {8} or not width or not height:
         raise TiffError("8-bit samples only")
-    unpack = UNPACK.get(one(COMPRESSION, 1))
+    if not samples or planar not in (1, 2):
+        raise TiffError("no samples or an unknown arrangement")
+    unpack, ratio = UNPACK.get(one(COMPRESSION, 1), (None, 0))
     if not unpack:
         raise TiffError("unknown compression")
     tiled = TILE_OFFSETS in tags
@@ -185,13 +207,15 @@ def page_samples(data: bytes, tags: dict[int, tuple]) -> np.ndarray:
     across, down, planes = -(-width // w), -(-height // h), samples if planar == 2 else 1
     if len(offsets) < across * down * planes or len(sizes) != len(offsets):
         raise TiffError("too few strips or tiles")
+    if width * height * samples > min(most, ratio * sum(min(n, len(data)) for n in sizes)) or w * h * samples > most:
+        raise TiffError("page too large")
     each = samples // planes
     out = np.zeros((height, width, samples), dtype=np.uint8)
     for k in range(across * down * planes):
         plane, cell = divmod(k, across * down)
         top, left = cell // across * h, cell % across * w
         rows = h if tiled else min(h, height - top)
-        raw = np.frombuffer(unpack(data[offsets[k] : offsets[k] + sizes[k]]), dtype=np.uint8)
+        raw = np.frombuffer(unpack(data[offsets[k] : offsets[k] + sizes[k]], rows * w * each), dtype=np.uint8)
         if len(raw) < rows * w * each:
             raise TiffError("short strip or tile")
         block = raw[: rows * w * each].reshape(rows, w, each)
@@ -209,14 +233,14 @@ def read_pages(data: bytes) -> Iterator[np.ndarray]:
         yield page_samples(data, tags)
 
 
-def write_tiff(pages: list[np.ndarray], compression: str = "deflate", predictor: bool = False, tile: int = 0, strip_rows: int = STRIP_ROWS, order: str = "<", planar: bool = False) -> bytes:
-    """A file of pages (height, width, samples) of 8 bits. tile: side of square tiles, a multiple of 16, or 0 for strips."""
+def write_tiff(pages: list[np.ndarray], compression: str = "deflate", predictor: bool = False, tile: tuple[int, int] | None = None, strip_rows: int = STRIP_ROWS, order: str = "<", planar: bool = False) -> bytes:
+    """A file of pages (height, width, samples) of 8 bits. tile: width and height of tiles, multiples of 16, or none for strips."""
     out = bytearray((b"II" if order == "<" else b"MM") + struct.pack(order + "HI", 42, 0))
     link = 4
     for page in pages:
         height, width, samples = page.shape
         planes = [page[:, :, k : k + 1] for k in range(samples)] if planar else [page]
-        w, h = (tile, tile) if tile else (width, strip_rows)
+        w, h = tile or (width, strip_rows)
         places, sizes = [], []
         for plane in planes:
             for top in range(0, height, h):
@@ -231,7 +255,7 @@ def write_tiff(pages: list[np.ndarray], compression: str = "deflate", predictor:
                     sizes.append(len(packed))
                     out += packed + b"\0" * (len(packed) & 1)
         tags = [(WIDTH, "I", [width]), (HEIGHT, "I", [height]), (BITS, "H", [8] * samples), (COMPRESSION, "H", [CODES[compression]]), (PHOTOMETRIC, "H", [2 if samples == 3 else 1]), (SAMPLES, "H", [samples]), (PLANAR, "H", [2 if planar else 1]), (PREDICTOR, "H", [2 if predictor else 1])]
-        tags += [(TILE_WIDTH, "I", [tile]), (TILE_HEIGHT, "I", [tile]), (TILE_OFFSETS, "I", places), (TILE_BYTES, "I", sizes)] if tile else [(STRIP_OFFSETS, "I", places), (ROWS_PER_STRIP, "I", [strip_rows]), (STRIP_BYTES, "I", sizes)]
+        tags += [(TILE_WIDTH, "I", [w]), (TILE_HEIGHT, "I", [h]), (TILE_OFFSETS, "I", places), (TILE_BYTES, "I", sizes)] if tile else [(STRIP_OFFSETS, "I", places), (ROWS_PER_STRIP, "I", [strip_rows]), (STRIP_BYTES, "I", sizes)]
         entries = b""
         for tag, kind, values in sorted(tags):
             raw = struct.pack(f"{order}{len(values)}{kind}", *values)
@@ -273,10 +297,12 @@ def tiff_pages(files: DataFrame, id_col: str = "file_id", data_col: str = "data"
                 try:
                     for p, x in enumerate(read_pages(data or b"")):
                         found.append((p, x.shape[1], x.shape[0], x.shape[2], x.tobytes(), None))
-                except (TiffError, zlib.error, struct.error, IndexError, KeyError) as e:
+                    if not found:
+                        raise TiffError("no pages")
+                except BROKEN as e:
                     found.append((None, None, None, None, None, str(e) or "broken file"))
                 ids = pa.array(batch.column("file_id").slice(k, 1).to_pylist() * len(found), type=batch.schema.field("file_id").type)
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, type=t) for c, t in zip(zip(*found, strict=True), types, strict=True)]] if found else [ids, *[pa.array([], type=t) for t in types]], names=["file_id", "page", "width", "height", "samples", "pixels", "error"])
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, type=t) for c, t in zip(zip(*found, strict=True), types, strict=True)]], names=["file_id", "page", "width", "height", "samples", "pixels", "error"])
 
     return rows.mapInArrow(read, f"file_id {kind}, page int, width int, height int, samples int, pixels binary, error string")
 
@@ -287,15 +313,15 @@ def payload_of(text: str | None) -> tuple[int, bytes]:
     return len(raw), raw.ljust(max(1, -(-len(raw) // PAGE_WIDTH)) * PAGE_WIDTH, b"\xff")
 
 
-def store_and_read(docs: DataFrame, compression: str = "deflate", predictor: bool = False, tile: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each text as a TIFF file, read back: sizes, checksums of what was read, and a feature of the pages."""
+def store_and_read(docs: DataFrame, forms: Sequence[tuple[str, bool, tuple[int, int] | None]] = FORMS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Each text as a TIFF file, read back: sizes, checksums of what was read, and a feature of the pages. Its form follows from its checksum, so equal texts have equal files and all forms are met."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
 
     def one(text: str | None) -> tuple:
         n, payload = payload_of(text)
-        media = write_tiff(bytes_to_pages(payload), compression, predictor, tile)
+        media = write_tiff(bytes_to_pages(payload), *forms[zlib.crc32(payload) % len(forms)])
         pages = list(read_pages(media))
         back = b"".join(p.tobytes() for p in pages)
         return n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), page_feature(pages)
