@@ -1,9 +1,10 @@
 """Secret scans with structural confirmation.
 
 Plain patterns give the base kinds (assign, access, hex). Further candidates are reported
-only after a look at what they hold: base64 or hex runs are decoded and parsed as DER keys
-(nested lengths must fill each other exactly), OpenSSH keys (length-prefixed fields), and
-dotted base64url triples must carry a signed-token header (JSON with "alg"). Runs that go on
+only after a look at what they hold: base64 or hex runs are decoded and parsed as DER private
+keys (RSA, DSA, elliptic curve, PKCS#8 plain or encrypted; lengths must fill each other
+exactly) or OpenSSH private key files (all fields), so that public keys and certificates are
+left alone, and dotted base64url triples must carry a signed-token header (JSON with "alg"). Runs that go on
 in the next line are joined, line ends may be written as backslash and letter, and keys are
 also tried at each place inside a run that looks like the start of one; such a key ends where
 its own lengths say.
@@ -44,12 +45,14 @@ BREAK = r"[ \t]*+(?:\r?\n|(?:\\+r)?\\+n)[ \t]*+"
 WRAPPED = re.compile(rf"(?:(?<![A-Za-z0-9+/_-])|(?<=\\[nrt]))[A-Za-z0-9+/_-]{{40,}}+(?:={{0,2}}{BREAK}[A-Za-z0-9+/_-]++)*+={{0,2}}")
 ARMOUR = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/]){16,}+)-----END [A-Z0-9 ]*PRIVATE KEY-----")
 #: Starts of keys: DER sequences and OpenSSH files in base64, DER sequences in hex.
-START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA|AAAA(?:[BC]3NzaC1|E2VjZHNhL|GnNrLXNz|InNrLWVj)|30(?:8[1-4]|[2-7][0-9A-Fa-f])")
+START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA|30(?:8[1-4]|[2-7][0-9A-Fa-f])")
 #: The first part starts with an opening brace and a quote or white space, encoded. The look-ahead consumes nothing, so that a word before a header hides none.
 JWT = re.compile(r"(?:(?<![A-Za-z0-9_-])|(?<=\\[nrt]))(?=(e[wy][A-Za-z0-9_-]{6,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*+))")
-#: Fields of public keys by algorithm; others have three.
-SSH_FIELDS = {b"ssh-dss": 5, b"ssh-ed25519": 2, b"sk-ecdsa-sha2-nistp256@openssh.com": 4}
-MIN_ASSIGN, MIN_ACCESS = 8, 16
+#: The start of OpenSSH files, object identifiers of password-based encryption (PKCS#5, PKCS#12), and those of keys whose PKCS#8 content is a key of the older form (RSA, elliptic curve).
+SSH_MAGIC = b"openssh-key-v1\0"
+PASSWORD_SCHEMES = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
+WRAPPED_KEYS = (bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"))
+MIN_ASSIGN, MIN_ACCESS, MIN_KEY_BYTES = 8, 16, 24
 
 
 def unbase64(run: str) -> bytes | None:
@@ -78,42 +81,95 @@ def der_item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, start, start + size) if start + size <= end else None
 
 
+def der_fields(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The items that fill a content exactly; None if they do not."""
+    found = []
+    while at < end:
+        item = der_item(data, at, end)
+        if not item:
+            return None
+        found.append(item)
+        at = item[2]
+    return found
+
+
 def is_der_key(data: bytes) -> bool:
-    """A sequence that fills the data, whose items fill it in turn, among them an integer, bit string or octet string of key size."""
+    """A private key whose sequence fills the data: RSA (PKCS#1), DSA, elliptic curve (SEC1), PKCS#8, or PKCS#8 encrypted. Public keys and certificates are none."""
     top = der_item(data, 0, len(data))
-    if not top or top[0] != 0x30 or top[2] != len(data):
+    fields = der_fields(data, top[1], top[2]) if top and top[0] == 0x30 and top[2] == len(data) else None
+    if not fields or len(fields) < 2:
         return False
-    todo, strong = [top], False
-    while todo:
-        _, at, end = todo.pop()
-        if at == end:
-            return False
-        while at < end:
-            item = der_item(data, at, end)
-            if not item:
-                return False
-            if item[0] in (0x02, 0x03, 0x04) and item[2] - item[1] >= 24:
-                strong = True
-            if item[0] in (0x30, 0x31) or item[0] & 0xE0 == 0xA0:
-                todo.append(item)
-            elif item[0] & 0x1F == 0x1F or item[0] & 0xE0 == 0x60:
-                return False
-            at = item[2]
-    return strong
+    tags, sizes = [f[0] for f in fields], [f[2] - f[1] for f in fields]
 
+    def algorithm(item: tuple[int, int, int]) -> bytes | None:
+        """The object identifier of an algorithm: a sequence of it and its parameters."""
+        inner = der_fields(data, item[1], item[2])
+        return data[inner[0][1] : inner[0][2]] if inner and inner[0][0] == 0x06 and len(inner) <= 2 else None
 
-def is_openssh(data: bytes) -> bool:
-    """A private key file, or a public key whose length-prefixed fields fill the data and start with an algorithm name."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
+    if tags[0] == 0x30:
+        return tags == [0x30, 0x04] and sizes[1] >= MIN_KEY_BYTES and (algorithm(fields[0]) or b"").startswith(PASSWORD_SCHEMES)
+    if tags[0] != 0x02 or sizes[0] != 1 or data[fields[0][1]] > 1:
+        return False
+    if set(tags) == {0x02}:  # numbers of an RSA or DSA key
+        return len(tags) in (9, 6) and min(sizes[1], sizes[-1] if len(tags) == 6 else sizes[3]) >= MIN_KEY_BYTES // 2 and sizes[1] >= 2 * MIN_KEY_BYTES
+    rest = [t for t in tags[2:] if t not in (0xA0, 0xA1, 0x81)]
+    if tags[1] == 0x04:
+        return sizes[1] >= MIN_KEY_BYTES and not rest and data[fields[0][1]] == 1
+    if tags[1:3] == [0x30, 0x04] and len(rest) == 1:
+        kind = algorithm(fields[1])
+        inner = der_item(data, fields[2][1], fields[2][2])
+        return bool(kind) and sizes[2] >= MIN_KEY_BYTES and inner is not None and inner[0] in (0x02, 0x04, 0x30) and inner[2] == fields[2][2] and (inner[0] != 0x30 or kind not in WRAPPED_KEYS or is_der_key(data[fields[2][1] : fields[2][2]]))
+    return False
+
+
+def ssh_string(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """(a length-prefixed field, the place behind it)."""
+    end = at + 4 + int.from_bytes(data[at : at + 4]) if at + 4 <= len(data) else len(data) + 1
+    return (data[at + 4 : end], end) if end <= len(data) else None
+
+
+def is_public_blob(blob: bytes) -> bool:
+    """Fields that fill a public key, the algorithm's name first."""
     at, fields = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4])
-        at += 4 + size
-        if at > len(data):
+    while at < len(blob):
+        found = ssh_string(blob, at)
+        if not found:
             return False
-        fields.append(data[at - size : at])
-    return at == len(data) and len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]) is not None
+        fields.append(found[0])
+        at = found[1]
+    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]) is not None
+
+
+def ssh_size(data: bytes) -> int | None:
+    """The length of the OpenSSH private key file at the start of the data, all of whose fields are read; None if it is none."""
+    if not data.startswith(SSH_MAGIC):
+        return None
+    at, names = len(SSH_MAGIC), []
+    for _ in range(3):  # cipher, derivation and its options
+        found = ssh_string(data, at)
+        if not found:
+            return None
+        names.append(found[0])
+        at = found[1]
+    count, at = int.from_bytes(data[at : at + 4]), at + 4
+    if not all(re.fullmatch(rb"[a-z0-9@.-]+", n) for n in names[:2]) or not 1 <= count <= 64:
+        return None
+    for _ in range(count):
+        found = ssh_string(data, at)
+        if not found or not is_public_blob(found[0]):
+            return None
+        at = found[1]
+    found = ssh_string(data, at)
+    if not found or len(found[0]) < MIN_KEY_BYTES or len(found[0]) % 8:
+        return None
+    if names[0] == b"none" and found[0][:4] != found[0][4:8]:  # the check numbers of a key that is not encrypted
+        return None
+    return found[1]
+
+
+def is_openssh(data: bytes) -> bool:
+    """A private key file whose fields fill the data. Public keys are none."""
+    return ssh_size(data) == len(data)
 
 
 def is_signed_header(part: str) -> bool:
@@ -138,30 +194,13 @@ def confirmed(run: str) -> str | None:
     return None
 
 
-def ssh_size(data: bytes) -> int | None:
-    """The length of the OpenSSH key at the start of the data, by its fields; None if they go beyond it."""
-    number = lambda at: int.from_bytes(data[at : at + 4])
-    private = data.startswith(b"openssh-key-v1\0")
-    if private:
-        at = 15
-        for _ in range(3):  # cipher, derivation and its options
-            at += 4 + number(at)
-        at, todo = at + 4, number(at) + 1
-    else:
-        at, todo = 0, SSH_FIELDS.get(data[4 : 4 + number(0)], 3)
-    while todo and at + 4 <= len(data):
-        at += 4 + number(at)
-        todo -= 1
-    return at if not todo and at <= len(data) else None
-
-
 def key_inside(run: str, at: int) -> tuple[int, str] | None:
     """(end, kind) of the key that starts at a place of a run without line ends or padding."""
-    if run[at] in "bA":
+    if run[at] == "b":
         body = max((re.compile(c).match(run, at)[0] for c in ("[A-Za-z0-9+/]*+", "[A-Za-z0-9_-]*+")), key=len)
         data = unbase64(body[: len(body) - (len(body) % 4 == 1)]) or b""
         size = ssh_size(data)
-        if size and is_openssh(data[:size]):
+        if size:
             return at + -(-size * 4 // 3), "openssh"
         return None
     hexed = run[at] == "3"
