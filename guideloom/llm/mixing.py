@@ -8,7 +8,8 @@ below which a document is taken once more. Only the documents of one bucket for
 source, the bucket in which the cut lies, are ever ordered.
 
 Defined cases: a null or empty text has size 0 and takes nothing; null sources are one
-source, the last; rows that share an id are taken or left together; an empty table gives
+source, the last; rows that share an id, or have none, are drawn by their texts too, and
+only those that share both are taken or left together; an empty table gives
 an empty mix; columns other than the three named are not read.
 """
 
@@ -29,6 +30,18 @@ def drawn(seed: int, key: Column) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
 
 
+def with_draws(rows: DataFrame, seed: int) -> DataFrame:
+    """rows (doc_id, digest, ...) with a draw for each: by the id, or where rows share an id, or have none, by id and text."""
+    shared = staged(rows.groupBy("doc_id").count().filter("count > 1 or doc_id is null").select("doc_id"), "mix-shared-ids")
+    if not shared.limit(1).count():
+        return rows.withColumn("draw", drawn(seed, F.col("doc_id"))).drop("digest")
+    r, s = rows.alias("r"), shared.withColumn("again", F.lit(True)).alias("s")
+    joined = r.join(s, F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")), "left")
+    own = F.concat(F.coalesce(F.col("r.doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("digest").cast("string"))
+    draw = F.when(F.col("again"), drawn(seed, own)).otherwise(drawn(seed, F.col("r.doc_id")))
+    return joined.select("r.*", draw.alias("draw")).drop("digest")
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
@@ -62,7 +75,8 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, cycle
     The plan has source, source_size, target, whole (repetitions of every document) and
     cut (documents with draw <= cut are taken once more). weights: (source, weight), or
     else the cycle along the sources."""
-    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), drawn(seed, F.col(id_col)).alias("draw")), "mix-sizes")
+    sized = staged(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), _digest(text_col)), "mix-sizes")
+    sized = with_draws(sized, seed)
     totals = staged(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "mix-totals")
     weights = cyclic_weights(totals, cycle) if weights is None else weights.select("source", F.col("weight").cast("double"))
     t, w = totals.alias("t"), weights.alias("w")
@@ -94,6 +108,10 @@ def plan_mix(docs: DataFrame, share: float = 1.5, max_epochs: float = 2.0, cycle
     return sized, staged(plan, "mix-plan")
 
 
+def _digest(text_col: str) -> Column:
+    return F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("digest")
+
+
 def _copies() -> Column:
     return F.col("whole") + (F.col("draw") <= F.col("cut")).cast("int")
 
@@ -105,9 +123,9 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     return s.join(p, F.col("s.source").eqNullSafe(F.col("p.source"))).select("doc_id", "s.source", "size", "source_size", "target", _copies().alias("copies"), (F.col("size") * _copies()).alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", **options) -> DataFrame:
+def mixed_documents(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options) -> DataFrame:
     """The documents themselves, each row as often as the mix takes it; columns as in docs."""
-    _, plan = plan_mix(docs, seed=seed, id_col=id_col, source_col=source_col, **options)
-    rows = docs.select(F.struct("*").alias("row"), drawn(seed, F.col(id_col)).alias("draw"), F.col(source_col).alias("of"))
+    _, plan = plan_mix(docs, seed=seed, id_col=id_col, source_col=source_col, text_col=text_col, **options)
+    rows = with_draws(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("of"), _digest(text_col)), seed)
     out = rows.join(plan, F.col("of").eqNullSafe(F.col("source"))).filter(_copies() > 0)
     return out.select("row", F.explode(F.sequence(F.lit(1), _copies()))).select("row.*")

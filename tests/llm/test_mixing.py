@@ -77,3 +77,17 @@ def test_odd_tables(frame):
     assert [(r["size"], r["target"], r["taken"]) for r in only] == [(0, 0.0, 0), (0, 0.0, 0)]
     twice = mixing.mix(frame(["a b c"] * 4, ids=[1, 1, None, None], sources=list("aabb"))).collect()
     assert len(twice) == 4 and len({(r["doc_id"], r["taken"]) for r in twice}) == 2
+
+
+def test_sources_of_shared_or_missing_ids_come_near_their_targets(frame, prose):
+    n = 150
+    texts = [prose(20 + k % 30, k) for k in range(3 * n)]
+    ids = list(range(n)) + [7] * n + [None] * n
+    docs = frame(texts, sources=["a"] * n + ["b"] * n + ["c"] * n, ids=ids)
+    taken, target = defaultdict(int), {}
+    rows = mixing.plan_mix(docs, cycle=(1, 1, 1))
+    for r in mixing.mix(docs, cycle=(1, 1, 1)).collect():
+        taken[r["source"]] += r["taken"]
+        target[r["source"]] = r["target"]
+    assert all(abs(taken[s] - target[s]) <= 60 for s in "abc") and rows
+    assert sorted(r["text"] for r in mixing.mixed_documents(docs, cycle=(1, 1, 1)).collect()) == sorted(r["text"] for r in mixing.mixed_documents(docs.repartition(5), cycle=(1, 1, 1)).collect())
