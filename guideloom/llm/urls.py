@@ -5,9 +5,9 @@ rule's; the longest wins. URLs that no rule fits are looked up in a list of cano
 URLs: a blocked Bloom filter (one 64-bit block a key, four bits in it) passes all listed
 URLs and a few others, and an exact hash join of what passed removes the others.
 
-The filter is broadcast only while the list is short enough for its stated size; beyond
-that every URL goes to the exact join, which shuffles on the canonical URL and lets
-skewed keys be split at run time.
+The filter is broadcast while it is within its stated size; beyond that its blocks are
+shuffled and joined by their numbers, which spreads any number of listed URLs over tasks and
+lets skewed ones be split at run time. The exact join follows in both cases.
 
 Defined cases: a null URL or one without :// has an empty host and path, fits no rule and
 is not listed; repeated rows give equal rows; an empty list blocks nothing; columns other
@@ -70,10 +70,12 @@ def listed_flags(rows: DataFrame, listed: DataFrame, key: str, bits_per_key: int
     hit = listed.select(F.col(key), F.lit(True).alias("listed"))
     n = listed.count()
     blocks = 1 << max(0, (n * bits_per_key // 64 - 1)).bit_length()
-    if 16 * min(blocks, n) > max_filter_bytes:
-        return rows.join(hit, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
-    bits = F.broadcast(bloom_filter(listed, key, blocks))
-    probed = rows.withColumn("block", _block(F.col(key), blocks)).withColumn("mask", _mask(key)).join(bits, "block", "left")
+    bits = bloom_filter(listed, key, blocks)
+    if 16 * min(blocks, n) <= max_filter_bytes:
+        bits = F.broadcast(bits)
+    # rows without a key meet no block, and are dealt out if the filter is shuffled
+    block = F.when(F.col(key).isNull(), -1 - F.monotonically_increasing_id()).otherwise(_block(F.col(key), blocks))
+    probed = rows.withColumn("block", block).withColumn("mask", _mask(key)).join(bits, "block", "left")
     passes = F.coalesce(F.col("bits").bitwiseAND(F.col("mask")) == F.col("mask"), F.lit(False)) & F.col(key).isNotNull()
     probed = probed.withColumn("passes", passes).drop("block", "mask", "bits")
     sure = probed.filter("passes").drop("passes").join(hit, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))

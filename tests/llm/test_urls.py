@@ -29,6 +29,23 @@ def test_filter_passes_all_listed(spark):
     assert sorted(map(tuple, beyond.select("id", "listed").collect())) == sorted(map(tuple, exact.select("id", "listed").collect()))
 
 
+def test_shuffled_filter_and_rows_without_a_key(spark):
+    table = spark.createDataFrame([(k, None if k % 3 else f"k{k}") for k in range(300)], "id long, canon string")
+    keys = spark.createDataFrame([("k0",), ("k3",)], "canon string")
+    for most in (0, 1 << 20):
+        assert sorted(r["id"] for r in urls.listed_flags(table, keys, "canon", max_filter_bytes=most).filter("listed").collect()) == [0, 3]
+        assert urls.listed_flags(table, keys, "canon", max_filter_bytes=most).count() == 300
+    plan = urls.listed_flags(table, keys, "canon", max_filter_bytes=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan  # the filter is there whatever its size
+
+
+def test_rules_of_equal_length(spark):
+    rows = spark.createDataFrame([("a.com", "/b/c")], "h string, p string")
+    for rules in ([("block", "com", "/b/"), ("allow", "com", "/b/")], [("allow", "com", "/b/"), ("block", "com", "/b/")]):
+        rule, verdict = urls.rule_of(rows["h"], rows["p"], rules)
+        assert rows.select(rule, verdict).first()== ("com/b/", "allow")  # the same rule twice: the first verdict in order
+
+
 def test_odd_tables(spark):
     assert verdicts(spark, [], []) == {}
     assert [r["verdict"] for r in verdicts(spark, [], ["http://a.net/"] * 3).values()] == ["allow"] * 3
