@@ -30,7 +30,7 @@ from .shared import LOWER, UPPER, staged
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 THRESHOLD, WINDOW = 0.8, 64
 
-#: Label and notice, each at most half a window of words long. A notice of few words would also be met by those of its sister licenses (CC BY 4.0 stands whole in CC BY-NC 4.0).
+#: Label and notice. A notice of few words would also be met by those of its sister licenses (CC BY 4.0 stands whole in CC BY-NC 4.0).
 TEMPLATES = [
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
     ("apache-2", "Licensed under the Apache License, Version 2.0; you may not use this file except in compliance with the License"),
@@ -75,9 +75,13 @@ def corpus_counts(texts: DataFrame, vocabulary: Sequence[str]) -> dict[str, int]
     return dict.fromkeys(vocabulary, 0) | {r["word"]: r["count"] for r in rows}
 
 
-def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score. phrases: (phrase in lower case, label)."""
+def license_scan(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, window: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row a document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score. phrases: (phrase in lower case, label). window: words of a block; as it is, WINDOW or twice the longest template."""
     spark = docs.sparkSession
+    longest = max((len(words_of(text)) for _, text in templates), default=0)
+    window = window or max(WINDOW, 2 * longest)
+    if window < longest:
+        raise ValueError(f"a window of {window} words cannot hold a template of {longest}")
     sets = [(label, set(words_of(text))) for label, text in templates]
     texts = docs.select(F.col(id_col).alias("doc_id"), padded(F.col(text_col)).alias("padded"))
     counts = corpus_counts(texts, sorted(set().union(*[s for _, s in sets])))

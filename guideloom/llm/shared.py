@@ -20,9 +20,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors see: spark.checkpoint.dir. Only where it is unset, as in local tests, a temporary one."""
+    """The folder that all executors see: spark.checkpoint.dir. Where it is unset, a temporary one in local mode; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")

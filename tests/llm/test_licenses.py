@@ -58,3 +58,11 @@ def test_short_lines(frame, prose):
     lines = {"This work is licensed under the GNU General Public License, version 3.": "gpl", "Released under the MIT License.": "mit", "Licensed under the Apache License, Version 2.0.": "apache-2", "Licensed under CC BY-NC 4.0.": "cc-by-nc", "This work is licensed under the Mozilla Public License, version 2.": ""}
     rows = {r["doc_id"]: r["labels"] for r in licenses.license_scan(frame([f"{prose(90)}\n{x}\n{prose(50, 3)}" for x in lines]), LICENSE_PHRASES).collect()}
     assert rows == dict(enumerate(lines.values()))
+
+
+def test_templates_longer_than_a_block(frame):
+    notice = " ".join(f"word{k}" for k in range(150))
+    found = licenses.license_scan(frame([f"before {notice} after", "word1 word2", None]), LICENSE_PHRASES, [("long", notice), *licenses.TEMPLATES]).collect()
+    assert {r["doc_id"]: (r["labels"], r["score"]) for r in found} == {0: ("long", 1.0), 1: ("", 0.0), 2: ("", 0.0)}
+    with pytest.raises(ValueError):
+        licenses.license_scan(frame(["x"]), LICENSE_PHRASES, [("long", notice)], window=64)
