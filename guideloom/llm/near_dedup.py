@@ -318,7 +318,8 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKE
     groups = staged(groups.filter("rows > 1"), "near-first")
     met = staged(grouped.join(groups, "label").select("place", (F.col("place") == F.col("first")).alias("stays")), "near-met")
     gone = met.filter("not stays").select(F.col("place.doc_id").alias("id"), F.col("place.digest").alias("digest")).distinct()
-    left = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, F.col(id_col).eqNullSafe(F.col("id")) & (text_digest(docs[text_col]) == F.col("digest")), "left_anti")
+    same = docs[id_col].eqNullSafe(gone["id"]) & (text_digest(docs[text_col]) == gone["digest"])
+    left = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, same, "left_anti")
     if met.filter("stays").groupBy("place").count().filter("count > 1").limit(1).count():
         left = left.dropDuplicates([id_col, text_col])
     return left.select(docs.columns)

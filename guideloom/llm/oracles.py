@@ -103,4 +103,44 @@ SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n
 FROM w LEFT JOIN base USING (r) LEFT JOIN more USING (r)
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8}
+QUALITY_COUNTS = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+win AS (SELECT r, i, array_to_string(words[i:i + 2], ' ') AS s FROM (SELECT r, words, unnest(range(1, len(words) - 1)) AS i FROM w) x),
+twice AS (SELECT r, i FROM win JOIN (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1) m USING (r, s)),
+rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) v(k) GROUP BY r),
+c AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM c
+"""
+
+
+def _spans(kind: int, name: str, pattern: str, group: int, least: int) -> str:
+    """Starts and ends of a pattern's matches, from the lengths of what stands between them."""
+    return rf"""
+  SELECT r, {kind} AS k, '{name}' AS kind, a[i] AS "start", a[i] + length(m[i]) AS "end" FROM (
+    SELECT r, m, g, list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)) AS a, unnest(range(1, len(m) + 1)) AS i
+    FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {group}) AS g, regexp_split_to_array(t, '{pattern}') AS gaps FROM d) x) y
+  WHERE length(g[i]) >= {least}"""
+
+
+_ASSIGN = "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in "(password|passwd|secret|token|api_?key)") + r"""["\x27]?\x20*[:=]\x20*["\x27]?([A-Za-z0-9+/_.=-]+)"""
+
+SECRET_BASE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({" UNION ALL ".join([_spans(0, "assign", _ASSIGN, 2, 8), _spans(1, "access", "AKIA[A-Z0-9]+", 0, 16), _spans(2, "hex", "[0-9a-f]+", 0, 32)])}),
+g AS (SELECT r, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, string_agg(kind || ':' || "start"::BIGINT || ':' || "end"::BIGINT, ',' ORDER BY "start", k) AS spans FROM s GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(spans, '')) AS base_sha256
+FROM d LEFT JOIN g USING (r)
+"""
+
+MEDIA_PAYLOADS = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+n AS (SELECT doc_id, b, octet_length(b) AS n, greatest(1, ceil(octet_length(b) / 576))::BIGINT * 576 AS whole FROM d)
+SELECT doc_id, n::BIGINT AS n_bytes, whole::BIGINT AS payload_bytes, sha256(b || unhex(repeat('ff', (whole - n)::INT))) AS payload_sha256 FROM n
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}

@@ -17,6 +17,7 @@ unknown language takes the band of the script; a very long text is one slice of
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -26,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import sentencepiece
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .shared import WordTokens, flat_words, gather, slices, sums, texts_of
@@ -40,8 +41,22 @@ BANDS = {
     "fr": (1.981, 3.6, 8.0, 0.02, 1.151, 0.0781),
     "es": (1.938, 3.6, 8.0, 0.02, 1.147, 0.0761),
 }
-#: The same by script, for languages without a band: no labels, so wide.
-SCRIPT_BANDS = {"latin": (1.2, 2.0, 8.0, 0.05, 0.30, 0.0), "other": (0.25, 2.0, 6.0, 0.75, 0.25, 0.0)}
+#: The same by script, for languages without a band. There are no labels, so they are wide: half the characters per token of a plain sentence of the script (the first article of the declaration of human rights) with this vocabulary, and byte fallback in scripts that it does not cover.
+SCRIPT_BANDS = {
+    "Latin": (1.2, 2.0, 8.0, 0.05, 0.30, 0.0),
+    "Cyrillic": (1.07, 2.0, 8.0, 0.05, 0.30, 0.0),
+    "Greek": (0.43, 1.0, 8.0, 0.05, 0.25, 0.0),
+    "Arabic": (0.46, 1.0, 8.0, 0.20, 0.25, 0.0),
+    "Hebrew": (0.41, 1.0, 8.0, 0.20, 0.25, 0.0),
+    "Devanagari": (0.39, 1.0, 6.0, 0.40, 0.25, 0.0),
+    "Thai": (0.49, 1.0, 6.0, 0.40, 0.25, 0.0),
+    "Han": (0.49, 1.0, 3.0, 0.60, 0.25, 0.0),
+    "Kana": (0.47, 1.0, 3.0, 0.60, 0.25, 0.0),
+    "Hangul": (0.35, 1.0, 3.0, 0.60, 0.25, 0.0),
+    "other": (0.25, 2.0, 6.0, 0.75, 0.25, 0.0),
+}
+#: Character classes of the scripts named above.
+LETTERS = {"Kana": r"\p{Hiragana}\p{Katakana}"} | {s: rf"\p{{{s}}}" for s in SCRIPT_BANDS if s not in ("Kana", "other")}
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Byte pieces of the vocabulary have these ids.
 BYTE_IDS = (3, 258)
@@ -116,10 +131,23 @@ def measure(texts: pa.Array, vocabulary: str) -> dict[str, np.ndarray]:
 
 
 def main_script(texts: pa.Array) -> list[str]:
-    """latin if at least half of the letters are Latin (up to U+024F), else other. Letters here: characters that are alphabetic."""
-    letters = pc.utf8_length(pc.replace_substring_regex(texts, r"\PL+", "")).to_numpy(zero_copy_only=False)
-    latin = pc.utf8_length(pc.replace_substring_regex(texts, r"\P{Latin}+", "")).to_numpy(zero_copy_only=False)
-    return np.where(2 * latin >= letters, "latin", "other").tolist()
+    """The script of most letters, if it has at least half of them; else other. Ties go to the first in order."""
+    count = lambda keep: pc.utf8_length(pc.replace_substring_regex(texts, keep, "")).to_numpy(zero_copy_only=False)
+    letters = count(r"\PL+")
+    each = np.stack([count(f"[^{c}]+") for c in LETTERS.values()])
+    names, best = np.array(list(LETTERS)), each.argmax(axis=0)
+    return np.where((2 * each.max(axis=0) >= letters) & (letters > 0), names[best], "other").tolist()
+
+
+def fit_bands(docs: DataFrame, good: Column, errors: float = 6.0, deviations: float = 4.0, high: float = 8.0, byte: float = 0.02, **options) -> dict[str, tuple[float, ...]]:
+    """Bands by language from documents known to be good, as those in BANDS were made: the median of characters per token, `errors` standard errors below it, and the line of the entropy share over the logarithm of the tokens, `deviations` deviations below it. One aggregation over all of them; a row a language reaches the driver."""
+    lang = F.col(options.get("lang_col", "lang"))
+    rows = quality(docs.filter(good & lang.isNotNull()), script_bands=SCRIPT_BANDS, **options).filter("not base_failed")
+    tokens = F.log(F.greatest(F.col("word_chars") / F.col("chars_per_token"), F.lit(2.0)))
+    rows = rows.select("lang", F.sqrt("n_words").alias("root"), "chars_per_token", tokens.alias("x"), (F.col("token_entropy") * math.log(2) / tokens).alias("y"))
+    usual = rows.groupBy("lang").agg(F.percentile("chars_per_token", 0.5).alias("usual"), F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("start"))
+    off = rows.join(F.broadcast(usual), "lang").groupBy("lang", "usual", "slope", "start").agg(F.sqrt(F.avg(F.pow((F.col("chars_per_token") - F.col("usual")) * F.col("root"), 2))).alias("width"), F.sqrt(F.avg(F.pow(F.col("y") - F.col("start") - F.col("slope") * F.col("x"), 2))).alias("spread"))
+    return {r["lang"]: (r["usual"], errors * r["width"], high, byte, r["start"] - deviations * r["spread"], -r["slope"]) for r in off.collect() if r["slope"] is not None}
 
 
 def verdicts(texts: pa.Array, langs: list[str | None], bands: dict, script_bands: dict, vocabulary: str, min_words: int, max_repeat_percent: int) -> dict:
@@ -136,18 +164,18 @@ def verdicts(texts: pa.Array, langs: list[str | None], bands: dict, script_bands
 
 
 def quality(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BANDS, vocabulary: str | None = None, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
-    """One row a document: doc_id, the counts, base_failed, kept, the measures and the band used."""
+    """One row a document: doc_id, lang, the counts, base_failed, kept, the measures and the band used."""
     vocabulary = vocabulary or public_tokenizers.path("piece_bpe_32k.model")
     lang = F.col(lang_col) if lang_col else F.lit(None)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), lang.cast("string").alias("_lang"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = ", ".join([f"doc_id {kind}", *[f"{c} long" for c in COUNTS], "base_failed boolean, kept boolean, band string", *[f"{c} double" for c in MEASURES]])
+    schema = ", ".join([f"doc_id {kind}, lang string", *[f"{c} long" for c in COUNTS], "base_failed boolean, kept boolean, band string", *[f"{c} double" for c in MEASURES]])
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "_text"):
             v = verdicts(texts_of(batch, "_text"), batch.column("_lang").to_pylist(), bands, script_bands, vocabulary, min_words, max_repeat_percent)
             names = [*COUNTS, "base_failed", "kept", "band", *MEASURES]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(v[c]) for c in names]], names=["doc_id", *names])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_lang"), *[pa.array(v[c]) for c in names]], names=["doc_id", "lang", *names])
         _word_tokens(vocabulary).forget()
 
     return rows.mapInArrow(judge, schema)

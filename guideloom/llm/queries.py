@@ -78,5 +78,20 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
+def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op2_quality: the counts and base rules of every document."""
+    return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed")
+
+
+def secret_base_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op7_secrets: the base kinds of every document and their places."""
+    return secrets.digest(_documents(spark, sf_dir)).drop("spans")
+
+
+def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op9_tiff: the bytes read back from every document's file."""
+    return tiff.store_and_read(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
+QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
 ORACLES = oracles.ORACLES

@@ -1,3 +1,6 @@
+import pytest
+import regex
+import zstandard
 from pyspark.sql import functions as F
 
 from guideloom.llm import language
@@ -24,6 +27,48 @@ def test_learn_and_judge(frame):
     assert all(0 <= r["score"] <= 1 for r in rows.values())
 
 
+def brute(raw, dictionaries):
+    """(language, score, rejected) by a plain loop over encoders."""
+    letters = regex.sub(r"\P{L}+", " ", (raw or "").lower()).strip(" ").encode()
+    if not letters or not dictionaries:
+        return "und", 0.0, True
+
+    def cost(name, level):
+        made = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        made.precompute_compress(level=level)
+        coder = zstandard.ZstdCompressor(level=level, dict_data=made, write_content_size=False, write_checksum=False)
+        return sum(len(coder.compress(letters[a : a + 2048])) for a in range(0, len(letters), 2048))
+
+    for level in (-1, 9):
+        costs = {name: cost(name, level) for name in sorted(dictionaries)}
+        ordered = sorted(costs.values())
+        if 1 - ordered[0] / ordered[1] >= 0.03:
+            break
+    best = min(costs, key=lambda name: (costs[name], name))
+    others = [c for name, c in costs.items() if name != best]
+    return best, min(1, max(0, 1 - costs[best] / (sum(others) / len(others)))), 1 - ordered[0] / ordered[1] < 0.005
+
+
+def test_judged_as_by_a_plain_loop(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = language.learn(docs, F.col("doc_id") % 4 != 2)
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = language.identify(docs, learned).collect()
+    assert len(rows) == len(texts) and len(learned) == 4
+    for r in rows:
+        lang, score, rejected = brute(texts[r["doc_id"]], learned)
+        assert (r["lang_pred"], r["rejected"]) == (lang, rejected) and r["score"] == pytest.approx(score)
+
+
+def test_held_out_accuracy(spark):
+    from guideloom.llm import queries
+
+    sf = "/root/testdata/sf0.01"
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").filter("lang is not null").collect()}
+    rows = [r for r in queries.op10_language(spark, sf).collect() if r["held_out"] and r["doc_id"] in langs]
+    assert len(rows) > 150 and sum(r["lang_pred"] == langs[r["doc_id"]] for r in rows) >= 0.97 * len(rows)
+
+
 def test_odd_tables(frame):
     docs = frame(["words", None, "words"], langs=[None, "en", None], ids=[1, 1, None])
     learned = language.learn(docs, F.lit(True))

@@ -10,6 +10,8 @@ import pyarrow as pa
 import pytest
 import sentencepiece
 
+from pyspark.sql import functions as F
+
 from guideloom.llm import quality
 
 ENGLISH = "the of and to in is that it was for on are with as they be at one have this from or had by but some what there we can out other were all your when up use word how said an each she which do their time if will way about many then them write would like so these her long make thing see him two has look more day could go come did number sound no most people my over know water than call first who may down side been now find".split()
@@ -42,7 +44,25 @@ def test_counts_and_measures(frame, prose):
             assert rows[k][name] == pytest.approx(value), (k, name)
         failed = expected["n_words"] < 50 or 100 * expected["n_repeat_words"] > 50 * expected["n_words"]
         assert rows[k]["base_failed"] == failed and not (failed and rows[k]["kept"])
-    assert rows[6]["kept"] and not rows[11]["kept"] and rows[8]["band"] == "other"
+    assert rows[6]["kept"] and not rows[11]["kept"] and rows[8]["band"] in quality.SCRIPT_BANDS
+
+
+def test_scripts():
+    texts = ["все люди abc", "abc все", "人人生而自由 すべ", "すべてのひと 人", "모든 인간은", "όλοι", "123 !", "", "كل الناس", "ab вг"]
+    assert quality.main_script(pa.array(texts)) == ["Cyrillic", "Latin", "Han", "Kana", "Hangul", "Greek", "other", "other", "Arabic", "Latin"]
+
+
+def test_bands_are_derived_as_stated(spark):
+    """From the half of the labelled documents that the fixed bands were measured on."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").filter("quality = 1").select("doc_id")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id")
+    bands = quality.fit_bands(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0)
+    assert set(bands) == set(quality.BANDS)
+    for lang, band in bands.items():
+        usual, width, _, _, entropy, fall = quality.BANDS[lang]
+        assert band[0] == pytest.approx(usual, abs=0.02) and band[1] == pytest.approx(width, abs=0.6)
+        assert band[4] - band[5] * 6 == pytest.approx(entropy - fall * 6, abs=0.03)
 
 
 def test_junk_is_rejected(frame):
