@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from guideloom.functions.sequences import IUPAC, IUPAC_COMPLEMENT
 from guideloom.functions.votes import FOLDED, ONE_HOT, SCAFFOLD
-from guideloom.jobs.queries import STRUCTURE, SVM
+from guideloom.jobs.queries import RBF, STRUCTURE, SVM
 from guideloom.operators.specificity import WEIGHTS
 
 
@@ -119,4 +119,14 @@ ORACLES = {
     "streamed_files": with_(FILES, PLAN) + "SELECT filename, count(l.k)::INTEGER AS n_present FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename HAVING count(*) = count(l.k)",
     "streamed_guides": with_(JOBS, GUIDES) + "SELECT * FROM guides",
 }
-ORACLES["neighbours_salted"] = ORACLES["neighbours"]
+for same, as_ in {"neighbours_salted": "neighbours", "fasta_gzipped": "fasta_round_trip", "written_targets": "guides", "streamed_consensus": "consensus", "streamed_specificity": "specificity_scores"}.items():
+    ORACLES[same] = ORACLES[as_]
+_VECTORS = [(c, "".join(map(str, v))) for c, v in zip(RBF["dual_coef"], RBF["support_vectors"], strict=True)]
+_KERNELS = " + ".join(f"{c}::DOUBLE * exp(-{RBF['gamma']}::DOUBLE * list_sum(list_transform(range(1, 81), lambda i: CASE WHEN substr(bits, i, 1) = substr('{v}', i, 1) THEN 0 ELSE 1 END)))" for c, v in _VECTORS)
+ORACLES |= {
+    "written_sites": with_(CONTIGS, PROTOSPACER) + "SELECT site FROM sites",
+    "inventory": with_(CONTIGS) + "SELECT genome, sum(length(seq) + 1)::BIGINT AS size FROM contigs GROUP BY genome",
+    "job_results": with_(*ALL) + "SELECT * FROM results WHERE job_id = (SELECT job_id FROM results GROUP BY job_id ORDER BY count(*) DESC, job_id LIMIT 1) ORDER BY target_id",
+    "rbf_votes": with_(JOBS, GUIDES) + f"SELECT job_id, target_id, {_KERNELS} + {RBF['intercept']}::DOUBLE >= 0 AS sgrnascorer FROM (SELECT *, {BITS} AS bits FROM guides)",
+    "plugged_scores": with_(JOBS, GUIDES) + "SELECT job_id, target_id, length(regexp_replace(sequence, '[^AT]', '', 'g'))::BIGINT AS at FROM guides",
+}

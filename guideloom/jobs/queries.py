@@ -113,6 +113,38 @@ def fasta_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.read_fasta(spark, path, "all").select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
+def fasta_gzipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through gzipped files, which are read whole and then spread."""
+    path = scratch(spark, "fasta-gz")
+    contigs(spark, sf_dir).select(F.concat(F.lit(">"), "contig", F.lit("\n"), F.lower("seq"))).write.option("compression", "gzip").text(path)
+    return fasta.read_fasta(spark, path, "all", partitions=spark.sparkContext.defaultParallelism).select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+
+def written_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of sites, a line each, as later jobs read it."""
+    path = scratch(spark, "sites")
+    fasta.write_sites(all_sites(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("site"))
+
+
+def written_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guides written by job in three writes that share all their buckets; every third job is written twice."""
+    path, found = scratch(spark, "targets"), guides(spark, sf_dir)
+    n = F.col("job_id").cast("long")
+    stale = found.filter(n % 3 == 0).withColumn("target_id", F.lit(-1).cast("long"))
+    for rows in (stale, found.filter(n % 2 == 0), found.filter(n % 2 == 1)):
+        tables.write_targets(rows, path, buckets=4)
+    return spark.read.parquet(path).select(found.columns)
+
+
+def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of the files of each genome, from an inventory of written contigs."""
+    path = scratch(spark, "genomes")
+    contigs(spark, sf_dir).select("genome", "seq").write.partitionBy("genome").text(path)
+    files = tables.read_objects(spark, path).filter(F.col("key").endswith(".txt"))
+    return files.groupBy(F.regexp_extract("key", "genome=([a-z]+)/", 1).alias("genome")).agg(F.sum("size").alias("size"))
+
+
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct guides of the jobs and their sites with at most four mismatches."""
     ours = specificity.with_genome(guides(spark, sf_dir), jobs(spark, sf_dir)).select("genome", sequences.encode2bit(F.substring("sequence", 1, 20)).alias("guide_code")).distinct()
@@ -167,6 +199,26 @@ def guide_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.orderBy("job_id", "target_id")
 
 
+def job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the user of one job sees: the job with the most guides, the first of them."""
+    found = guide_results(spark, sf_dir)
+    job = found.groupBy("job_id").count().orderBy(F.desc("count"), "job_id").first()["job_id"]
+    return results.job_results(found, job)
+
+
+#: Fixed values of the stand-in model: support vectors as bits, their coefficients, gamma and intercept.
+RBF = {"support_vectors": [[int((i * k) % 7 < 2) for i in range(80)] for k in (3, 5, 8)], "dual_coef": [1.0, -1.5, 0.75], "gamma": 0.03125, "intercept": -0.0625}
+
+
+def rbf_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return efficiency.svm_vote(guides(spark, sf_dir), RBF).select("job_id", "target_id", "sgrnascorer")
+
+
+def plugged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A plug-in model over batches of guides: here the count of A and T."""
+    return efficiency.score_with(guides(spark, sf_dir).select("job_id", "target_id", "sequence"), lambda batch: batch[["job_id", "target_id"]].assign(at=batch["sequence"].str.count("[AT]").astype("int64")), "job_id string, target_id long, at long")
+
+
 def recommended_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results.recommended_guides(guide_results(spark, sf_dir)).select("job_id", "target_id", "sequence", "consensus", "score")
 
@@ -294,21 +346,43 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(streams.stream_file_status(rows, planned_parts(spark, sf_dir)), "files").select("filename", "n_present")
 
 
-def streamed_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Guides of jobs that arrive as JSON lines, some of them again in a later batch."""
-    path, out, rejects, state = (scratch(spark, name) for name in ("requests", "guides", "rejects", "guides-state"))
+def _scored_stream(spark: SparkSession, sf_dir: str, name: str, score, schema) -> DataFrame:
+    """Jobs that arrive as JSON lines, some of them again in a later batch, scored as they come."""
+    path, out, rejects, state = (scratch(spark, f"{name}-{part}") for part in ("requests", "rows", "rejects", "state"))
     requests = jobs(spark, sf_dir).withColumn("submitted_at", F.lit("2024-01-01T00:00:00Z").cast("timestamp"))
     for delivered in (requests, requests.filter("cast(job_id AS long) % 3 = 0")):
         delivered.write.mode("append").json(path)
-        streams.start_scoring(streams.stream_jobs(spark, path), targets.design_guides, out, rejects, state, {"availableNow": True}).awaitTermination()
-    return spark.read.option("recursiveFileLookup", "true").schema(guides(spark, sf_dir).schema).parquet(out)
+        streams.start_scoring(streams.stream_jobs(spark, path), score, out, rejects, state, {"availableNow": True}).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(out)
+
+
+def streamed_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_stream(spark, sf_dir, "guides", targets.design_guides, guides(spark, sf_dir).schema)
+
+
+def streamed_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The efficiency votes of jobs as they arrive."""
+
+    def score(accepted: DataFrame) -> DataFrame:
+        found = targets.design_guides(accepted)
+        return efficiency.score_efficiency(found, fold_table(found), SVM)
+
+    return _scored_stream(spark, sf_dir, "consensus", score, consensus(spark, sf_dir).schema)
+
+
+def streamed_specificity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The off-target scores of jobs as they arrive, against an index written before."""
+    index = written_index(spark, sf_dir)
+    score = lambda accepted: specificity.score_specificity(targets.design_guides(accepted), accepted, index)
+    schema = specificity.score_specificity(guides(spark, sf_dir), jobs(spark, sf_dir), index).schema
+    return _scored_stream(spark, sf_dir, "specificity", score, schema).withColumn("score", F.round("score", 6))
 
 
 QUERIES = {
     f.__name__: f
     for f in (
-        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip,
-        neighbours, neighbours_salted, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress,
-        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_guides,
+        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, written_sites, written_targets, inventory,
+        neighbours, neighbours_salted, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
+        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from guideloom.functions.sequences import GUIDE, reverse_complement
 
+#: A guide of the + strand, or of the - strand as it stands.
+EITHER = "(?:CC[ACGT]{21}|[ACGT]{21}GG)"
 #: Starts in one chunk of a query.
 CHUNK = 256
 
@@ -23,13 +25,13 @@ def validate_jobs(jobs: DataFrame, max_length: int = 20_000, accession_col: str
 
 def scan_targets(jobs: DataFrame) -> DataFrame:
     """Every overlapping guide of both strands: job_id, sequence (23, PAM last), start, end, strand. One row a match; nothing is shuffled."""
-    # in short chunks first: the n-th letter of a string is found by counting from its start
+    # in short chunks, cut where a guide of either strand starts: only matches become rows, and their places are the lengths of what stands before
     length = F.length("sequence")
-    offsets = jobs.filter(length >= GUIDE).select("job_id", "sequence", F.explode(F.sequence(F.lit(0), length - GUIDE, F.lit(CHUNK))).alias("offset"))
-    chunks = offsets.select("job_id", "offset", F.substring("sequence", F.col("offset") + 1, F.lit(CHUNK + GUIDE - 1)).alias("chunk"))
-    starts = chunks.select("job_id", "offset", "chunk", F.explode(F.sequence(F.lit(0), F.length("chunk") - GUIDE)).alias("at"))
-    part = F.substring("chunk", F.col("at") + 1, F.lit(GUIDE))
-    cut = starts.select("job_id", part.alias("part"), (F.col("offset") + F.col("at")).cast("long").alias("start")).filter((F.col("part").endswith("GG") | F.col("part").startswith("CC")) & F.col("part").rlike("^[ACGT]{23}$"))
+    chunks = F.transform(F.sequence(F.lit(0), length - GUIDE, F.lit(CHUNK)), lambda o: F.struct(o.alias("offset"), F.substring("sequence", o + 1, F.lit(CHUNK + GUIDE - 1)).alias("chunk")))
+    rows = jobs.filter(length >= GUIDE).select("job_id", F.explode(chunks).alias("c")).select("job_id", "c.offset", "c.chunk", F.split("c.chunk", rf"(?={EITHER})").alias("pieces"))
+    before = F.transform("pieces", lambda p, i: F.length(F.array_join(F.slice("pieces", F.lit(1), i), "")))
+    places = F.filter(before, lambda s: (s > 0) | F.col("chunk").rlike(f"^{EITHER}"))
+    cut = rows.select("job_id", "offset", "chunk", F.explode(places).alias("at")).select("job_id", F.substring("chunk", F.col("at") + 1, F.lit(GUIDE)).alias("part"), (F.col("offset") + F.col("at")).cast("long").alias("start"))
     strands = F.array(F.when(F.col("part").endswith("GG"), F.struct(F.lit("+").alias("strand"), F.col("part").alias("sequence"))), F.when(F.col("part").startswith("CC"), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("part")).alias("sequence"))))
     both = cut.select("job_id", "start", F.explode(F.filter(strands, lambda s: s.isNotNull())).alias("s"))
     return both.select("job_id", "s.sequence", "start", (F.col("start") + GUIDE).alias("end"), "s.strand")

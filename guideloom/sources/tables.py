@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from guideloom.sources.staging import reread
+
 JOB_REQUEST = "sequence string, genome string"
 TARGET_MESSAGE = "JobID string, TargetID bigint, Sequence string, Count bigint, Start bigint, End bigint, Strand string"
 
@@ -41,6 +44,18 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_targets(targets: DataFrame, path: str, buckets: int = 256) -> None:
-    """Targets by bucket of their job; a bucket that is written again replaces the old one, so a job's targets come in one write."""
-    bucketed = targets.withColumn("job_bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int"))
-    bucketed.repartition("job_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_bucket").parquet(path)
+    """Replace the targets of the jobs that are written, and of no others.
+
+    Targets lie by bucket of their job. The buckets touched are merged in the scratch folder and then replaced, so only they are read and written; a job written again without any target keeps its old ones."""
+    spark = targets.sparkSession
+    rows = reread(targets.withColumn("job_bucket", F.pmod(F.xxhash64("job_id"), F.lit(buckets)).cast("int")), "targets-new")
+    try:
+        old = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        written = rows.select("job_bucket", "job_id").distinct()
+        others = old.join(written.select("job_bucket").distinct(), "job_bucket", "left_semi").join(written, ["job_bucket", "job_id"], "left_anti")
+        rows = reread(rows.unionByName(others.select(rows.columns)), "targets-merged")
+    rows.repartition("job_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_bucket").parquet(path)

@@ -45,6 +45,14 @@ def test_keyed_writes(spark, tmp_path):
     assert sorted((r["job_id"], r["sequence"]) for r in spark.read.parquet(path).collect()) == [("a", "w"), ("b", "z")]
 
 
+def test_jobs_that_share_a_bucket(spark, tmp_path):
+    path = str(tmp_path / "targets")
+    make = lambda rows: spark.createDataFrame(rows, "job_id string, target_id long, sequence string")
+    for rows in ([("a", 0, "x"), ("b", 0, "y")], [("c", 0, "z")], [("a", 0, "w"), ("a", 1, "v")], []):
+        tables.write_targets(make(rows), path, buckets=1)
+    assert sorted((r["job_id"], r["sequence"]) for r in spark.read.parquet(path).collect()) == [("a", "v"), ("a", "w"), ("b", "y"), ("c", "z")]
+
+
 def test_part_plans(spark):
     m = 50_000_000
     files = spark.createDataFrame([(str(s), s) for s in (0, 1, m, m + 1, 2 * m)], "filename string, file_size long")
