@@ -94,10 +94,10 @@ def site_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.build_site_index(all_sites(spark, sf_dir))
 
 
-def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def written_index(spark: SparkSession, sf_dir: str, keys: str = "slices") -> DataFrame:
     """The index as scoring jobs find it: written once, read as often as needed."""
     path = scratch(spark, "site-index")
-    site_index(spark, sf_dir).write.parquet(path)
+    sites.build_site_index(all_sites(spark, sf_dir), keys).write.parquet(path)
     return spark.read.parquet(path)
 
 
@@ -156,6 +156,12 @@ def neighbours_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return specificity.neighbours(ours, written_index(spark, sf_dir), salt=4, max_broadcast=0).select("genome", "guide_code", "code", "n", "mismatches")
 
 
+def neighbours_by_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by finer keys: two of six parts of a site."""
+    ours = specificity.with_genome(guides(spark, sf_dir), jobs(spark, sf_dir)).select("genome", sequences.encode2bit(F.substring("sequence", 1, 20)).alias("guide_code")).distinct()
+    return specificity.neighbours(ours, written_index(spark, sf_dir, "pairs"), keys="pairs").select("genome", "guide_code", "code", "n", "mismatches")
+
+
 def specificity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return specificity.score_specificity(guides(spark, sf_dir), jobs(spark, sf_dir), written_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
@@ -382,7 +388,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, written_sites, written_targets, inventory,
-        neighbours, neighbours_salted, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
+        neighbours, neighbours_salted, neighbours_by_pairs, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
         planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import accumulate, combinations
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ FORWARD = r"(?=[AG]G)(?<=([ACG][ACGT]{19})[ACGT])"
 BACKWARD = r"(?=(C[CT][ACGT]{20}[TGC]))"
 #: A site of 20 bases is five slices of four.
 SLICES, SLICE_BITS = 5, 8
+#: Bases of the six parts whose pairs are finer keys.
+PARTS = (4, 4, 3, 3, 3, 3)
 
 
 def chunk_contigs(contigs: DataFrame, size: int = 1_000_000) -> DataFrame:
@@ -45,19 +49,35 @@ def sites_per_contig(sites: DataFrame) -> DataFrame:
     return sites.groupBy("genome", "contig").agg(F.count("*").alias("n_sites"))
 
 
-def _slices(code: str):
-    part = lambda s: F.expr(f"cast(shiftright({code}, {SLICE_BITS * (SLICES - 1 - s)}) & 255 AS int)")
-    return F.posexplode(F.array(*map(part, range(SLICES)))).alias("slice_no", "slice_val")
+def keys_of(keys: str) -> list[list[tuple[int, int]]]:
+    """The join keys of a code, each as stretches (lowest bit, bits). slices: five of eight bits; four mismatches leave one of them whole. pairs: two of six parts, 15 keys of 12 to 16 bits; four mismatches leave two parts whole, and a key meets far fewer sites."""
+    if keys == "slices":
+        return [[(SLICE_BITS * (SLICES - 1 - s), SLICE_BITS)] for s in range(SLICES)]
+    if keys == "pairs":
+        ends = [2 * e for e in accumulate(PARTS)]
+        parts = [(2 * SITE - end, 2 * n) for end, n in zip(ends, PARTS, strict=True)]
+        return [list(pair) for pair in combinations(parts, 2)]
+    raise ValueError(keys)
+
+
+def _key_value(code: str, stretches: list[tuple[int, int]]) -> str:
+    """The bits of the stretches one after another."""
+    out, at = [], 0
+    for low, bits in reversed(stretches):
+        out.append(f"shiftleft(shiftright({code}, {low}) & {(1 << bits) - 1}L, {at})")
+        at += bits
+    return f"cast({' | '.join(out)} AS int)"
 
 
-def sliced(rows: DataFrame, code: str = "code") -> DataFrame:
-    """Five rows for each row: slice_no and slice_val of its code."""
-    return rows.select("*", _slices(code))
+def sliced(rows: DataFrame, code: str = "code", keys: str = "slices") -> DataFrame:
+    """A row for each key of each row: slice_no and slice_val of its code."""
+    values = [F.expr(_key_value(code, k)) for k in keys_of(keys)]
+    return rows.select("*", F.posexplode(F.array(*values)).alias("slice_no", "slice_val"))
 
 
-def build_site_index(sites: DataFrame) -> DataFrame:
+def build_site_index(sites: DataFrame, keys: str = "slices") -> DataFrame:
     """(genome, slice_no, slice_val, code, n): what the neighbour join reads."""
-    return sliced(site_counts(sites).select("genome", "code", "n")).select("genome", "slice_no", "slice_val", "code", "n")
+    return sliced(site_counts(sites).select("genome", "code", "n"), keys=keys).select("genome", "slice_no", "slice_val", "code", "n")
 
 
 def write_site_index(index: DataFrame, table: str, buckets: int = 512) -> None:

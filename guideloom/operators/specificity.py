@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guideloom.functions.sequences import SITE, encode2bit
-from guideloom.operators.sites import SLICE_BITS, SLICES, sliced
+from guideloom.operators.sites import SLICES, keys_of, sliced
 
 #: Weight of a mismatch at each base, from the end far from the PAM (Hsu et al. 2013).
 WEIGHTS = (0, 0, 0.014, 0, 0, 0.395, 0.317, 0, 0.389, 0.079, 0.445, 0.508, 0.613, 0.851, 0.732, 0.828, 0.615, 0.804, 0.685, 0.583)
@@ -25,27 +25,29 @@ def mismatch_mask(a: Column, b: Column) -> Column:
 MAX_BROADCAST_GUIDES = 200_000
 
 
-def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1, max_broadcast: int = MAX_BROADCAST_GUIDES) -> DataFrame:
+def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1, max_broadcast: int = MAX_BROADCAST_GUIDES, keys: str = "slices") -> DataFrame:
     """(genome, guide_code, code, n, mask, mismatches): all sites within max_mismatches of each guide, each once.
 
     Five slices and at most four mismatches leave a slice untouched, so an equi-join on
     (genome, slice) finds every pair; it is kept in its first equal slice only. guides:
-    distinct (genome, guide_code). salt: parts into which each bucket of sites is dealt."""
+    distinct (genome, guide_code). salt: parts into which each bucket of sites is dealt.
+    keys: those that the index was built with; pairs of parts for genomes of many sites."""
     if max_mismatches >= SLICES:
-        raise ValueError("slices find at most four mismatches")
-    left = sliced(guides.select("genome", "guide_code"), "guide_code")
-    keys = ["genome", "slice_no", "slice_val"]
+        raise ValueError("keys find at most four mismatches")
+    stretches = keys_of(keys)
+    left = sliced(guides.select("genome", "guide_code"), "guide_code", keys)
+    on = ["genome", "slice_no", "slice_val"]
     if salt > 1:
         left = left.withColumn("part", F.explode(F.array(*map(F.lit, range(salt)))))
         index = index.withColumn("part", F.pmod(F.hash("code"), F.lit(salt)))
-        keys = [*keys, "part"]
+        on = [*on, "part"]
     # the index is never broadcast, however small it is thought to be
     left = F.broadcast(left) if guides.count() * salt <= max_broadcast else left.hint("merge")
-    met = left.join(index, keys).withColumn("mask", mismatch_mask(F.col("guide_code"), F.col("code"))).withColumn("mismatches", F.bit_count("mask").cast("int"))
-    first = F.lit(SLICES)
-    for s in reversed(range(SLICES)):
-        bits = ((1 << SLICE_BITS) - 1) << (SLICE_BITS * (SLICES - 1 - s))
-        first = F.when(F.col("mask").bitwiseAND(F.lit(bits)) == 0, s).otherwise(first)
+    met = left.join(index, on).withColumn("mask", mismatch_mask(F.col("guide_code"), F.col("code"))).withColumn("mismatches", F.bit_count("mask").cast("int"))
+    first = F.lit(len(stretches))
+    for k in reversed(range(len(stretches))):
+        bits = sum(((1 << n) - 1) << low for low, n in stretches[k])
+        first = F.when(F.col("mask").bitwiseAND(F.lit(bits)) == 0, k).otherwise(first)
     return met.filter((F.col("mismatches") <= max_mismatches) & (first == F.col("slice_no"))).select("genome", "guide_code", "code", "n", "mask", "mismatches")
 
 
@@ -82,14 +84,14 @@ def orphans(targets: DataFrame, jobs: DataFrame) -> DataFrame:
     return targets.join(jobs.select("job_id"), "job_id", "left_anti")
 
 
-def score_specificity(targets: DataFrame, jobs: DataFrame, index: DataFrame, max_mismatches: int = 4, consensus: DataFrame | None = None, salt: int = 1) -> DataFrame:
+def score_specificity(targets: DataFrame, jobs: DataFrame, index: DataFrame, max_mismatches: int = 4, consensus: DataFrame | None = None, salt: int = 1, keys: str = "slices") -> DataFrame:
     """(job_id, target_id, n_exact, score): 100 without a near site; null if the genome has no index.
 
     Equal guides of one genome are searched once. consensus: score only the efficient guides in it."""
     if consensus is not None:
         targets = targets.join(consensus.filter(F.col("efficient")).select("job_id", "target_id"), ["job_id", "target_id"], "left_semi")
     ours = with_genome(targets, jobs).withColumn("guide_code", encode2bit(F.substring("sequence", 1, SITE)))
-    sums = off_target_sums(neighbours(ours.select("genome", "guide_code").distinct(), index, max_mismatches, salt), max_mismatches)
+    sums = off_target_sums(neighbours(ours.select("genome", "guide_code").distinct(), index, max_mismatches, salt, keys=keys), max_mismatches)
     known = index.select("genome").distinct().withColumn("indexed", F.lit(True))
     out = ours.join(sums, ["genome", "guide_code"], "left").join(known, "genome", "left")
     score = F.when(F.col("indexed"), 100.0 * 100.0 / (100.0 + F.coalesce("total", F.lit(0.0))))
