@@ -123,6 +123,7 @@ for same, as_ in {"neighbours_salted": "neighbours", "neighbours_by_pairs": "nei
     ORACLES[same] = ORACLES[as_]
 _VECTORS = [(c, "".join(map(str, v))) for c, v in zip(RBF["dual_coef"], RBF["support_vectors"], strict=True)]
 _KERNELS = " + ".join(f"{c}::DOUBLE * exp(-{RBF['gamma']}::DOUBLE * list_sum(list_transform(range(1, 81), lambda i: CASE WHEN substr(bits, i, 1) = substr('{v}', i, 1) THEN 0 ELSE 1 END)))" for c, v in _VECTORS)
+ORACLES["fasta_chunks"] = ORACLES["contig_chunks"].replace("SELECT genome, contig, chunk_id,", "SELECT 'all' AS genome, contig, chunk_id,")
 ORACLES |= {
     "written_sites": with_(CONTIGS, PROTOSPACER) + "SELECT site FROM sites",
     "inventory": with_(CONTIGS) + "SELECT genome, sum(length(seq) + 1)::BIGINT AS size FROM contigs GROUP BY genome",

@@ -120,6 +120,13 @@ def fasta_gzipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.read_fasta(spark, path, "all", partitions=spark.sparkContext.defaultParallelism).select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
+def fasta_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks of written FASTA made from its lines, 60 bases each."""
+    path = scratch(spark, "fasta-lines")
+    contigs(spark, sf_dir).select(F.concat(F.lit(">"), "contig", F.lit("\n"), F.regexp_replace("seq", "(.{60})", "$1\n"))).write.text(path)
+    return sites.chunk_lines(fasta.read_fasta_lines(spark, path, "all"), 1000).select("genome", "contig", "chunk_id", "offset", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+
 def written_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The list of sites, a line each, as later jobs read it."""
     path = scratch(spark, "sites")
@@ -387,7 +394,7 @@ def streamed_specificity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, written_sites, written_targets, inventory,
+        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, written_sites, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
         planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_guides, streamed_consensus, streamed_specificity,
     )

@@ -21,8 +21,24 @@ PARTS = (4, 4, 3, 3, 3, 3)
 def chunk_contigs(contigs: DataFrame, size: int = 1_000_000) -> DataFrame:
     """(genome, contig, chunk_id, offset, seq): each start of a site lies in one chunk; chunks overlap by 22 bases."""
     length = F.length("seq")
-    rows = contigs.filter(length > 0).select("genome", "contig", "seq", F.posexplode(F.sequence(F.lit(0), length - 1, F.lit(size))).alias("chunk_id", "offset"))
-    return rows.select("genome", "contig", F.col("chunk_id").cast("long").alias("chunk_id"), F.col("offset").cast("long").alias("offset"), F.substring("seq", F.col("offset") + 1, F.lit(size + GUIDE - 1)).alias("seq"))
+    # cut before the rows are made, so that none of them carries its contig
+    cut = F.transform(F.sequence(F.lit(0), length - 1, F.lit(size)), lambda o: F.struct((o / size).cast("long").alias("chunk_id"), o.cast("long").alias("offset"), F.substring("seq", o + 1, F.lit(size + GUIDE - 1)).alias("seq")))
+    return contigs.filter(length > 0).select("genome", "contig", F.explode(cut).alias("c")).select("genome", "contig", "c.*")
+
+
+def chunk_lines(lines: DataFrame, size: int = 1_000_000) -> DataFrame:
+    """The same chunks from the lines of read_fasta_lines, so that no row ever holds more than a line or a chunk."""
+    n, most = F.length("seq"), size + GUIDE - 1
+    first, last = F.greatest(F.floor((F.col("offset") - (GUIDE - 1)) / size), F.lit(0)), F.floor((F.col("offset") + n - 1) / size)
+
+    def piece(k):
+        start = F.greatest(k * size, F.col("offset"))
+        end = F.least(k * size + most, F.col("offset") + n)
+        return F.struct(k.alias("chunk_id"), start.alias("start"), F.substring("seq", (start - F.col("offset") + 1).cast("int"), (end - start).cast("int")).alias("part"))
+
+    rows = lines.select("genome", "file", "record", "contig", F.explode(F.transform(F.sequence(first, last), piece)).alias("p")).select("genome", "file", "record", "contig", "p.*")
+    whole = rows.groupBy("genome", "file", "record", "contig", "chunk_id").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
+    return whole.select("genome", "contig", "chunk_id", (F.col("chunk_id") * size).alias("offset"), F.array_join("parts.part", "").alias("seq"))
 
 
 def extract_offtargets(chunks: DataFrame, reverse_slice: str = "reference") -> DataFrame:

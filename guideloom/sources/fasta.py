@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
 def read_fasta(spark: SparkSession, paths: str | list[str], genome: str | None = None, partitions: int | None = None) -> DataFrame:
     """(genome, contig, seq) of all records of (gzipped) FASTA files; a file without a header is one contig named by its path.
 
-    One record is one row, so a record must fit a task; `partitions` spreads records of unsplittable files."""
+    One record is one row, so a record must fit a task; `partitions` spreads records of unsplittable files. For longer ones see read_fasta_lines."""
     rows = spark.read.option("lineSep", "\n>").text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
     rows = rows.repartition(partitions) if partitions else rows
     value = F.regexp_replace("value", "\r", "")
@@ -23,6 +23,28 @@ def read_fasta(spark: SparkSession, paths: str | list[str], genome: str | None =
     return rows.select(F.lit(genome).cast("string").alias("genome"), contig.alias("contig"), F.upper(F.regexp_replace(seq, r"\s", "")).alias("seq"))
 
 
+def read_fasta_lines(spark: SparkSession, paths: str | list[str], genome: str | None = None) -> DataFrame:
+    """(genome, file, record, contig, offset, seq): the lines of FASTA files, each with its place in its contig; record counts headers in a file.
+
+    No row holds more than a line. Lines are numbered within their file block; sums of the blocks before give the rest, so a contig may span any number of blocks. Lines without a header before them belong to a contig named by the path."""
+    meta = [F.col(f"_metadata.{a}").alias(b) for a, b in (("file_path", "file"), ("file_block_start", "block"))]
+    rows = spark.read.text(paths).select(*meta, F.monotonically_increasing_id().alias("at"), "value")
+    head = F.col("value").startswith(">")
+    name = F.when(head, F.trim(F.substring("value", 2, 1 << 30)))
+    rows = rows.select("file", "block", "at", name.alias("name"), F.when(~head, F.upper(F.regexp_replace("value", r"\s", ""))).alias("seq"))
+    here, n = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0), F.coalesce(F.length("seq"), F.lit(0)).cast("long")
+    rows = rows.withColumn("upto", F.sum(n).over(here)).withColumn("heads", F.count("name").over(here))
+    rows = rows.withColumn("own_start", F.max(F.when(F.col("name").isNotNull(), F.col("upto"))).over(here)).withColumn("own_name", F.last("name", ignorenulls=True).over(here))
+    blocks = rows.groupBy("file", "block").agg(F.max("upto").alias("bases"), F.max("heads").alias("n_heads"), F.max("own_start").alias("start"), F.max_by("own_name", "at").alias("last_name"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("bases_before", F.coalesce(F.sum("bases").over(before), F.lit(0))).withColumn("heads_before", F.coalesce(F.sum("n_heads").over(before), F.lit(0)))
+    blocks = blocks.withColumn("start_before", F.coalesce(F.max(F.col("bases_before") + F.col("start")).over(before), F.lit(0))).withColumn("name_before", F.last("last_name", ignorenulls=True).over(before))
+    placed = rows.filter(F.length("seq") > 0).join(blocks.select("file", "block", "bases_before", "heads_before", "start_before", "name_before"), ["file", "block"])
+    start = F.coalesce(F.col("bases_before") + F.col("own_start"), F.col("start_before"))
+    offset = F.col("bases_before") + F.col("upto") - F.length("seq") - start
+    return placed.select(F.lit(genome).cast("string").alias("genome"), "file", (F.col("heads_before") + F.col("heads")).alias("record"), F.coalesce("own_name", "name_before", "file").alias("contig"), offset.alias("offset"), "seq")
+
+
 def write_sites(sites: DataFrame, path: str) -> None:
     """One site a line, in order, duplicates kept."""
     sites.select("site").orderBy("site").write.mode("overwrite").text(path)

@@ -1,9 +1,10 @@
 import gzip
 import json
+import random
 
 from pyspark.sql import functions as F
 
-from guideloom.operators import acquisition, targets
+from guideloom.operators import acquisition, sites, targets
 from guideloom.sources import fasta, tables
 from guideloom.streaming import streams
 
@@ -100,3 +101,29 @@ def test_watermark_stream(spark, tmp_path):
     stream = streams.without_redelivery(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "ev")), ["job_id", "target_id"])
     stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "st")).trigger(availableNow=True).start().awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_fasta_lines_across_blocks(spark, tmp_path):
+    rng = random.Random(4)
+    long = "".join(rng.choice("ACGT") for _ in range(1000))
+    body = b">one >odd header\r\nacg\r\nTN\r\n>two\n>three\n" + b"\n".join(long[i : i + 37].encode() for i in range(0, 1000, 37)) + b"\n>one >odd header\nGG \n\nCC"
+    (tmp_path / "a.fna").write_bytes(body)
+    (tmp_path / "c.txt").write_text("acgt\nacgt\n")
+    with gzip.open(tmp_path / "b.fna.gz", "wb") as f:
+        f.write(b">z\nA\nC\n")
+    want = [("c.txt", "ACGTACGT"), ("one >odd header", "ACGTN"), ("one >odd header", "GGCC"), ("three", long), ("z", "AC")]
+    for block in ("64", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+        try:
+            lines = fasta.read_fasta_lines(spark, [str(tmp_path / x) for x in ("a.fna", "b.fna.gz", "c.txt")], "g")
+            whole = {}
+            for r in lines.collect():
+                whole.setdefault((r["file"], r["record"], r["contig"].rsplit("/", 1)[-1]), []).append((r["offset"], r["seq"]))
+            assert sorted((k[2], "".join(x for _, x in sorted(v))) for k, v in whole.items()) == want
+            assert all(o == len("".join(x for _, x in sorted(v)[:i])) for v in whole.values() for i, (o, _) in enumerate(sorted(v)))
+            contigs = spark.createDataFrame([("g", c, s) for c, s in want], "genome string, contig string, seq string")
+            for size in (1, 10, 64, 5000):
+                of = lambda df: sorted((r["contig"].rsplit("/", 1)[-1], r["chunk_id"], r["offset"], r["seq"]) for r in df.collect())
+                assert of(sites.chunk_lines(lines, size)) == of(sites.chunk_contigs(contigs, size))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
