@@ -125,6 +125,8 @@ _VECTORS = [(c, "".join(map(str, v))) for c, v in zip(RBF["dual_coef"], RBF["sup
 _KERNELS = " + ".join(f"{c}::DOUBLE * exp(-{RBF['gamma']}::DOUBLE * list_sum(list_transform(range(1, 81), lambda i: CASE WHEN substr(bits, i, 1) = substr('{v}', i, 1) THEN 0 ELSE 1 END)))" for c, v in _VECTORS)
 ORACLES["fasta_chunks"] = ORACLES["contig_chunks"].replace("SELECT genome, contig, chunk_id,", "SELECT 'all' AS genome, contig, chunk_id,")
 ORACLES |= {
+    "streamed_index_jobs": with_(FILES, PLAN) + "SELECT genome, count(DISTINCT filename) AS num_files, count(*) AS num_parts FROM (SELECT (filename // 2)::VARCHAR AS genome, filename, part FROM plan) LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY genome HAVING count(*) = count(l.k)",
+    "settled_jobs": "SELECT item_id::VARCHAR AS job_id, CASE WHEN item_id % 5 = 0 THEN 'rejected' WHEN item_id % 7 = 0 THEN 'dead' ELSE 'scored' END AS state FROM benchmark",
     "written_sites": with_(CONTIGS, PROTOSPACER) + "SELECT site FROM sites",
     "inventory": with_(CONTIGS) + "SELECT genome, sum(length(seq) + 1)::BIGINT AS size FROM contigs GROUP BY genome",
     "job_results": with_(*ALL) + "SELECT * FROM results WHERE job_id = (SELECT job_id FROM results GROUP BY job_id ORDER BY count(*) DESC, job_id LIMIT 1) ORDER BY target_id",

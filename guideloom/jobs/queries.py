@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from guideloom.functions import sequences, votes
 from guideloom.operators import acquisition, efficiency, results, sites, specificity, targets
 from guideloom.sources import fasta, tables
-from guideloom.sources.staging import scratch, spread
+from guideloom.sources.staging import reread, scratch, spread
 from guideloom.streaming import streams
 
 #: Fixed values of the stand-in tables.
@@ -169,8 +169,8 @@ def neighbours_by_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return specificity.neighbours(ours, written_index(spark, sf_dir, "pairs"), keys="pairs").select("genome", "guide_code", "code", "n", "mismatches")
 
 
-def specificity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return specificity.score_specificity(guides(spark, sf_dir), jobs(spark, sf_dir), written_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
+def specificity_scores(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    return specificity.score_specificity(found or guides(spark, sf_dir), jobs(spark, sf_dir), written_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
 
 def orphan_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -201,14 +201,15 @@ def fold_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return efficiency.attach_fold(found, fold_table(found)).select("job_id", "target_id", "fold_ok")
 
 
-def consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = guides(spark, sf_dir)
+def consensus(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    found = found or guides(spark, sf_dir)
     return efficiency.score_efficiency(found, fold_table(found), SVM)
 
 
 def guide_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guides with votes, score and labels, by job and number."""
-    rows = results.guide_results(guides(spark, sf_dir), consensus(spark, sf_dir), specificity_scores(spark, sf_dir))
+    found = reread(guides(spark, sf_dir), "guides")  # read by all steps
+    rows = results.guide_results(found, consensus(spark, sf_dir, found), specificity_scores(spark, sf_dir, found))
     return rows.orderBy("job_id", "target_id")
 
 
@@ -349,7 +350,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def streamed_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     """job_progress from a stream of events."""
     stage = F.when(F.col("event_type") == "signup", "guide").when(F.col("event_type") == "view", "ontarget").when(F.col("event_type").isin("click", "purchase"), "offtarget")
-    rows = _stream(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), (F.col("event_id") % 20).alias("target_id"), stage.alias("stage")).filter("stage is not null")
+    rows = _stream(spark, sf_dir, "events").select(F.col("user_id").alias("job_id"), (F.col("event_id") % 20).alias("target_id"), stage.alias("stage"), "ts").filter("stage is not null")
     return _drained(streams.stream_progress(rows), "progress")
 
 
@@ -359,6 +360,34 @@ def streamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _drained(streams.stream_file_status(rows, planned_parts(spark, sf_dir)), "files").select("filename", "n_present")
 
 
+def streamed_index_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files, two a genome: genomes whose parts have all come, half of the records at first and then all of them again."""
+    path, out, state = (scratch(spark, f"genomes-{part}") for part in ("parts", "jobs", "state"))
+    plan = acquisition.plan_parts(table(spark, sf_dir, "orders").select(F.floor(F.col("o_orderkey") / 2).cast("string").alias("genome"), F.col("o_orderkey").alias("filename"), F.floor(F.col("o_totalprice") * 1000).cast("long").alias("file_size")))
+    records = part_records(spark, sf_dir).select("filename", "part")
+    for delivered in (records.filter("filename % 4 < 2"), records):
+        delivered.write.mode("append").parquet(path)
+        parts = spark.readStream.schema(records.schema).parquet(path)
+        streams.start_index_jobs(streams.stream_genome_status(parts, plan), out, state, {"availableNow": True}).awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").schema("genome string, num_files long, num_parts long").parquet(out)
+
+
+def settled_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where a stream puts each job: every fifth is too old, and every seventh cannot be scored."""
+    path, out, rejects, dead, state = (scratch(spark, f"settled-{part}") for part in ("requests", "rows", "rejects", "dead", "state"))
+    n = F.col("job_id").cast("long")
+    submitted = F.when(n % 5 == 0, F.lit("2024-01-01T00:00:00Z").cast("timestamp")).otherwise(F.current_timestamp())
+    jobs(spark, sf_dir).withColumn("submitted_at", submitted).write.json(path)
+
+    def score(accepted: DataFrame) -> DataFrame:
+        broken = F.when(n % 7 == 0, F.raise_error(F.lit("no score"))).otherwise(F.length("sequence"))
+        return accepted.select("job_id", broken.alias("bases"))
+
+    streams.start_scoring(streams.stream_jobs(spark, path), score, out, rejects, state, {"availableNow": True}, max_age="1 day", dead_letters=dead, tries=2).awaitTermination()
+    read = lambda folder, state: spark.read.option("recursiveFileLookup", "true").schema("job_id string").parquet(folder).select("job_id", F.lit(state).alias("state"))
+    return read(out, "scored").unionByName(read(rejects, "rejected")).unionByName(read(dead, "dead"))
+
+
 def _scored_stream(spark: SparkSession, sf_dir: str, name: str, score, schema) -> DataFrame:
     """Jobs that arrive as JSON lines, some of them again in a later batch, scored as they come."""
     path, out, rejects, state = (scratch(spark, f"{name}-{part}") for part in ("requests", "rows", "rejects", "state"))
@@ -396,6 +425,6 @@ QUERIES = {
     for f in (
         normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, written_sites, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
-        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_guides, streamed_consensus, streamed_specificity,
+        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from guideloom.functions.sequences import normalise_sequence
 from guideloom.operators.targets import validate_jobs
+from guideloom.sources.staging import reread
 
 JOB_SCHEMA = "job_id string, sequence string, genome string, submitted_at timestamp"
 
@@ -20,8 +23,28 @@ def stream_jobs(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     return rows.withColumn("sequence", normalise_sequence(F.col("sequence")))
 
 
-def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000) -> StreamingQuery:
-    """Each micro-batch through the batch functions. A batch that runs again replaces its own part, and jobs that an earlier batch has written are left out, so redelivery is harmless; rejected jobs go to their own path. Rows of score keep their job_id."""
+def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], bit: int = 0) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(rows of the jobs that can be scored, the others with their error): halves by a bit of the id's hash, halved again where they fail."""
+    good, dead = [], []
+    for half in (0, 1):
+        part = jobs.filter(F.shiftrightunsigned(F.xxhash64("job_id"), bit).bitwiseAND(F.lit(1)) == half)
+        if not (some := part.limit(2).count()):
+            continue
+        try:
+            good.append(reread(score(part), "scored"))
+        except PySparkException as error:
+            if some == 1 or bit == 63:
+                dead.append(part.withColumn("error", F.lit(str(error)[:1000])))
+            else:
+                found = _apart(part, score, bit + 1)
+                good, dead = good + found[0], dead + found[1]
+    return good, dead
+
+
+def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000, max_age: str | None = None, dead_letters: str | None = None, tries: int = 3) -> StreamingQuery:
+    """Each micro-batch through the batch functions. A batch that runs again replaces its own part, and jobs that an earlier batch has written are left out, so redelivery is harmless; rejected jobs go to their own path. Rows of score keep their job_id.
+
+    max_age: jobs submitted longer ago than this interval when their batch runs are rejected as expired. dead_letters: a batch whose scoring fails `tries` times is taken apart, and the jobs that fail even alone go to this path with their error; delivered again, they are tried again. Without it, a failure ends the stream."""
 
     def written(spark: SparkSession, folder: str, number: int) -> DataFrame:
         return spark.read.schema("job_id string, batch long").parquet(folder).filter(F.col("batch") < number).select("job_id")
@@ -31,9 +54,24 @@ def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path
         if number:
             for folder in (path, rejects):
                 once = once.join(written(batch.sparkSession, folder, number), "job_id", "left_anti")
-        accepted, rejected = validate_jobs(once, max_length)
-        score(accepted).write.mode("overwrite").parquet(f"{path}/batch={number}")
-        rejected.write.mode("overwrite").parquet(f"{rejects}/batch={number}")
+        once = reread(once, "jobs")  # the outputs agree on the jobs, and the stream's source is read once
+        old = F.coalesce(F.col("submitted_at") < F.current_timestamp() - F.expr(f"INTERVAL {max_age}"), F.lit(False)) if max_age else F.lit(False)
+        accepted, rejected = validate_jobs(once.withColumn("expired", old), max_length)
+        late = accepted.filter("expired").drop("expired").withColumn("reject_reason", F.lit("expired"))
+        accepted = reread(accepted.filter("not expired").drop("expired"), "accepted")
+        save = lambda rows, folder: rows.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+        save(rejected.drop("expired").unionByName(late), rejects)
+        for left in reversed(range(tries if dead_letters else 1)):
+            try:
+                return save(score(accepted), path)
+            except PySparkException:
+                if not dead_letters:
+                    raise
+                if not left:
+                    break
+        good, dead = _apart(accepted, score)
+        save(reduce(DataFrame.unionByName, dead, accepted.limit(0).withColumn("error", F.lit(""))), dead_letters)
+        save(reduce(DataFrame.unionByName, good) if good else accepted.limit(0).select("job_id"), path)
 
     return jobs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
@@ -43,12 +81,13 @@ def without_redelivery(events: DataFrame, keys: list[str], time_col: str = "ts",
     return events.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(keys)
 
 
-def stream_progress(events: DataFrame) -> DataFrame:
-    """Counters of each job, for update or complete mode. events: (job_id, target_id, stage), stage: guide, ontarget or offtarget.
+def stream_progress(events: DataFrame, time_col: str = "ts", watermark: str = "30 minutes") -> DataFrame:
+    """Counters of each job, for update or complete mode. events: (job_id, target_id, stage) and their time, stage: guide, ontarget or offtarget.
 
-    One state a job, its sets of targets, so that redelivery counts once whenever it comes; a job has no more targets than bases."""
-    count = lambda s: F.size(F.collect_set(F.when(F.col("stage") == s, F.col("target_id")))).cast("long")
-    return events.groupBy("job_id").agg(count("guide").alias("num_guides"), count("ontarget").alias("num_scored_ontarget"), count("offtarget").alias("num_scored_offtarget"))
+    Redelivery counts once: each (job, target, stage) is known until the watermark passes it, and what comes later than the watermark is dropped. What stays for ever is three counters a job."""
+    once = without_redelivery(events.select("job_id", "target_id", "stage", F.col(time_col).cast("timestamp").alias(time_col)), ["job_id", "target_id", "stage"], time_col, watermark)
+    count = lambda s: F.count(F.when(F.col("stage") == s, 1))
+    return once.groupBy("job_id").agg(count("guide").alias("num_guides"), count("ontarget").alias("num_scored_ontarget"), count("offtarget").alias("num_scored_offtarget"))
 
 
 def stream_file_status(parts: DataFrame, plan: DataFrame) -> DataFrame:
@@ -56,3 +95,27 @@ def stream_file_status(parts: DataFrame, plan: DataFrame) -> DataFrame:
     known = parts.join(plan.select("filename", "parts_per_file").distinct(), "filename").filter("part between 1 and parts_per_file")
     found = known.groupBy("filename", "parts_per_file").agg(F.size(F.collect_set("part")).alias("n_present"))
     return found.filter("n_present = parts_per_file")
+
+
+def stream_genome_status(parts: DataFrame, plan: DataFrame) -> DataFrame:
+    """Genomes all of whose files are complete, as parts arrive, for update mode. plan: (genome, filename, parts_per_file).
+
+    One aggregation by genome, whose state is its parts so far; parts outside the plan do not count."""
+    files = plan.select("genome", "filename", "parts_per_file").distinct()
+    totals = files.groupBy("genome").agg(F.count("*").alias("num_files"), F.sum("parts_per_file").alias("num_parts"))
+    known = parts.join(files.join(totals, "genome"), "filename").filter("part between 1 and parts_per_file")
+    found = known.groupBy("genome", "num_files", "num_parts").agg(F.size(F.collect_set(F.struct("filename", "part"))).alias("n_present"))
+    return found.filter("n_present = num_parts").drop("n_present")
+
+
+def start_index_jobs(genomes: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """An index job for each complete genome, once: a batch that runs again replaces its own part, and genomes of earlier batches are left out when their parts come again."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        new = batch
+        if number:
+            known = batch.sparkSession.read.schema("genome string, batch long").parquet(path).filter(F.col("batch") < number)
+            new = batch.join(known.select("genome"), "genome", "left_anti")
+        new.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return genomes.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()

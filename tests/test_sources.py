@@ -127,3 +127,47 @@ def test_fasta_lines_across_blocks(spark, tmp_path):
                 assert of(sites.chunk_lines(lines, size)) == of(sites.chunk_contigs(contigs, size))
         finally:
             spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_old_jobs_and_jobs_that_cannot_be_scored(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    paths = {d: str(tmp_path / d) for d in ("in", "out", "bad", "state", "dead")}
+    seq = "ATCGATCGATCGATCGATCGAGG"
+    job = lambda name, at: {"job_id": name, "sequence": seq, "genome": "g", "submitted_at": at}
+    lines = [job(str(k), "2999-01-01T00:00:00Z") for k in range(9)] + [job("old", "2020-01-01T00:00:00Z"), {"job_id": "undated", "sequence": seq}]
+
+    def deliver(name, rows, broken):
+        (tmp_path / f"in/{name}.json").write_text("\n".join(map(json.dumps, rows)))
+        score = lambda accepted: targets.design_guides(accepted).withColumn("ok", F.when(F.col("job_id").isin(broken), F.raise_error(F.lit("no score"))).otherwise("yes"))
+        streams.start_scoring(streams.stream_jobs(spark, paths["in"]), score, paths["out"], paths["bad"], paths["state"], {"availableNow": True}, max_age="30 minutes", dead_letters=paths["dead"], tries=2).awaitTermination()
+
+    read = lambda d: sorted(r["job_id"] for r in spark.read.option("recursiveFileLookup", "true").parquet(paths[d]).collect())
+    deliver("x", lines, ["3", "5"])
+    assert read("out") == [*"0124678", "undated"] and read("bad") == ["old"] and read("dead") == ["3", "5"]
+    assert {"no score" in r["error"] for r in spark.read.parquet(paths["dead"]).collect()} == {True}
+    deliver("y", lines[3:6], ["5"])  # 4 again is left out, 3 can be scored now, 5 fails alone
+    assert read("out") == [*"01234678", "undated"] and read("bad") == ["old"] and read("dead") == ["3", "5", "5"]
+
+
+def test_index_job_once_a_genome(spark, tmp_path):
+    plan = spark.createDataFrame([("g", "a", 2), ("g", "b", 1), ("h", "c", 2)], "genome string, filename string, parts_per_file int")
+    found = []
+    for name, parts in (("x", [("a", 1), ("a", 1), ("b", 1)]), ("y", [("a", 2), ("c", 1), ("c", 7)]), ("z", [("a", 1), ("b", 1), ("c", 1)])):
+        spark.createDataFrame(parts, "filename string, part int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("filename string, part int").parquet(str(tmp_path / "in"))
+        streams.start_index_jobs(streams.stream_genome_status(stream, plan), str(tmp_path / "out"), str(tmp_path / "state"), {"availableNow": True}).awaitTermination()
+        found.append([tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select("genome", "num_files", "num_parts").collect()])
+    assert found == [[], [("g", 2, 3)], [("g", 2, 3)]]
+
+
+def test_progress_forgets_what_the_watermark_has_passed(spark, tmp_path):
+    schema = "job_id string, target_id long, stage string, ts timestamp"
+    row = lambda target, stage, minute: f"SELECT 'a' job_id, {target}L target_id, '{stage}' stage, timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, {minute}, 0) ts"
+    counts, states = [], []
+    for rows in ([row(1, "guide", 0), row(1, "guide", 1), row(1, "ontarget", 2)], [row(1, "guide", 0), row(2, "guide", 100)], [row(3, "guide", 0), row(2, "guide", 101)]):
+        spark.sql(" UNION ALL ".join(rows)).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        query = streams.stream_progress(spark.readStream.schema(schema).parquet(str(tmp_path / "in"))).writeStream.outputMode("update").foreachBatch(lambda b, _: counts.extend(tuple(r)[1:] for r in b.collect())).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        states.append(min(p["stateOperators"][1]["numRowsTotal"] for p in map(lambda x: json.loads(x.json), query.recentProgress)))
+    assert counts == [(1, 1, 0), (2, 1, 0)]  # late and repeated rows change nothing
+    assert states[-1] <= 1
