@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import slices, texts_of, uniform
+from .shared import in_arrow, slices, texts_of, uniform
 
 TEXTS, DICTIONARY_BYTES, BLOCK_BYTES = 64, 48_000, 2048
 #: Level of every text, and of texts with a narrow margin.
@@ -99,4 +99,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
             carried |= {"lang_pred": pa.array(langs, type=pa.string()), "score": pa.array(scores, type=pa.float64()), "rejected": pa.array(rejected, type=pa.bool_())}
             yield pa.RecordBatch.from_arrays(list(carried.values()), names=list(carried))
 
-    return rows.mapInArrow(judge, f"{fields}, lang_pred string, score double, rejected boolean")
+    return in_arrow(rows, judge, f"{fields}, lang_pred string, score double, rejected boolean")

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import ascii_lower, flat_words, slices, staged, texts_of
+from .shared import ascii_lower, flat_words, in_arrow, slices, staged, texts_of
 
 SKETCH, DEVIATIONS = 128, 6.0
 #: Ids that one broadcast may hold; beyond that the documents are shuffled instead.
@@ -96,7 +96,7 @@ def shingle_sets(docs: DataFrame, width: int, most: int | None, carry: tuple[str
             ids = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([*map(batch.column, carry), pa.array([len(s) for s in sets], type=pa.int64()), pa.array(ids, type=pa.binary()), _lists([s[:most] for s in sets])], names=[*carry, "n_shingles", "set_id", "values"])
 
-    return rows.mapInArrow(make, f"{kinds}, n_shingles long, set_id binary, values array<bigint>")
+    return in_arrow(rows, make, f"{kinds}, n_shingles long, set_id binary, values array<bigint>")
 
 
 def least_overlap(n: Column, threshold: float, k: int) -> Column:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .shared import WordTokens, flat_words, gather, slices, staged, texts_of
+from .shared import WordTokens, flat_words, gather, in_arrow, slices, staged, texts_of
 
 CAPACITY, CLOSING_ID, OPEN_BINS, BUCKET_PIECES = 4096, 1, 256, 8192
 WORD_END = "</w>"
@@ -133,7 +133,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, closing_id: int = CLOSING_
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
         word_tokens(vocabulary).forget()
 
-    return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
+    return in_arrow(rows, cut, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids)
 
 
 def best_fit(lengths: Iterable[int], capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> tuple[list[int], list[int]]:

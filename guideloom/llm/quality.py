@@ -30,7 +30,7 @@ import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import WordTokens, flat_words, gather, slices, sums, texts_of
+from .shared import WordTokens, flat_words, gather, in_arrow, slices, sums, texts_of
 
 SYMBOLS = r"[#*$%&|<>]"
 #: Usual characters per token and the width below it, most characters per token, most byte-fallback share, least entropy share (of the highest possible) of one token and its fall with the logarithm of the tokens.
@@ -178,7 +178,7 @@ def quality(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BA
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_lang"), *[pa.array(v[c]) for c in names]], names=["doc_id", "lang", *names])
         _word_tokens(vocabulary).forget()
 
-    return rows.mapInArrow(judge, schema)
+    return in_arrow(rows, judge, schema)
 
 
 def kept_documents(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SCRIPT_BANDS, vocabulary: str | None = None, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -191,4 +191,4 @@ def kept_documents(docs: DataFrame, bands: dict = BANDS, script_bands: dict = SC
             yield batch.filter(pa.array(v["kept"]))
         _word_tokens(vocabulary).forget()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return in_arrow(docs, keep, docs.schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import slices, texts_of
+from .shared import in_arrow, slices, texts_of
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "jwt", "der", "openssh")
@@ -283,7 +283,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             spans = [[{"kind": k, "start": a, "end": b} for a, b, k in find_spans(t)] for t in texts_of(batch, "_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(spans, type=pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))], names=["doc_id", "spans"])
 
-    return rows.mapInArrow(find, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
+    return in_arrow(rows, find, f"doc_id {kind}, spans array<struct<kind: string, start: bigint, end: bigint>>")
 
 
 def redact(text: str, spans: list[tuple[int, int, str]]) -> str:
@@ -308,7 +308,7 @@ def redacted(docs: DataFrame, text_col: str = "text", length_col: str | None = N
                 new[length_col] = pa.array([None if t is None else len(t) for t in texts], type=batch.schema.field(length_col).type)
             yield pa.RecordBatch.from_arrays([new.get(f.name, batch.column(i)) for i, f in enumerate(batch.schema)], names=batch.schema.names)
 
-    return docs.mapInArrow(clean, schema)
+    return in_arrow(docs, clean, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:

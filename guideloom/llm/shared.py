@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Words of every contract that splits on ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Words whose ids a worker keeps, and bytes of text that one step takes.
 MAX_WORDS, STEP_BYTES = 100_000, 1 << 20
+#: Bound of the bytes that Spark hands to a worker at once; a longer row comes alone.
+BATCH_BOUND, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "4m"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,6 +46,14 @@ def uniform(seed: int, *cols: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 11) / F.lit(float(1 << 53))
 
 
+def in_arrow(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """rows.mapInArrow(run, schema). Batches are bounded by their bytes, as ten thousand long texts would not fit a worker; a bound that the session has set stays."""
+    conf = rows.sparkSession.conf
+    if BATCH_BOUND not in conf.getAll:
+        conf.set(BATCH_BOUND, BATCH_BYTES)
+    return rows.mapInArrow(run, schema)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each has at most `most` bytes of text, or one row: whole texts, bounded memory. At the end Arrow's free memory is given back."""
     for batch in batches:

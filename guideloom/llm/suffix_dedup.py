@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import gather, slices, staged
+from .shared import gather, in_arrow, slices, staged
 
 SPAN, GRAM, SHALLOW = 100, 32, 16
 #: Bytes of text that one step hashes, and surroundings that one step sorts.
@@ -362,7 +362,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most_row
             held = [x[group == group[-1]] for x in rows]
             yield pa.RecordBatch.from_arrays([pa.array(seq[hit]), pa.array((at - most)[hit]), pa.array((at - least + span)[hit])], names=["seq", "low", "high"])
 
-    found = docs.select("seq", "text").mapInArrow(find, "key long, hash long, digest long, seq long, at long, after int, again boolean, many boolean")
+    found = in_arrow(docs.select("seq", "text"), find, "key long, hash long, digest long, seq long, at long, after int, again boolean, many boolean")
     same, alike = Window.partitionBy("key", "digest").orderBy("seq", "at"), Window.partitionBy("key")
     shared = found.withColumn("nth", F.row_number().over(same)).withColumn("low", F.min("digest").over(alike)).withColumn("high", F.max("digest").over(alike)).withColumn("known", F.max("many").over(alike))
     mark = (F.col("nth") == 1) & ((F.col("low") != F.col("high")) | F.col("known")) & ~F.col("again")
@@ -372,7 +372,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most_row
     whole = settled.filter("hash is null").select("seq", (F.col("at") - before).alias("low"), (F.col("at") + F.col("after")).alias("high"))
     marked = settled.filter("hash is not null")
     marks = marked.groupBy("seq").agg(F.collect_list(F.struct("at", "hash")).alias("marks"))
-    around = docs.join(marks, "seq", "left").mapInArrow(cut, "hash long, seq long, at long, after int, body binary")
+    around = in_arrow(docs.join(marks, "seq", "left"), cut, "hash long, seq long, at long, after int, body binary")
     around = around.select(F.col("hash").alias("key"), "seq", "at", "after", F.lit(0).alias("least"), F.lit(reach).alias("most"), "body")
     large = staged(marked.groupBy("hash").count().filter(F.col("count") > most_rows).select(F.col("hash").alias("key")), "suffix-large")
     known = whole
@@ -380,7 +380,7 @@ def repeated_spans(docs: DataFrame, span: int = SPAN, gram: int = GRAM, most_row
         around = staged(around, "suffix-around")
         around, certain = smaller_groups(around.join(large, "key", "left_anti"), around.join(large, "key", "left_semi"), span, reach, most_rows)
         known = known.unionByName(certain)
-    parts = around.repartition("key").sortWithinPartitions("key", "seq", "at").mapInArrow(resolve, "seq long, low long, high long")
+    parts = in_arrow(around.repartition("key").sortWithinPartitions("key", "seq", "at"), resolve, "seq long, low long, high long")
     return known.unionByName(parts)
 
 
@@ -440,4 +440,4 @@ def without_repeats(docs: DataFrame, span: int = SPAN, with_text: bool = False,
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)]][: 6 if with_text else 5], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 6 if with_text else 5])
 
-    return rows.join(spans, "seq", "left").mapInArrow(remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
+    return in_arrow(rows.join(spans, "seq", "left"), remove, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)

@@ -304,7 +304,7 @@ def tiff_pages(files: DataFrame, id_col: str = "file_id", data_col: str = "data"
                 ids = pa.array(batch.column("file_id").slice(k, 1).to_pylist() * len(found), type=batch.schema.field("file_id").type)
                 yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, type=t) for c, t in zip(zip(*found, strict=True), types, strict=True)]], names=["file_id", "page", "width", "height", "samples", "pixels", "error"])
 
-    return rows.mapInArrow(read, f"file_id {kind}, page int, width int, height int, samples int, pixels binary, error string")
+    return in_arrow(rows, read, f"file_id {kind}, page int, width int, height int, samples int, pixels binary, error string")
 
 
 def payload_of(text: str | None) -> tuple[int, bytes]:
@@ -333,4 +333,4 @@ def store_and_read(docs: DataFrame, forms: Sequence[tuple[str, bool, tuple[int,
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)]], names=["doc_id", *names])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return in_arrow(rows, run, f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
