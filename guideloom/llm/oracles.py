@@ -143,4 +143,33 @@ n AS (SELECT doc_id, b, octet_length(b) AS n, greatest(1, ceil(octet_length(b) /
 SELECT doc_id, n::BIGINT AS n_bytes, whole::BIGINT AS payload_bytes, sha256(b || unhex(repeat('ff', (whole - n)::INT))) AS payload_sha256 FROM n
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}
+#: Checksums of bytes given as hex digits; the table is made by its rule.
+CRC_TABLE = "crc AS (SELECT list(c ORDER BY i) AS crc_table FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS c FROM range(256) r(i)))"
+
+
+def crc32_of(digits: str) -> str:
+    """SQL for the CRC-32 of what hex digits stand for; crc is among the tables."""
+    of_bytes = f"list_transform(range(length({digits}) // 2), lambda j: ('0x' || substr({digits}, 2 * j + 1, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {of_bytes}), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+_LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FEATURES = rf"unnest(regexp_extract_all({_LOWER_AZ}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w"
+
+OP11 = rf"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+dw AS (SELECT r, w, count(*) AS n FROM (SELECT r, {_FEATURES} FROM d) x GROUP BY r, w),
+bw AS (SELECT w, count(*) AS n FROM (SELECT {_FEATURES} FROM benchmark) x GROUP BY w),
+v AS (SELECT w, {crc32_of('h')} % 10000 AS bucket FROM (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM dw UNION SELECT w FROM bw) y) x, crc),
+s AS (SELECT bucket, sum(n)::DOUBLE AS s FROM dw JOIN v USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n)::DOUBLE AS t FROM bw JOIN v USING (w) GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain FROM (SELECT DISTINCT bucket FROM v) b LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+f AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM dw JOIN v USING (w) JOIN g USING (bucket) GROUP BY r),
+sc AS (SELECT r, doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+       coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN f USING (r)),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features) AS k, count(*) OVER () AS n FROM sc WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN k <= 10 * n // 100 THEN k END::BIGINT AS rank FROM sc LEFT JOIN k USING (r)
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "op11_importance": OP11, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}

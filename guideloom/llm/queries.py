@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, suffix_dedup, tiff, urls
+from . import importance, language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, suffix_dedup, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +78,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "held_out", "lang_pred", F.round("score", 9).alias("score"), "rejected")
 
 
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's words; a tenth of those with 20 words is drawn."""
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = importance.resample(_documents(spark, sf_dir), target, n=1, buckets=10_000, min_words=20, percent=10, seed="2024")
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can check of op2_quality: the counts and base rules of every document."""
     return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed")
@@ -93,5 +100,5 @@ def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.store_and_read(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
 
 
-QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language)}
+QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language, op11_importance)}
 ORACLES = oracles.ORACLES
