@@ -172,4 +172,23 @@ k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_fea
 SELECT doc_id, n_features::BIGINT AS n_features, weight::BIGINT AS weight, score::BIGINT AS score, CASE WHEN k <= 10 * n // 100 THEN k END::BIGINT AS rank FROM sc LEFT JOIN k USING (r)
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "op11_importance": OP11, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}
+OP12 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER_AZ}, '[a-z\x{{00C0}}-\x{{00FF}}]+')) AS w FROM documents) x GROUP BY doc_id, w),
+h AS (SELECT w, n, {crc32_of('b')} AS h FROM (SELECT w, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS b FROM d) x, crc),
+v AS (SELECT w, sum(n)::BIGINT AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS w, n FROM h) x WHERE length(w) >= 5 GROUP BY w HAVING sum(n) >= 3),
+-- replaced: both words without the letter at one place are equal; deleted: the longer without a letter is the shorter
+gap AS (SELECT w, n, i, substr(w, 1, i - 1) AS a, substr(w, i + 1) AS b FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS i FROM v) x),
+near AS (
+  SELECT x.w, y.w AS near, y.n AS near_n FROM gap x JOIN gap y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.w <> y.w
+  UNION SELECT x.w, v.w, v.n FROM gap x JOIN v ON v.w = x.a || x.b
+  UNION SELECT v.w, x.w, x.n FROM gap x JOIN v ON v.w = x.a || x.b),
+k AS (SELECT w, count(*) AS n_near FROM near GROUP BY w),
+f AS (SELECT w, near AS form, near_n AS form_n FROM (SELECT near.*, row_number() OVER (PARTITION BY w ORDER BY near_n DESC, near) AS r FROM near) x WHERE r = 1),
+g AS (SELECT v.w, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * v.n THEN form END AS form, CASE WHEN form_n >= 2 * v.n THEN form_n END AS form_n FROM v LEFT JOIN k USING (w) LEFT JOIN f USING (w)),
+walk AS (SELECT w, w AS stop FROM g UNION ALL SELECT walk.w, g.form FROM walk JOIN g ON g.w = walk.stop WHERE g.form IS NOT NULL),
+e AS (SELECT walk.w, walk.stop FROM walk JOIN g ON g.w = walk.stop WHERE g.form IS NULL)
+SELECT w AS word, form, stop AS root, n, n_near::BIGINT AS n_near, form_n FROM g JOIN e USING (w)
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "op11_importance": OP11, "op12_spelling": OP12, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, suffix_dedup, tiff, urls
+from . import importance, language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, spelling, suffix_dedup, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +85,11 @@ def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of the words of all documents, with one planted error in 97 runs."""
+    return spelling.grouped(spelling.word_counts(_documents(spark, sf_dir), drop_every=97, min_letters=5, min_count=3), ratio=2)
+
+
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can check of op2_quality: the counts and base rules of every document."""
     return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed")
@@ -100,5 +105,5 @@ def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.store_and_read(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
 
 
-QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language, op11_importance)}
+QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language, op11_importance, op12_spelling)}
 ORACLES = oracles.ORACLES
