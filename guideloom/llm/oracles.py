@@ -191,4 +191,15 @@ e AS (SELECT walk.w, walk.stop FROM walk JOIN g ON g.w = walk.stop WHERE g.form
 SELECT w AS word, form, stop AS root, n, n_near::BIGINT AS n_near, form_n FROM g JOIN e USING (w)
 """
 
-ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "op11_importance": OP11, "op12_spelling": OP12, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS}
+LM_BASE = rf"""
+WITH {CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {crc32_of('b')} % 7 = 2 AS held_out, list_append(list_filter(regexp_split_to_array({_LOWER_AZ}, '[\x20\x09-\x0D]+'), lambda x: x <> ''), '') AS t
+      FROM (SELECT doc_id, text, hex(encode(coalesce(doc_id::VARCHAR, ''))) AS b FROM documents) x, crc),
+w AS (SELECT r, held_out, w, count(*) AS n FROM (SELECT r, held_out, unnest(t) AS w FROM d) x GROUP BY r, held_out, w),
+c AS (SELECT w, sum(n)::BIGINT AS c FROM w WHERE NOT held_out GROUP BY w),
+m AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM c),
+s AS (SELECT r, sum(w.n)::BIGINT AS n_tokens, coalesce(sum(w.n) FILTER (c > 0), 0)::BIGINT AS n_known, sum(w.n * log10((coalesce(c, 0) + 1)::DOUBLE / (m.n + m.v + 1))) AS base FROM w LEFT JOIN c USING (w), m GROUP BY r)
+SELECT doc_id, held_out, n_tokens, n_known, m.n AS train_tokens, round(base, 4) AS base_score FROM d JOIN s USING (r), m
+"""
+
+ORACLES = {"op1_mixing": OP1, "op3_near_dedup": OP3, "op4_suffix_dedup": OP4, "op6_licenses": OP6, "op8_urls": OP8, "op11_importance": OP11, "op12_spelling": OP12, "quality_counts": QUALITY_COUNTS, "secret_base_kinds": SECRET_BASE, "media_payloads": MEDIA_PAYLOADS, "lm_base_scores": LM_BASE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import importance, language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, spelling, suffix_dedup, tiff, urls
+from . import importance, interpolation, language, licenses, mixing, near_dedup, oracles, packing, quality, secrets, spelling, suffix_dedup, tiff, urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +90,17 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.grouped(spelling.word_counts(_documents(spark, sf_dir), drop_every=97, min_letters=5, min_count=3), ratio=2)
 
 
+def op13_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; a seventh of the documents, by checksum of the id, is never learned from, and an eighth of the others sets the weights."""
+    draw = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return interpolation.scores(_documents(spark, sf_dir), may_learn=draw % 7 != 2, delete=F.floor(draw / 7) % 8 == 0)
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can check of op13_interpolation: counts and base score of every document."""
+    return op13_interpolation(spark, sf_dir).drop("score").withColumn("base_score", F.round("base_score", 4))
+
+
 def quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can check of op2_quality: the counts and base rules of every document."""
     return quality.quality(_documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed")
@@ -105,5 +116,5 @@ def media_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiff.store_and_read(_documents(spark, sf_dir)).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
 
 
-QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language, op11_importance, op12_spelling)}
+QUERIES = {f.__name__: f for f in (quality_counts, secret_base_kinds, media_payloads, lm_base_scores, op1_mixing, op2_quality, op3_near_dedup, op4_suffix_dedup, op5_packing, op6_licenses, op7_secrets, op8_urls, op9_tiff, op10_language, op11_importance, op12_spelling, op13_interpolation)}
 ORACLES = oracles.ORACLES
