@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,12 +52,21 @@ STEPS, NEVER = 1000, -(1 << 30)
 ROUNDS = 200
 
 
-def _one(values: pa.Array | np.ndarray) -> pa.ListArray:
+def _one(values: pa.Array) -> pa.ListArray:
     """One row that holds all values."""
-    values = values if isinstance(values, pa.Array) else pa.array(values)
     return pa.ListArray.from_arrays(pa.array([0, len(values)], type=pa.int32()), values)
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers as bytes, those of equal weight together and compressed: small ones take about a byte."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(numbers.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<i8").reshape(-1)
+
+
 def blocks(docs: DataFrame, may_learn: Column, delete: Column, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """block, deleted, ids, learned, sizes (tokens of each document), words (the first is the end), tokens, and three sums. Deleted documents have blocks of their own."""
     learned, deleted = F.coalesce(may_learn, F.lit(False)), F.coalesce(may_learn & delete, F.lit(False))
@@ -71,7 +81,7 @@ def blocks(docs: DataFrame, may_learn: Column, delete: Column, id_col: str = "do
         tokens[np.arange(len(row)) + row] = words.indices.to_numpy(zero_copy_only=False) + 1
         spelled = pa.concat_arrays([pa.array([""], type=pa.string()), words.dictionary.cast(pa.string())])
         learned = whole.column("_learned").to_numpy(zero_copy_only=False)
-        columns = {"block": pa.array([(TaskContext.get().partitionId() << 32) | number]), "deleted": pa.array([deleted]), "ids": _one(whole.column("_id")), "learned": _one(whole.column("_learned")), "sizes": _one((per_doc + 1).astype(np.int32)), "words": _one(spelled), "tokens": _one(tokens)}
+        columns = {"block": pa.array([(TaskContext.get().partitionId() << 32) | number]), "deleted": pa.array([deleted]), "ids": _one(whole.column("_id")), "learned": _one(whole.column("_learned")), "sizes": pa.array([packed(per_doc + 1)]), "words": _one(spelled), "tokens": pa.array([packed(tokens)])}
         columns |= {"n_words": pa.array([len(spelled)]), "n_tokens": pa.array([len(tokens)]), "n_learned": pa.array([int((per_doc + 1)[learned].sum())]), "n_docs": pa.array([int(learned.sum())])}
         return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
@@ -92,13 +102,17 @@ def blocks(docs: DataFrame, may_learn: Column, delete: Column, id_col: str = "do
                 yield pack(parts, number, deleted)
                 number += 1
 
-    return in_arrow(rows, build, f"block long, deleted boolean, ids array<{kind}>, learned array<boolean>, sizes array<int>, words array<string>, tokens array<int>, n_words long, n_tokens long, n_learned long, n_docs long")
+    return in_arrow(rows, build, f"block long, deleted boolean, ids array<{kind}>, learned array<boolean>, sizes binary, words array<string>, tokens binary, n_words long, n_tokens long, n_learned long, n_docs long")
+
 
+def _whole(table: pa.RecordBatch | pa.Table, name: str) -> pa.Array:
+    found = table.column(name)
+    return found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
 
-def _flat(row: pa.RecordBatch | pa.Table, name: str) -> np.ndarray:
-    """The only row's list."""
-    found = row.column(name)
-    return (found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found).flatten().to_numpy(zero_copy_only=False)
+
+def _tokens(block: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, sizes) of the only row."""
+    return tuple(unpacked(_whole(block, c)[0].as_py()) for c in ("tokens", "sizes"))
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
@@ -122,57 +136,61 @@ def contexts(tokens: np.ndarray, sizes: np.ndarray, n_words: int) -> np.ndarray:
 
 
 def _dealt(h: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(part of each hash, places in order of their parts)."""
-    part = ((h >> np.uint64(17)) % np.uint64(parts)).astype(np.int64)
-    return part, np.argsort(part, kind="stable")
+    """(places in order of their hashes, parts in that order): a part is a range of hashes."""
+    order = np.argsort(h, kind="stable")
+    return order, (((h[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
 def asked(blocks: DataFrame, parts: int, pairs: bool) -> DataFrame:
-    """part, block, deleted, keys (distinct words or pairs of a block in this part), n (their occurrences in training documents)."""
+    """part, block, deleted, keys (the distinct words of a block in this part; of pairs the steps from one hash to the next), n (their occurrences in training documents, packed)."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
-                words, tokens, sizes = row.column("words").flatten(), _flat(row, "tokens"), _flat(row, "sizes").astype(np.int64)
-                learned = np.repeat(_flat(row, "learned"), sizes)
+                words, (tokens, sizes) = row.column("words").flatten(), _tokens(row)
+                learned = np.repeat(row.column("learned").flatten().to_numpy(zero_copy_only=False), sizes)
                 h = word_hashes(words.to_pylist())
                 if pairs:
                     found, which = np.unique(contexts(tokens, sizes, len(h)) * len(h) + tokens, return_inverse=True)
-                    h = pair_hashes(h, found)
-                    keys, n = pa.array(h.view(np.int64)), np.bincount(which, weights=learned, minlength=len(found))
+                    h, tokens = pair_hashes(h, found), which
+                n = np.bincount(tokens, weights=learned, minlength=len(h)).astype(np.int64)
+                order, part = _dealt(h, parts)
+                some, first = np.unique(part, return_index=True)
+                ends = np.append(first, len(order))
+                if pairs:
+                    keys = pa.array([packed(np.diff(x, prepend=np.uint64(0)).view(np.int64)) for x in np.split(h[order], first[1:])])
                 else:
-                    keys, n = words, np.bincount(tokens, weights=learned, minlength=len(h))
-                part, order = _dealt(h, parts)
-                some, first = np.unique(part[order], return_index=True)
-                ends = pa.array(np.append(first, len(order)).astype(np.int32))
+                    keys = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words.take(pa.array(order)))
                 same = pa.array(np.zeros(len(some), dtype=np.int64))
-                lists = [pa.ListArray.from_arrays(ends, x) for x in (keys.take(pa.array(order)), pa.array(n[order].astype(np.int64)))]
-                yield pa.RecordBatch.from_arrays([pa.array(some), row.column("block").take(same), row.column("deleted").take(same), *lists], names=["part", "block", "deleted", "keys", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(some), row.column("block").take(same), row.column("deleted").take(same), keys, pa.array([packed(x) for x in np.split(n[order], first[1:])])], names=["part", "block", "deleted", "keys", "n"])
 
-    return in_arrow(blocks.select("block", "deleted", "learned", "sizes", "words", "tokens"), ask, f"part long, block long, deleted boolean, keys array<{'long' if pairs else 'string'}>, n array<long>")
+    return in_arrow(blocks.select("block", "deleted", "learned", "sizes", "words", "tokens"), ask, f"part long, block long, deleted boolean, keys {'binary' if pairs else 'array<string>'}, n binary")
 
 
 def answered(questions: DataFrame) -> DataFrame:
-    """block, kind, part, deleted, c and d (occurrences of each key in all training documents and in the deleted ones), and, in one row a part: distinct (keys with occurrences), steps and weights (histogram of what remains of keys without the deleted part, by deleted occurrences)."""
-    kind = questions.schema["keys"].dataType.elementType.simpleString()
+    """block, kind, part, deleted, c (occurrences of each key in all training documents) and, for deleted blocks, d (in the deleted ones), both packed and in the order of the question; and, in one row a part: distinct (keys with occurrences), steps and weights (histogram of what remains of keys without the deleted part, by deleted occurrences)."""
+    kind = "words" if questions.schema["keys"].dataType.simpleString() != "binary" else "pairs"
 
     def answer(group: pa.Table) -> pa.Table:
-        keys = group.column("keys").combine_chunks()
-        code = keys.flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
-        lengths = pc.list_value_length(keys).to_numpy(zero_copy_only=False)
-        n, gone = group.column("n").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.repeat(group.column("deleted").to_numpy(), lengths)
+        n = [unpacked(x.as_py()) for x in group.column("n")]
+        lengths, deleted = np.array([len(x) for x in n]), group.column("deleted").to_numpy()
+        if kind == "words":
+            code = _whole(group, "keys").flatten().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        else:
+            code = pa.array(np.concatenate([np.cumsum(unpacked(x.as_py())) for x in group.column("keys")])).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        n, gone = np.concatenate(n), np.repeat(deleted, lengths)
         c, d = np.bincount(code, weights=n).astype(np.int64), np.bincount(code, weights=n * gone).astype(np.int64)
         steps, weights = histogram((c - d)[d > 0].astype(np.float64), d[d > 0])
-        ends = pa.array(np.append(0, np.cumsum(lengths)).astype(np.int32))
         once = lambda values: pa.ListArray.from_arrays(pa.array(np.append(0, np.full(len(lengths), len(values))).astype(np.int32)), pa.array(values))
         distinct = np.zeros(len(lengths), dtype=np.int64)
         distinct[0] = (c > 0).sum()
+        own = np.split(code, np.cumsum(lengths)[:-1])
         columns = {"block": group.column("block"), "kind": pa.array([kind] * len(lengths)), "part": group.column("part"), "deleted": group.column("deleted")}
-        columns |= {"c": pa.ListArray.from_arrays(ends, pa.array(c[code])), "d": pa.ListArray.from_arrays(ends, pa.array(d[code])), "distinct": pa.array(distinct), "steps": once(steps), "weights": once(weights)}
-        return pa.table(columns)
+        columns |= {"c": pa.array([packed(c[x]) for x in own]), "d": pa.array([packed(d[x]) if g else None for x, g in zip(own, deleted, strict=True)], type=pa.binary())}
+        return pa.table(columns | {"distinct": pa.array(distinct), "steps": once(steps), "weights": once(weights)})
 
-    return questions.groupBy("part").applyInArrow(answer, "block long, kind string, part long, deleted boolean, c array<long>, d array<long>, distinct long, steps array<long>, weights array<long>")
+    return questions.groupBy("part").applyInArrow(answer, "block long, kind string, part long, deleted boolean, c binary, d binary, distinct long, steps array<long>, weights array<long>")
 
 
 def histogram(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,24 +214,26 @@ def mixture_weight(step: np.ndarray, weight: np.ndarray, scale: float = 1.0, rou
 
 
 class Counts:
-    """What a block needs of its answers: for each token the counts of the word, its context and the pair."""
-
-    def __init__(self, block: pa.Table, answers: pa.Table, parts: dict[str, int], documents: tuple[int, int]):
-        self.sizes = _flat(block, "sizes").astype(np.int64)
-        tokens, h = _flat(block, "tokens"), word_hashes(block.column("words").combine_chunks().flatten().to_pylist())
-        before = contexts(tokens, self.sizes, len(h))
-        pairs, which = np.unique(before * len(h) + tokens, return_inverse=True)
-        of_words, of_pairs = self._in_order(answers, "string", h, parts), self._in_order(answers, "bigint", pair_hashes(h, pairs), parts)
-        self.word, self.pair = of_words[:, tokens], of_pairs[:, which]
-        self.context = np.concatenate([of_words, np.array(documents, dtype=np.int64)[:, None]], axis=1)[:, before]
-        self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+    """What a block needs of its answers: for each token the counts (column c, or d) of the word, its context and the pair."""
 
-    @staticmethod
-    def _in_order(answers: pa.Table, kind: str, h: np.ndarray, parts: dict[str, int]) -> np.ndarray:
-        """Two rows, all and deleted occurrences, in the block's own order."""
-        own = answers.filter(pc.equal(answers.column("kind"), kind)).sort_by("part")
-        out = np.zeros((2, len(h)), dtype=np.int64)
-        out[:, _dealt(h, parts[kind])[1]] = [own.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("c", "d")]
+    def __init__(self, block: pa.Table, answers: pa.Table, parts: dict[str, int]):
+        self.tokens, self.sizes = _tokens(block)
+        h = word_hashes(_whole(block, "words").flatten().to_pylist())
+        self.before = contexts(self.tokens, self.sizes, len(h))
+        pairs, self.pairs = np.unique(self.before * len(h) + self.tokens, return_inverse=True)
+        self.row = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.answers = answers.sort_by("part")
+        self.order = {"words": _dealt(h, parts["words"])[0], "pairs": _dealt(pair_hashes(h, pairs), parts["pairs"])[0]}
+
+    def of(self, column: str, documents: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, context, pair); documents is the count of beginnings."""
+        words, pairs = self._in_order("words", column), self._in_order("pairs", column)
+        return words[self.tokens], np.append(words, documents)[self.before], pairs[self.pairs]
+
+    def _in_order(self, kind: str, column: str) -> np.ndarray:
+        own = self.answers.filter(pc.equal(self.answers.column("kind"), kind)).column(column)
+        out = np.empty(len(self.order[kind]), dtype=np.int64)
+        out[self.order[kind]] = np.concatenate([unpacked(x.as_py()) for x in own])
         return out
 
 
@@ -241,22 +261,22 @@ def frequency(count: np.ndarray) -> np.ndarray:
     return np.frexp(count.astype(np.float64))[1]
 
 
-def _met(blocks: DataFrame, answers: DataFrame, run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+def _met(blocks: DataFrame, answers: DataFrame, counts: list[str], run: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
     needed = ["block", "ids", "learned", "sizes", "words", "tokens"]
-    return blocks.select(*needed).groupBy("block").cogroup(answers.select("block", "kind", "part", "c", "d").groupBy("block")).applyInArrow(run, schema)
+    return blocks.select(*needed).groupBy("block").cogroup(answers.select("block", "kind", "part", *counts).groupBy("block")).applyInArrow(run, schema)
 
 
 def learned_model(blocks: DataFrame, answers: DataFrame, parts: dict[str, int]) -> Model:
     """Totals, then the weights by expectation-maximisation on the deleted documents."""
     total = blocks.agg(*[F.coalesce(F.sum(F.when(F.col("deleted") | F.lit(every), F.col(c))), F.lit(0)).alias(f"{c}_{every}") for c in ("n_learned", "n_docs") for every in (True, False)]).first()
-    own = answers.filter("kind = 'string'")
+    own = answers.filter("kind = 'words'")
     model = Model(total["n_learned_True"], total["n_learned_False"], total["n_docs_True"], total["n_docs_False"], own.agg(F.coalesce(F.sum("distinct"), F.lit(0)).alias("n")).first()["n"])
     summed = own.select(F.explode(F.arrays_zip("steps", "weights")).alias("x")).groupBy("x.steps").agg(F.sum("x.weights").alias("weight")).toPandas()
     model.word_weight = mixture_weight(summed["steps"].to_numpy(dtype=np.int64), summed["weight"].to_numpy(dtype=np.float64), (model.distinct + 1) / max(model.remaining, 1))
 
     def gather(block: pa.Table, found: pa.Table) -> pa.Table:
-        counts = Counts(block, found, parts, model.documents)
-        word, pair, context = (x[0] - x[1] for x in (counts.word, counts.pair, counts.context))
+        counts = Counts(block, found, parts)
+        word, context, pair = (c - d for c, d in zip(counts.of("c", model.documents[0]), counts.of("d", model.documents[1]), strict=True))
         seen = context > 0
         better = pair[seen] / context[seen] / model.of_word(word[seen], model.remaining)
         bucket, out = frequency(context[seen]), []
@@ -265,7 +285,7 @@ def learned_model(blocks: DataFrame, answers: DataFrame, parts: dict[str, int])
             out.append(pa.table({"bucket": pa.array(np.full(len(steps), b, dtype=np.int32)), "step": pa.array(steps), "weight": pa.array(weights)}))
         return pa.concat_tables(out) if out else pa.table({"bucket": pa.array([], type=pa.int32()), "step": pa.array([], type=pa.int64()), "weight": pa.array([], type=pa.int64())})
 
-    rows = _met(blocks.filter("deleted"), answers.filter("deleted"), gather, "bucket int, step long, weight long").groupBy("bucket", "step").agg(F.sum("weight").alias("weight")).toPandas()
+    rows = _met(blocks.filter("deleted"), answers.filter("deleted"), ["c", "d"], gather, "bucket int, step long, weight long").groupBy("bucket", "step").agg(F.sum("weight").alias("weight")).toPandas()
     for bucket, own in rows.groupby("bucket"):
         model.pair_weights[int(bucket)] = mixture_weight(own["step"].to_numpy(dtype=np.int64), own["weight"].to_numpy(dtype=np.float64))
     return model
@@ -286,17 +306,17 @@ def scores(docs: DataFrame, may_learn: Column, delete: Column, id_col: str = "do
     built.write.option("compression", "zstd").option("parquet.block.size", 32 << 20).option("parquet.page.size.row.check.min", 1).option("parquet.block.size.row.check.min", 1).parquet(path)
     built = spark.read.schema(built.schema).parquet(path)
     size = built.agg(F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).first()
-    parts = {"string": _parts(spark, size["words"], part_keys), "bigint": _parts(spark, size["tokens"], part_keys)}
-    answers = staged(answered(asked(built, parts["string"], False)).unionByName(answered(asked(built, parts["bigint"], True))), "lm-answers")
+    parts = {"words": _parts(spark, size["words"], part_keys), "pairs": _parts(spark, size["tokens"], part_keys)}
+    answers = staged(answered(asked(built, parts["words"], False)).unionByName(answered(asked(built, parts["pairs"], True))), "lm-answers")
     model = learned_model(built, answers, parts)
 
     def score(block: pa.Table, found: pa.Table) -> pa.Table:
-        counts = Counts(block, found, parts, model.documents)
-        word, m = counts.word[0], len(counts.sizes)
+        counts = Counts(block, found, parts)
+        (word, context, pair), m = counts.of("c", model.documents[0]), len(counts.sizes)
         total = lambda values: np.bincount(counts.row, weights=values, minlength=m)
         base = np.log10((word + 1) / (model.tokens + model.distinct + 1))
-        mixed = np.log10(model.of_pair(counts.pair[0], counts.context[0], word))
-        ids, learned = block.column("ids").combine_chunks().flatten(), block.column("learned").combine_chunks().flatten()
+        mixed = np.log10(model.of_pair(pair, context, word))
+        ids, learned = _whole(block, "ids").flatten(), _whole(block, "learned").flatten()
         return pa.table({"doc_id": ids, "held_out": pc.invert(learned), "n_tokens": pa.array(counts.sizes), "n_known": pa.array(total(word > 0).astype(np.int64)), "train_tokens": pa.array(np.full(m, model.tokens, dtype=np.int64)), "base_score": pa.array(total(base)), "score": pa.array(total(mixed))})
 
-    return _met(built, answers, score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return _met(built, answers, ["c"], score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
