@@ -132,4 +132,8 @@ ORACLES |= {
     "job_results": with_(*ALL) + "SELECT * FROM results WHERE job_id = (SELECT job_id FROM results GROUP BY job_id ORDER BY count(*) DESC, job_id LIMIT 1) ORDER BY target_id",
     "rbf_votes": with_(JOBS, GUIDES) + f"SELECT job_id, target_id, {_KERNELS} + {RBF['intercept']}::DOUBLE >= 0 AS sgrnascorer FROM (SELECT *, {BITS} AS bits FROM guides)",
     "plugged_scores": with_(JOBS, GUIDES) + "SELECT job_id, target_id, length(regexp_replace(sequence, '[^AT]', '', 'g'))::BIGINT AS at FROM guides",
+    "released_jobs": f"SELECT job_id, genome, n, 'released' AS outcome, greatest(round, CASE WHEN k % 5 = 0 THEN 0 ELSE k % 4 END)::INTEGER AS round FROM (SELECT doc_id::VARCHAR AS job_id, source AS genome, length({dna('text')}) AS n, (doc_id % 3)::INTEGER AS round, substr(source, 4)::INTEGER AS k FROM documents) WHERE k % 5 = 0 OR k % 4 <> 3",
+    "expired_uploads": with_(FILES, PLAN) + "SELECT filename::VARCHAR AS filename, count(*)::INTEGER AS parts_per_file, count(l.k)::INTEGER AS n_present, CASE WHEN count(*) = count(l.k) THEN 'complete' ELSE 'expired' END AS outcome FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename HAVING count(l.k) > 0",
+    "rejected_requests": f"SELECT job_id, reason AS reject_reason, count(*) AS n FROM (SELECT CASE WHEN doc_id % 5 > 1 THEN doc_id::VARCHAR END AS job_id, CASE WHEN doc_id % 5 < 2 THEN 'no job id' WHEN length(s) = 0 THEN 'empty' WHEN length(s) > 4000 THEN 'too long' WHEN NOT regexp_full_match(s, '[ATCGatcg]+') THEN 'alphabet' END AS reason FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN regexp_replace(text, '[\\r\\n ]', '', 'g') ELSE {dna('text')} END AS s FROM documents)) WHERE reason IS NOT NULL GROUP BY job_id, reason",
+    "retried_jobs": with_(JOBS) + "SELECT job_id, CASE WHEN job_id::BIGINT % 7 = 0 THEN 'dead' ELSE 'scored' END AS state, length(sequence)::INTEGER AS bases, CASE WHEN job_id::BIGINT % 7 = 0 THEN 3 END::INTEGER AS attempt FROM jobs",
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from guideloom.functions import sequences, votes
 from guideloom.operators import acquisition, efficiency, results, sites, specificity, targets
 from guideloom.sources import fasta, tables
 from guideloom.sources.staging import reread, scratch, spread
-from guideloom.streaming import streams
+from guideloom.streaming import keyed, streams
 
 #: Fixed values of the stand-in tables.
 GENOMES = ("de", "en", "es", "fr")
@@ -420,11 +422,88 @@ def streamed_specificity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored_stream(spark, sf_dir, "specificity", score, schema).withColumn("score", F.round("score", 6))
 
 
+def _rounds(spark: SparkSession, name: str, stream: DataFrame, deliveries, column: str = "round") -> DataFrame:
+    """What a stateful stream writes after each delivery, with the number of the delivery."""
+    out, state = (scratch(spark, f"{name}-{part}") for part in ("rows", "state"))
+    for number, deliver in enumerate(deliveries):
+        deliver()
+        with keyed.state_settings(spark, {"availableNow": True}):
+            save = lambda batch, k, number=number: batch.write.mode("overwrite").parquet(f"{out}/{column}={number}/batch={k}")
+            query = stream.writeStream.foreachBatch(save).option("checkpointLocation", state).trigger(availableNow=True).start()
+        query.awaitTermination()
+    return spark.read.schema(f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in stream.schema)}, {column} int, batch long").parquet(out).drop("batch")
+
+
+def released_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as jobs for the genome of their source, in three rounds, half of a round's again in the next: which round lets each go. Some genomes have an index at the start, others get it in one of the rounds, before, with or after their jobs, and some never do."""
+    asked, ready = (scratch(spark, f"waiting-{part}") for part in ("jobs", "indexes"))
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.col("doc_id").cast("string").alias("job_id"), sequences.text_to_dna(F.col("text")).alias("sequence"), F.col("source").alias("genome"), F.lit("2024-01-01T00:00:00Z").cast("timestamp").alias("submitted_at"))
+    sources = docs.select("genome", F.substring("genome", 4, 9).cast("int").alias("k")).distinct()
+    jobs_of, indexes_of = docs.drop("doc_id"), sources.select("genome")
+
+    def delivery(number: int):
+        def deliver() -> None:
+            again = (F.col("doc_id") % 3 == number - 1) & (F.col("doc_id") % 2 == 0)
+            docs.filter((F.col("doc_id") % 3 == number) | again).drop("doc_id").write.mode("append").parquet(asked)
+            sources.filter(F.col("k") % 4 == number).select("genome").write.mode("append").parquet(ready)
+
+        return deliver
+
+    read = lambda path, like: spark.readStream.schema(like.schema).parquet(path)
+    jobs_of.limit(0).write.parquet(asked), indexes_of.limit(0).write.parquet(ready)
+    stream = keyed.released_jobs(read(asked, jobs_of), read(ready, indexes_of), known=sources.filter("k % 5 = 0"))
+    return _rounds(spark, "waiting", stream, [delivery(k) for k in range(3)]).select("job_id", "genome", F.length("sequence").alias("n"), "outcome", "round")
+
+
+def expired_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files whose parts come in two deliveries, the second with all of the first again: each file once, complete or expired with what it had."""
+    path = scratch(spark, "uploads")
+    records = part_records(spark, sf_dir).select(F.col("filename").cast("string").alias("filename"), "part")
+    none = spark.createDataFrame([("-1", 1)], "filename string, part int")  # the clock goes on
+
+    def delivery(rows: DataFrame):
+        def deliver() -> None:
+            time.sleep(0.5)
+            rows.write.mode("append").parquet(path)
+
+        return deliver
+
+    records.limit(0).write.parquet(path)
+    stream = keyed.finished_uploads(spark.readStream.schema(records.schema).parquet(path), planned_parts(spark, sf_dir), keep_days=0.4 / 86_400)
+    return _rounds(spark, "uploads", stream, [delivery(records.filter("part % 2 = 1")), delivery(records), delivery(none)]).drop("round")
+
+
+def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as requests, some of them broken, without an id, or no DNA: how often each id is rejected, and why."""
+    path, out, rejects, state = (scratch(spark, f"rejected-{part}") for part in ("requests", "rows", "rejects", "state"))
+    n, text = F.col("doc_id"), sequences.text_to_dna(F.col("text"))
+    job, body = n.cast("string").alias("job_id"), F.when(n % 5 == 2, F.col("text")).otherwise(text).alias("sequence")
+    line = F.when(n % 5 == 0, F.to_json(F.struct(body))).when(n % 5 == 1, F.concat(F.lit('{"job_id": "'), job, F.lit("', broken"))).otherwise(F.to_json(F.struct(job, body)))
+    table(spark, sf_dir, "documents").select(line.alias("value")).write.text(path)
+    streams.start_scoring(streams.stream_jobs(spark, path), lambda jobs: jobs.select("job_id", F.length("sequence").alias("n")), out, rejects, state, {"availableNow": True}, max_length=4000).awaitTermination()
+    rows = spark.read.option("recursiveFileLookup", "true").schema("job_id string, reject_reason string").parquet(rejects)
+    return rows.groupBy("job_id", "reject_reason").agg(F.count("*").alias("n"))
+
+
+def retried_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs whose scoring says that it failed: every seventh always, every eleventh at the first try. Where each ends."""
+    path, out, rejects, dead, state = (scratch(spark, f"retried-{part}") for part in ("requests", "rows", "rejects", "dead", "state"))
+    jobs(spark, sf_dir).withColumn("submitted_at", F.lit("2024-01-01T00:00:00Z").cast("timestamp")).write.json(path)
+    n = F.col("job_id").cast("long")
+    for number in range(4):
+        fails = (n % 7 == 0) | (n % 11 == 0) if number == 0 else n % 7 == 0
+        score = lambda accepted, fails=fails: accepted.select("job_id", F.length("sequence").alias("bases"), F.when(fails, "no score").alias("error"))
+        streams.start_scoring(streams.stream_jobs(spark, path), score, out, rejects, state, {"availableNow": True}, dead_letters=dead, tries=3).awaitTermination()
+    read = lambda folder, columns: spark.read.option("recursiveFileLookup", "true").schema(columns).parquet(folder)
+    scored = read(out, "job_id string, bases int").select("job_id", F.lit("scored").alias("state"), "bases", F.lit(None).cast("int").alias("attempt"))
+    return scored.unionByName(read(dead, "job_id string, sequence string, attempt int").select("job_id", F.lit("dead").alias("state"), F.length("sequence").alias("bases"), "attempt"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, written_sites, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
-        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, streamed_guides, streamed_consensus, streamed_specificity,
+        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

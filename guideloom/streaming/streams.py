@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from guideloom.functions.sequences import normalise_sequence
 from guideloom.operators.targets import validate_jobs
 from guideloom.sources.staging import reread
+from guideloom.streaming import keyed
 
 JOB_SCHEMA = "job_id string, sequence string, genome string, submitted_at timestamp"
 
@@ -41,39 +42,62 @@ def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], bit: int =
     return good, dead
 
 
-def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000, max_age: str | None = None, dead_letters: str | None = None, tries: int = 3) -> StreamingQuery:
-    """Each micro-batch through the batch functions. A batch that runs again replaces its own part, and jobs that an earlier batch has written are left out, so redelivery is harmless; rejected jobs go to their own path. Rows of score keep their job_id.
+def _scored(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], tries: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """(rows of the jobs that can be scored, the others with their error). When all jobs fail at once, single ones are tried, the first by id and then the last, in `tries` runs altogether. If none succeeds, the fault is not theirs and the error goes on; else those that fail are set apart."""
+    try:
+        return [reread(score(jobs), "scored")], []
+    except PySparkException as error:
+        if tries < 2:
+            raise
+        ends = jobs.agg(F.min("job_id"), F.max("job_id")).first()
+        for k in range(tries - 1):
+            try:
+                reread(score(jobs.filter(F.col("job_id") == ends[k % 2])), "scored")
+                return _apart(jobs, score)
+            except PySparkException:
+                continue
+        raise error
+
 
-    max_age: jobs submitted longer ago than this interval when their batch runs are rejected as expired. dead_letters: a batch whose scoring fails `tries` times is taken apart, and the jobs that fail even alone go to this path with their error; delivered again, they are tried again. Without it, a failure ends the stream."""
+def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000, max_age: str | None = None, dead_letters: str | None = None, tries: int = 3, keep_days: float = 14) -> StreamingQuery:
+    """Each micro-batch through the batch functions. A job id counts once in keep_days, by keyed state, so redelivery is harmless and no earlier output is read. A batch that runs again replaces its own part under run=.../batch=..., the run being that of the checkpoint: a new checkpoint replaces nothing. Rejected jobs, among them those without an id, go to their own path. Rows of score keep their job_id.
 
-    def written(spark: SparkSession, folder: str, number: int) -> DataFrame:
-        return spark.read.schema("job_id string, batch long").parquet(folder).filter(F.col("batch") < number).select("job_id")
+    max_age: jobs submitted longer ago than this interval when their batch runs are rejected as expired.
+    dead_letters: where jobs that cannot be scored go with their error, and with the number of the try (attempt). score may say so by rows whose column `error` is not null: their job is tried again in a later batch, until `tries` tries are over (the count is in state, what failed comes back through checkpoint/feedback). Delivered again after that, it is tried again. An exception is a fault of all jobs or of a few: if single jobs cannot be scored either (see _scored), the stream stops with the error, nothing becomes a dead letter, and a restart has all jobs again; else those that fail are set apart, and go to the dead letters at once. Without dead_letters, any exception ends the stream."""
+    spark, trigger, feedback = jobs.sparkSession, trigger or {"processingTime": "10 seconds"}, f"{checkpoint}/feedback"
+    spark.createDataFrame([], keyed.FEEDBACK).write.mode("append").parquet(feedback)
+    back = spark.readStream.schema(keyed.FEEDBACK).option("recursiveFileLookup", "true").parquet(feedback)
 
     def write(batch: DataFrame, number: int) -> None:
-        once = batch.dropDuplicates(["job_id"])
-        if number:
-            for folder in (path, rejects):
-                once = once.join(written(batch.sparkSession, folder, number), "job_id", "left_anti")
-        once = reread(once, "jobs")  # the outputs agree on the jobs, and the stream's source is read once
+        run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        save = lambda rows, folder: rows.write.mode("overwrite").parquet(f"{folder}/run={run}/batch={number}")
+        once = reread(batch, "jobs")  # the outputs agree on the jobs, and the stream's source is read once
         old = F.coalesce(F.col("submitted_at") < F.current_timestamp() - F.expr(f"INTERVAL {max_age}"), F.lit(False)) if max_age else F.lit(False)
-        accepted, rejected = validate_jobs(once.withColumn("expired", old), max_length)
-        late = accepted.filter("expired").drop("expired").withColumn("reject_reason", F.lit("expired"))
+        accepted, rejected = validate_jobs(once.filter("job_id is not null").withColumn("expired", old), max_length)
+        late = accepted.filter("expired").withColumn("reject_reason", F.lit("expired"))
+        nameless = once.filter("job_id is null").withColumn("reject_reason", F.lit("no job id"))
+        save(rejected.unionByName(late).drop("expired").unionByName(nameless).drop("attempt"), rejects)
         accepted = reread(accepted.filter("not expired").drop("expired"), "accepted")
-        save = lambda rows, folder: rows.write.mode("overwrite").parquet(f"{folder}/batch={number}")
-        save(rejected.drop("expired").unionByName(late), rejects)
-        for left in reversed(range(tries if dead_letters else 1)):
-            try:
-                return save(score(accepted), path)
-            except PySparkException:
-                if not dead_letters:
-                    raise
-                if not left:
-                    break
-        good, dead = _apart(accepted, score)
-        save(reduce(DataFrame.unionByName, dead, accepted.limit(0).withColumn("error", F.lit(""))), dead_letters)
-        save(reduce(DataFrame.unionByName, good) if good else accepted.limit(0).select("job_id"), path)
-
-    return jobs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+        requests, attempts = accepted.drop("attempt"), accepted.select("job_id", "attempt")
+        if not dead_letters:
+            return save(score(requests), path)
+        good, dead = _scored(requests, score, tries)
+        dead = [d.join(attempts, "job_id") for d in dead]
+        found = reduce(DataFrame.unionByName, good) if good else requests.limit(0).select("job_id")
+        failed = accepted.limit(0).withColumn("error", F.lit(""))
+        if "error" in found.columns:
+            errors = found.filter("error is not null").groupBy("job_id").agg(F.min("error").alias("error"))
+            failed = reread(accepted.join(errors, "job_id"), "failed")
+            found = found.join(errors.select("job_id"), "job_id", "left_anti").drop("error")
+        over = F.col("attempt") >= tries
+        gone = reduce(DataFrame.unionByName, dead, failed.filter(over))
+        again = failed.filter(~over).withColumn("feedback", F.lit("failed")).unionByName(gone.withColumn("feedback", F.lit("dead")))
+        save(gone, dead_letters)
+        save(again.select("job_id", "sequence", "genome", "submitted_at", "attempt", "feedback"), feedback)
+        save(found, path)
+
+    with keyed.state_settings(spark, trigger):
+        return keyed.counted_deliveries(jobs, back, keep_days).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def without_redelivery(events: DataFrame, keys: list[str], time_col: str = "ts", watermark: str = "30 minutes") -> DataFrame:
