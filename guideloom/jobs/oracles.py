@@ -119,7 +119,7 @@ ORACLES = {
     "streamed_files": with_(FILES, PLAN) + "SELECT filename, count(l.k)::INTEGER AS n_present FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename HAVING count(*) = count(l.k)",
     "streamed_guides": with_(JOBS, GUIDES) + "SELECT * FROM guides",
 }
-for same, as_ in {"neighbours_salted": "neighbours", "neighbours_by_pairs": "neighbours", "fasta_gzipped": "fasta_round_trip", "written_targets": "guides", "streamed_consensus": "consensus", "streamed_specificity": "specificity_scores"}.items():
+for same, as_ in {"neighbours_salted": "neighbours", "neighbours_by_pairs": "neighbours", "neighbours_bucketed": "neighbours", "neighbours_in_blocks": "neighbours", "fasta_gzipped": "fasta_round_trip", "written_targets": "guides", "streamed_consensus": "consensus", "streamed_specificity": "specificity_scores"}.items():
     ORACLES[same] = ORACLES[as_]
 _VECTORS = [(c, "".join(map(str, v))) for c, v in zip(RBF["dual_coef"], RBF["support_vectors"], strict=True)]
 _KERNELS = " + ".join(f"{c}::DOUBLE * exp(-{RBF['gamma']}::DOUBLE * list_sum(list_transform(range(1, 81), lambda i: CASE WHEN substr(bits, i, 1) = substr('{v}', i, 1) THEN 0 ELSE 1 END)))" for c, v in _VECTORS)
@@ -136,4 +136,8 @@ ORACLES |= {
     "expired_uploads": with_(FILES, PLAN) + "SELECT filename::VARCHAR AS filename, count(*)::INTEGER AS parts_per_file, count(l.k)::INTEGER AS n_present, CASE WHEN count(*) = count(l.k) THEN 'complete' ELSE 'expired' END AS outcome FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename HAVING count(l.k) > 0",
     "rejected_requests": f"SELECT job_id, reason AS reject_reason, count(*) AS n FROM (SELECT CASE WHEN doc_id % 5 > 1 THEN doc_id::VARCHAR END AS job_id, CASE WHEN doc_id % 5 < 2 THEN 'no job id' WHEN length(s) = 0 THEN 'empty' WHEN length(s) > 4000 THEN 'too long' WHEN NOT regexp_full_match(s, '[ATCGatcg]+') THEN 'alphabet' END AS reason FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 2 THEN regexp_replace(text, '[\\r\\n ]', '', 'g') ELSE {dna('text')} END AS s FROM documents)) WHERE reason IS NOT NULL GROUP BY job_id, reason",
     "retried_jobs": with_(JOBS) + "SELECT job_id, CASE WHEN job_id::BIGINT % 7 = 0 THEN 'dead' ELSE 'scored' END AS state, length(sequence)::INTEGER AS bases, CASE WHEN job_id::BIGINT % 7 = 0 THEN 3 END::INTEGER AS attempt FROM jobs",
+    "neighbours_skewed": with_(JOBS, CONTIGS, GUIDES, PROTOSPACER.replace("coded AS (SELECT", "even AS (SELECT"), "coded AS (SELECT genome, CASE WHEN code % 3 = 0 THEN code % 4294967296 ELSE code END AS code, sum(n)::BIGINT AS n FROM even GROUP BY ALL)", OURS, NEAR) + "SELECT genome, guide_code, code, n, bit_count(mask)::INTEGER AS mismatches FROM near",
+    "specific_guides": with_(JOBS, CONTIGS, GUIDES, PROTOSPACER, OURS, NEAR, HITS) + "SELECT genome, guide_code, 10000.0 / (100.0 + coalesce(total, 0)) >= 75 AS specific FROM ours LEFT JOIN summed USING (genome, guide_code)",
+    "written_site_lists": with_(CONTIGS, PROTOSPACER) + "SELECT genome, count(*) AS n, min(site) AS first, max(site) AS last, true AS in_order FROM sites GROUP BY genome",
+    "fasta_headerless": with_(CONTIGS) + "SELECT genome AS lang, 'c' || contig::BIGINT % 10 AS file, 1::BIGINT AS n_contigs, sum(length(seq))::BIGINT AS n FROM contigs GROUP BY ALL",
 }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from guideloom.functions import sequences, votes
@@ -115,6 +116,17 @@ def fasta_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.read_fasta(spark, path, "all").select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
+def fasta_headerless(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs of each source and language written without headers, a folder each, and read back by their many paths: one contig a file."""
+    path = scratch(spark, "fasta-plain")
+    rows = contigs(spark, sf_dir).select("genome", F.concat(F.lit("c"), F.col("contig").cast("long") % 10).alias("file"), F.regexp_replace("seq", "(.{60})", "$1\n").alias("value"))
+    rows.repartition(8, "genome", "file").sortWithinPartitions("genome", "file", "value").write.partitionBy("genome", "file").text(path)
+    files = tables.read_objects(spark, path).filter(F.col("key").endswith(".txt"))
+    found = fasta.read_fasta(spark, sorted(r["key"] for r in files.select("key").collect()), "all")  # ten files a language
+    name = F.regexp_extract("contig", "genome=([a-z]+)/file=(c[0-9])/", 1), F.regexp_extract("contig", "genome=([a-z]+)/file=(c[0-9])/", 2)
+    return found.groupBy(name[0].alias("lang"), name[1].alias("file")).agg(F.count("*").alias("n_contigs"), F.sum(F.length("seq")).alias("n"))
+
+
 def fasta_gzipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through gzipped files, which are read whole and then spread."""
     path = scratch(spark, "fasta-gz")
@@ -136,6 +148,15 @@ def written_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias("site"))
 
 
+def written_site_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list of each genome in its own folder, with the place of each site among the lines of its files in order."""
+    path = scratch(spark, "site-lists")
+    fasta.write_sites(all_sites(spark, sf_dir), path)
+    lines = spark.read.text(path).select("genome", F.col("_metadata.file_name").alias("file"), F.col("value").alias("site"))
+    # equal sites are neighbours in order, so the first and last of a file say whether files are in order
+    return lines.groupBy("genome", "file").agg(F.min("site").alias("first"), F.max("site").alias("last"), F.count("*").alias("n")).withColumn("in_order", F.coalesce(F.col("first") >= F.lag("last").over(Window.partitionBy("genome").orderBy("file")), F.lit(True))).groupBy("genome").agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"), F.min("in_order").alias("in_order"))
+
+
 def written_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guides written by job in three writes that share all their buckets; every third job is written twice."""
     path, found = scratch(spark, "targets"), guides(spark, sf_dir)
@@ -171,6 +192,38 @@ def neighbours_by_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return specificity.neighbours(ours, written_index(spark, sf_dir, "pairs"), keys="pairs").select("genome", "guide_code", "code", "n", "mismatches")
 
 
+def _distinct_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return specificity.with_genome(guides(spark, sf_dir), jobs(spark, sf_dir)).select("genome", sequences.encode2bit(F.substring("sequence", 1, 20)).alias("guide_code")).distinct()
+
+
+def neighbours_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same against an index that lies in buckets by its key: only the guides are shuffled."""
+    name = f"site_index_{uuid.uuid4().hex}"
+    sites.write_site_index(sites.build_site_index(all_sites(spark, sf_dir)), name, int(spark.conf.get("spark.sql.shuffle.partitions")), scratch(spark, "bucketed-index"))
+    return specificity.neighbours(_distinct_guides(spark, sf_dir), spark.table(name), max_broadcast=0).select("genome", "guide_code", "code", "n", "mismatches")
+
+
+def neighbours_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by arrays of codes, without a row for each candidate pair."""
+    return specificity.neighbours_in_blocks(_distinct_guides(spark, sf_dir), written_index(spark, sf_dir)).select("genome", "guide_code", "code", "n", "mismatches")
+
+
+def neighbours_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites of which a third share their first four bases, as in a genome of repeats: the hot buckets are found by the histogram and dealt out."""
+    counted = sites.site_counts(all_sites(spark, sf_dir)).select("genome", "code", "n")
+    code = F.when(F.col("code") % 3 == 0, F.col("code") % (1 << 32)).otherwise(F.col("code"))
+    path = scratch(spark, "skewed-index")
+    sites.sliced(counted.groupBy("genome", code.alias("code")).agg(F.sum("n").alias("n"))).write.parquet(path)
+    index = spark.read.parquet(path)
+    return specificity.neighbours(_distinct_guides(spark, sf_dir), index, hot=specificity.hot_slices(index, 1000)).select("genome", "guide_code", "code", "n", "mismatches")
+
+
+def specific_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Guides of all jobs and whether they are specific, by rounds that leave out those already decided."""
+    ours = reread(_distinct_guides(spark, sf_dir), "guide-codes")
+    return specificity.specific_guides(ours, written_index(spark, sf_dir))
+
+
 def specificity_scores(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
     return specificity.score_specificity(found or guides(spark, sf_dir), jobs(spark, sf_dir), written_index(spark, sf_dir)).withColumn("score", F.round("score", 6))
 
@@ -502,8 +555,8 @@ def retried_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, written_sites, written_targets, inventory,
-        neighbours, neighbours_salted, neighbours_by_pairs, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
+        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, fasta_headerless, written_sites, written_site_lists, written_targets, inventory,
+        neighbours, neighbours_salted, neighbours_by_pairs, neighbours_bucketed, neighbours_in_blocks, neighbours_skewed, specific_guides, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
         planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

@@ -29,9 +29,11 @@ def svm_vote(guides: DataFrame, params: dict, out: str = "sgrnascorer") -> DataF
 
     @F.pandas_udf("boolean")
     def decide(seqs: pd.Series) -> pd.Series:
-        x = np.array([[b for c in s[:20] for b in codes[c]] for s in seqs], dtype=float).reshape(len(seqs), 80)
+        known = [s is not None and len(s) >= 20 and all(c in codes for c in s[:20]) for s in seqs]  # others have no vote, as with weights
+        x = np.array([[b for c in s[:20] for b in codes[c]] for s, k in zip(seqs, known, strict=True) if k], dtype=float).reshape(-1, 80)
         far = (x**2).sum(1)[:, None] - 2 * x @ vectors.T + (vectors**2).sum(1)
-        return pd.Series(np.exp(-gamma * far) @ coef + intercept >= 0)
+        votes_ = iter((np.exp(-gamma * far) @ coef + intercept >= 0).tolist())
+        return pd.Series([next(votes_) if k else None for k in known], dtype=object)
 
     return guides.withColumn(out, decide("sequence"))
 

@@ -96,9 +96,11 @@ def build_site_index(sites: DataFrame, keys: str = "slices") -> DataFrame:
     return sliced(site_counts(sites).select("genome", "code", "n"), keys=keys).select("genome", "slice_no", "slice_val", "code", "n")
 
 
-def write_site_index(index: DataFrame, table: str, buckets: int = 512) -> None:
-    """The index as a table bucketed by the join key, so that later joins shuffle the guides alone."""
-    index.write.bucketBy(buckets, "genome", "slice_no", "slice_val").sortBy("genome", "slice_no", "slice_val").mode("overwrite").saveAsTable(table)
+def write_site_index(index: DataFrame, table: str, buckets: int = 512, path: str | None = None) -> None:
+    """The index as a table bucketed by the join key, one file a bucket, so that later joins shuffle the guides alone. For that it needs as many buckets at least as such a join has shuffle partitions."""
+    key = ["genome", "slice_no", "slice_val"]
+    rows = index.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).mode("overwrite")
+    (rows.option("path", path) if path else rows).saveAsTable(table)
 
 
 def slice_histogram(index: DataFrame) -> DataFrame:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guideloom.functions.sequences import SITE, encode2bit
-from guideloom.operators.sites import SLICES, keys_of, sliced
+from guideloom.operators.sites import SLICES, keys_of, slice_histogram, sliced
+from guideloom.sources.staging import reread
 
 #: Weight of a mismatch at each base, from the end far from the PAM (Hsu et al. 2013).
 WEIGHTS = (0, 0, 0.014, 0, 0, 0.395, 0.317, 0, 0.389, 0.079, 0.445, 0.508, 0.613, 0.851, 0.732, 0.828, 0.615, 0.804, 0.685, 0.583)
@@ -21,34 +25,89 @@ def mismatch_mask(a: Column, b: Column) -> Column:
     return x.bitwiseOR(F.shiftright(x, 1)).bitwiseAND(F.lit(LOW_BITS))
 
 
-#: Guides whose slices may be broadcast; beyond that both sides are shuffled by slice.
-MAX_BROADCAST_GUIDES = 200_000
+#: Rows of guides (one for each key and salt) that may be broadcast; beyond that both sides are shuffled by slice.
+MAX_BROADCAST_ROWS = 500_000
 
 
-def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1, max_broadcast: int = MAX_BROADCAST_GUIDES, keys: str = "slices") -> DataFrame:
+def first_common_key(mask: Column, keys: str) -> Column:
+    """The first key at which a guide and a site with these mismatches are equal: the one that keeps the pair."""
+    stretches = keys_of(keys)
+    first = F.lit(len(stretches))
+    for k in reversed(range(len(stretches))):
+        bits = sum(((1 << n) - 1) << low for low, n in stretches[k])
+        first = F.when(mask.bitwiseAND(F.lit(bits)) == 0, k).otherwise(first)
+    return first
+
+
+def neighbours(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, salt: int = 1, max_broadcast: int = MAX_BROADCAST_ROWS, keys: str = "slices", hot: DataFrame | None = None) -> DataFrame:
     """(genome, guide_code, code, n, mask, mismatches): all sites within max_mismatches of each guide, each once.
 
     Five slices and at most four mismatches leave a slice untouched, so an equi-join on
     (genome, slice) finds every pair; it is kept in its first equal slice only. guides:
     distinct (genome, guide_code). salt: parts into which each bucket of sites is dealt.
+    hot: buckets that are dealt out beyond that, with their number of parts (see hot_slices); the others stay whole.
     keys: those that the index was built with; pairs of parts for genomes of many sites."""
     if max_mismatches >= SLICES:
         raise ValueError("keys find at most four mismatches")
-    stretches = keys_of(keys)
     left = sliced(guides.select("genome", "guide_code"), "guide_code", keys)
     on = ["genome", "slice_no", "slice_val"]
-    if salt > 1:
+    if hot is not None:
+        parts = F.broadcast(hot.select(*on, F.col("parts").alias("_parts")))
+        several = F.coalesce("_parts", F.lit(1))
+        left = left.join(parts, on, "left").withColumn("part", F.explode(F.sequence(F.lit(0), several - 1))).drop("_parts")
+        index = index.join(parts, on, "left").withColumn("part", F.pmod(F.hash("code"), several)).drop("_parts")
+        on = [*on, "part"]
+    elif salt > 1:
         left = left.withColumn("part", F.explode(F.array(*map(F.lit, range(salt)))))
         index = index.withColumn("part", F.pmod(F.hash("code"), F.lit(salt)))
         on = [*on, "part"]
-    # the index is never broadcast, however small it is thought to be
-    left = F.broadcast(left) if guides.count() * salt <= max_broadcast else left.hint("merge")
+    # the index is never broadcast, however small it is thought to be; guides are counted only up to what may be sent
+    most = max_broadcast // (salt * len(keys_of(keys)))
+    few = hot is None and most > 0 and guides.limit(most + 1).count() <= most
+    left = F.broadcast(left) if few else left.hint("merge")
     met = left.join(index, on).withColumn("mask", mismatch_mask(F.col("guide_code"), F.col("code"))).withColumn("mismatches", F.bit_count("mask").cast("int"))
-    first = F.lit(len(stretches))
-    for k in reversed(range(len(stretches))):
-        bits = sum(((1 << n) - 1) << low for low, n in stretches[k])
-        first = F.when(F.col("mask").bitwiseAND(F.lit(bits)) == 0, k).otherwise(first)
-    return met.filter((F.col("mismatches") <= max_mismatches) & (first == F.col("slice_no"))).select("genome", "guide_code", "code", "n", "mask", "mismatches")
+    return met.filter((F.col("mismatches") <= max_mismatches) & (first_common_key(F.col("mask"), keys) == F.col("slice_no"))).select("genome", "guide_code", "code", "n", "mask", "mismatches")
+
+
+def hot_slices(index: DataFrame, most: int) -> DataFrame:
+    """(genome, slice_no, slice_val, parts): the buckets of the index with more than `most` sites, and how many parts have that many each. No more rows than sites / most, so it may be broadcast where `most` is in proportion to a task."""
+    return slice_histogram(index).filter(F.col("n_sites") > most).select("genome", "slice_no", "slice_val", F.ceil(F.col("n_sites") / most).cast("int").alias("parts"))
+
+
+#: Pairs that one step of the kernel holds.
+STEP_PAIRS = 1 << 20
+
+
+def neighbours_in_blocks(guides: DataFrame, index: DataFrame, max_mismatches: int = 4, keys: str = "slices", most: int = 50_000) -> DataFrame:
+    """The same rows without a row for each candidate pair: guides and sites of a bucket meet as two arrays of codes, block by block, and only hits leave the task. Buckets with more than `most` sites are dealt out by hot_slices, so a task holds that many, and the guides of one bucket."""
+    if max_mismatches >= SLICES:
+        raise ValueError("keys find at most four mismatches")
+    masks = [sum(((1 << n) - 1) << low for low, n in stretches) for stretches in keys_of(keys)]
+    on = ["genome", "slice_no", "slice_val"]
+    parts = F.broadcast(hot_slices(index, most).withColumnRenamed("parts", "_parts"))
+    several = F.coalesce("_parts", F.lit(1))
+    left = sliced(guides.select("genome", "guide_code"), "guide_code", keys).join(parts, on, "left").withColumn("part", F.explode(F.sequence(F.lit(0), several - 1))).drop("_parts")
+    right = index.select(*on, "code", "n").join(parts, on, "left").withColumn("part", F.pmod(F.hash("code"), several)).drop("_parts")
+
+    def compare(ours: pa.Table, sites: pa.Table) -> pa.Table:
+        a, b = ours.column("guide_code").to_numpy(), sites.column("code").to_numpy()
+        rows, places, found = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+        if len(a) and len(b):
+            key, low = int(ours.column("slice_no")[0].as_py()), np.int64(LOW_BITS)
+            step = max(1, STEP_PAIRS // len(b))
+            for start in range(0, len(a), step):
+                x = a[start : start + step, None] ^ b[None, :]
+                x = (x | (x >> 1)) & low
+                near = np.bitwise_count(x) <= max_mismatches
+                for earlier in masks[:key]:
+                    near &= (x & earlier) != 0
+                of, at = np.nonzero(near)
+                rows.append(of + start), places.append(at), found.append(x[of, at])
+        of, at, mask = (pa.array(np.concatenate(v)) for v in (rows, places, found))
+        hit, site = ours.take(of), sites.take(at)
+        return pa.table({"genome": hit.column("genome"), "guide_code": hit.column("guide_code"), "code": site.column("code"), "n": site.column("n"), "mask": mask, "mismatches": pa.array(np.bitwise_count(mask.to_numpy()).astype(np.int32))})
+
+    return left.groupBy(*on, "part").cogroup(right.groupBy(*on, "part")).applyInArrow(compare, "genome string, guide_code long, code long, n long, mask long, mismatches int")
 
 
 def hit_score(places: tuple[int, ...]) -> float:
@@ -96,3 +155,18 @@ def score_specificity(targets: DataFrame, jobs: DataFrame, index: DataFrame, max
     out = ours.join(sums, ["genome", "guide_code"], "left").join(known, "genome", "left")
     score = F.when(F.col("indexed"), 100.0 * 100.0 / (100.0 + F.coalesce("total", F.lit(0.0))))
     return out.select("job_id", "target_id", F.coalesce("n_exact", F.lit(0)).alias("n_exact"), score.alias("score"))
+
+
+def specific_guides(guides: DataFrame, index: DataFrame, min_score: float = 75, max_mismatches: int = 4) -> DataFrame:
+    """(genome, guide_code, specific): whether the whole score is min_score at least. guides: distinct (genome, guide_code).
+
+    One round a slice: each finds the near sites whose first equal slice it is, and guides whose sum is already too large leave, so that later rounds meet fewer pairs. The verdict is that of the whole sum, as sums only grow. A genome without sites has only specific guides; see score_specificity for those without an index."""
+    most = 100.0 * (100.0 / min_score - 1)
+    rows = guides.select("genome", "guide_code", F.lit(0.0).alias("total"))
+    done = []
+    for k in range(SLICES):
+        found = off_target_sums(neighbours(rows, index.filter(F.col("slice_no") == k), max_mismatches), max_mismatches).select("genome", "guide_code", F.col("total").alias("more"))
+        rows = reread(rows.join(found, ["genome", "guide_code"], "left").select("genome", "guide_code", (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total")), "undecided")
+        done.append(rows.filter(F.col("total") > most).select("genome", "guide_code", F.lit(False).alias("specific")))
+        rows = rows.filter(F.col("total") <= most)
+    return reduce(DataFrame.unionByName, done, rows.select("genome", "guide_code", F.lit(True).alias("specific")))

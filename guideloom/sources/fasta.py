@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+#: Files whose names may be sent to all tasks.
+MAX_BROADCAST_FILES = 50_000
+
 
 def read_fasta(spark: SparkSession, paths: str | list[str], genome: str | None = None, partitions: int | None = None) -> DataFrame:
     """(genome, contig, seq) of all records of (gzipped) FASTA files; a file without a header is one contig named by its path.
@@ -16,7 +19,7 @@ def read_fasta(spark: SparkSession, paths: str | list[str], genome: str | None =
     # only the first record of a file keeps its own mark, and a file without headers has just one record
     headed = F.col("start").isNotNull() & (value.startswith(">") | ~F.col("plain"))
     plain = rows.groupBy("path").agg((F.max(F.col("value").startswith(">").cast("int")) == 0).alias("plain"))
-    rows = rows.join(plain, "path")
+    rows = rows.join(F.broadcast(plain) if len(rows.inputFiles()) <= MAX_BROADCAST_FILES else plain, "path")
     body = F.regexp_replace(value, "^>", "")
     contig = F.when(headed, F.trim(F.substring_index(body, "\n", 1))).otherwise(F.col("path"))
     seq = F.when(headed, F.when(F.contains(body, F.lit("\n")), F.substring(body, F.locate("\n", body) + 1, F.length(body))).otherwise("")).otherwise(value)
@@ -46,5 +49,6 @@ def read_fasta_lines(spark: SparkSession, paths: str | list[str], genome: str |
 
 
 def write_sites(sites: DataFrame, path: str) -> None:
-    """One site a line, in order, duplicates kept."""
-    sites.select("site").orderBy("site").write.mode("overwrite").text(path)
+    """A folder of each genome (genome=...) with one site a line, duplicates kept, in order within files and from file to file by name. One range shuffle, in which a genome of any size is dealt out by its sites."""
+    ordered = sites.select("genome", "site").repartitionByRange("genome", "site").sortWithinPartitions("genome", "site")
+    ordered.write.mode("overwrite").partitionBy("genome").text(path)

@@ -56,6 +56,7 @@ def write_targets(targets: DataFrame, path: str, buckets: int = 256) -> None:
             raise
     else:
         written = rows.select("job_bucket", "job_id").distinct()
-        others = old.join(written.select("job_bucket").distinct(), "job_bucket", "left_semi").join(written, ["job_bucket", "job_id"], "left_anti")
+        touched = [r["job_bucket"] for r in rows.select("job_bucket").distinct().collect()]  # no more than there are buckets
+        others = old.filter(F.col("job_bucket").isin(touched)).join(written, ["job_bucket", "job_id"], "left_anti")
         rows = reread(rows.unionByName(others.select(rows.columns)), "targets-merged")
     rows.repartition("job_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_bucket").parquet(path)
