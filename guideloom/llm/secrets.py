@@ -13,7 +13,9 @@ One pass, no shuffle, code point positions, end exclusive. Spans come by start,
 in the order of KINDS; one place may carry a base kind and a confirmed one.
 
 Defined cases: null and empty texts have no spans; a very long run is decoded whole;
-overlapping kinds are all reported; repeated rows give equal rows.
+overlapping kinds are all reported; repeated rows give equal rows. A start of a key costs as
+much as it has fields, of which only lengths and first bytes are decoded, whatever lengths it
+claims, so the time of a text grows with its length.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ import base64
 import binascii
 import json
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -53,6 +56,57 @@ SSH_MAGIC = b"openssh-key-v1\0"
 PASSWORD_SCHEMES = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 WRAPPED_KEYS = (bytes.fromhex("2a864886f70d010101"), bytes.fromhex("2a8648ce3d0201"))
 MIN_ASSIGN, MIN_ACCESS, MIN_KEY_BYTES = 8, 16, 24
+#: Most fields of one level of a key, and most bytes of a name or an object identifier.
+MAX_FIELDS, MAX_NAME = 16, 64
+
+
+class Run:
+    """A run without line ends or padding, and where its letters change."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+    @cached_property
+    def _changes(self) -> list[list[int]]:
+        return [[m.start() for m in re.finditer(c, self.text)] for c in ("[-_]", "[+/]", "[^0-9A-Fa-f]")]
+
+    def _next(self, kind: int, at: int) -> int:
+        found = self._changes[kind]
+        k = bisect_left(found, at)
+        return found[k] if k < len(found) else len(self.text)
+
+    def end(self, at: int, hexed: bool) -> int:
+        """Where what starts at a place stops to be of one alphabet: hex digits, or standard or URL-safe base64."""
+        return self._next(2, at) if hexed else max(self._next(0, at), self._next(1, at))
+
+
+class Coded:
+    """The bytes of a part of a run from `at` to before `stop`, decoded where they are looked at. Slices are parts of the same run."""
+
+    def __init__(self, text: str, at: int, stop: int, hexed: bool = False, skip: int = 0, size: int | None = None):
+        self.text, self.at, self.stop, self.hexed, self.skip = text, at, stop, hexed, skip
+        self.size = ((stop - at) // 2 if hexed else (stop - at) * 3 // 4) if size is None else size
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, k: int | slice) -> int | Coded:
+        if isinstance(k, slice):
+            a, b, _ = k.indices(self.size)
+            return Coded(self.text, self.at, self.stop, self.hexed, self.skip + a, max(b - a, 0))
+        return bytes(self[k : k + 1])[0]
+
+    def __bytes__(self) -> bytes:
+        first, last = self.skip, self.skip + self.size
+        if self.hexed:
+            return bytes.fromhex(self.text[self.at + 2 * first : self.at + 2 * last])
+        part = self.text[self.at + first // 3 * 4 : min(self.at - (-last // 3) * 4, self.stop)]
+        return (unbase64(part[: len(part) - (len(part) % 4 == 1)]) or b"")[first % 3 : first % 3 + self.size]
+
+
+def name_of(data: bytes | Coded) -> bytes:
+    """The bytes of a name; nothing if it is too long for one."""
+    return bytes(data) if len(data) <= MAX_NAME else b""
 
 
 def unbase64(run: str) -> bytes | None:
@@ -66,7 +120,7 @@ def unbase64(run: str) -> bytes | None:
         return None
 
 
-def der_item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
+def der_item(data: bytes | Coded, at: int, end: int) -> tuple[int, int, int] | None:
     """(tag, start, end) of the content of the item at a place, if its length stays within end."""
     if at + 2 > end:
         return None
@@ -75,25 +129,25 @@ def der_item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
         n = size & 0x7F
         if not 1 <= n <= 4 or start + n > end or data[start] == 0:
             return None
-        size, start = int.from_bytes(data[start : start + n]), start + n
+        size, start = int.from_bytes(bytes(data[start : start + n])), start + n
         if size < 0x80:
             return None
     return (tag, start, start + size) if start + size <= end else None
 
 
-def der_fields(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The items that fill a content exactly; None if they do not."""
+def der_fields(data: bytes | Coded, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The items that fill a content exactly; None if they do not, or are more than a key has."""
     found = []
     while at < end:
         item = der_item(data, at, end)
-        if not item:
+        if not item or len(found) == MAX_FIELDS:
             return None
         found.append(item)
         at = item[2]
     return found
 
 
-def is_der_key(data: bytes) -> bool:
+def is_der_key(data: bytes | Coded, depth: int = 0) -> bool:
     """A private key whose sequence fills the data: RSA (PKCS#1), DSA, elliptic curve (SEC1), PKCS#8, or PKCS#8 encrypted. Public keys and certificates are none."""
     top = der_item(data, 0, len(data))
     fields = der_fields(data, top[1], top[2]) if top and top[0] == 0x30 and top[2] == len(data) else None
@@ -104,7 +158,7 @@ def is_der_key(data: bytes) -> bool:
     def algorithm(item: tuple[int, int, int]) -> bytes | None:
         """The object identifier of an algorithm: a sequence of it and its parameters."""
         inner = der_fields(data, item[1], item[2])
-        return data[inner[0][1] : inner[0][2]] if inner and inner[0][0] == 0x06 and len(inner) <= 2 else None
+        return name_of(data[inner[0][1] : inner[0][2]]) if inner and inner[0][0] == 0x06 and len(inner) <= 2 else None
 
     if tags[0] == 0x30:
         return tags == [0x30, 0x04] and sizes[1] >= MIN_KEY_BYTES and (algorithm(fields[0]) or b"").startswith(PASSWORD_SCHEMES)
@@ -118,40 +172,40 @@ def is_der_key(data: bytes) -> bool:
     if tags[1:3] == [0x30, 0x04] and len(rest) == 1:
         kind = algorithm(fields[1])
         inner = der_item(data, fields[2][1], fields[2][2])
-        return bool(kind) and sizes[2] >= MIN_KEY_BYTES and inner is not None and inner[0] in (0x02, 0x04, 0x30) and inner[2] == fields[2][2] and (inner[0] != 0x30 or kind not in WRAPPED_KEYS or is_der_key(data[fields[2][1] : fields[2][2]]))
+        return bool(kind) and sizes[2] >= MIN_KEY_BYTES and inner is not None and inner[0] in (0x02, 0x04, 0x30) and inner[2] == fields[2][2] and (inner[0] != 0x30 or kind not in WRAPPED_KEYS or depth < 2 and is_der_key(data[fields[2][1] : fields[2][2]], depth + 1))
     return False
 
 
-def ssh_string(data: bytes, at: int) -> tuple[bytes, int] | None:
+def ssh_string(data: bytes | Coded, at: int) -> tuple[bytes | Coded, int] | None:
     """(a length-prefixed field, the place behind it)."""
-    end = at + 4 + int.from_bytes(data[at : at + 4]) if at + 4 <= len(data) else len(data) + 1
+    end = at + 4 + int.from_bytes(bytes(data[at : at + 4])) if at + 4 <= len(data) else len(data) + 1
     return (data[at + 4 : end], end) if end <= len(data) else None
 
 
-def is_public_blob(blob: bytes) -> bool:
+def is_public_blob(blob: bytes | Coded) -> bool:
     """Fields that fill a public key, the algorithm's name first."""
     at, fields = 0, []
     while at < len(blob):
         found = ssh_string(blob, at)
-        if not found:
+        if not found or len(fields) == MAX_FIELDS:
             return False
         fields.append(found[0])
         at = found[1]
-    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", fields[0]) is not None
+    return len(fields) >= 2 and re.fullmatch(rb"(ssh|ecdsa|sk)-[a-z0-9@.-]+", name_of(fields[0])) is not None
 
 
-def ssh_size(data: bytes) -> int | None:
+def ssh_size(data: bytes | Coded) -> int | None:
     """The length of the OpenSSH private key file at the start of the data, all of whose fields are read; None if it is none."""
-    if not data.startswith(SSH_MAGIC):
+    if bytes(data[: len(SSH_MAGIC)]) != SSH_MAGIC:
         return None
     at, names = len(SSH_MAGIC), []
     for _ in range(3):  # cipher, derivation and its options
         found = ssh_string(data, at)
         if not found:
             return None
-        names.append(found[0])
+        names.append(name_of(found[0]))
         at = found[1]
-    count, at = int.from_bytes(data[at : at + 4]), at + 4
+    count, at = int.from_bytes(bytes(data[at : at + 4])), at + 4
     if not all(re.fullmatch(rb"[a-z0-9@.-]+", n) for n in names[:2]) or not 1 <= count <= 64:
         return None
     for _ in range(count):
@@ -162,7 +216,7 @@ def ssh_size(data: bytes) -> int | None:
     found = ssh_string(data, at)
     if not found or len(found[0]) < MIN_KEY_BYTES or len(found[0]) % 8:
         return None
-    if names[0] == b"none" and found[0][:4] != found[0][4:8]:  # the check numbers of a key that is not encrypted
+    if names[0] == b"none" and bytes(found[0][:4]) != bytes(found[0][4:8]):  # the check numbers of a key that is not encrypted
         return None
     return found[1]
 
@@ -194,27 +248,34 @@ def confirmed(run: str) -> str | None:
     return None
 
 
-def key_inside(run: str, at: int) -> tuple[int, str] | None:
-    """(end, kind) of the key that starts at a place of a run without line ends or padding."""
-    if run[at] == "b":
-        body = max((re.compile(c).match(run, at)[0] for c in ("[A-Za-z0-9+/]*+", "[A-Za-z0-9_-]*+")), key=len)
-        data = unbase64(body[: len(body) - (len(body) % 4 == 1)]) or b""
-        size = ssh_size(data)
-        if size:
-            return at + -(-size * 4 // 3), "openssh"
+def head_of(part: str, hexed: bool) -> bytes:
+    """The first 15 bytes of a part of a run; keys are longer."""
+    if hexed:
+        return bytes.fromhex(re.match("(?:[0-9A-Fa-f]{2})*", part)[0])
+    return unbase64(part[:20]) or b""
+
+
+def may_begin(head: bytes) -> bool:
+    """Whether a private key may start with these bytes: a sequence of a version (0 or 1) or an algorithm, and something that may follow."""
+    if len(head) < 12 or head[0] != 0x30:
+        return False
+    k = 2 + (head[1] & 0x7F if head[1] & 0x80 else 0)
+    return k < 7 and (head[k] == 0x30 or head[k : k + 2] == b"\x02\x01" and head[k + 2] < 2 and head[k + 3] in (0x02, 0x04, 0x30))
+
+
+def key_inside(run: Run, at: int) -> tuple[int, str] | None:
+    """(end, kind) of the key that starts at a place of a run."""
+    text, hexed = run.text, run.text[at] == "3"
+    if text[at] == "b":
+        size = ssh_size(Coded(text, at, run.end(at, False)))
+        return (at + -(-size * 4 // 3), "openssh") if size else None
+    if not may_begin(head_of(text[at : at + 32], hexed)):
         return None
-    hexed = run[at] == "3"
-    decode = (lambda t: bytes.fromhex(t) if re.fullmatch(r"(?:[0-9A-Fa-f]{2})+", t) else None) if hexed else unbase64
-    chars = lambda size: 2 * size if hexed else -(-size * 4 // 3)
-    head = decode(run[at : at + 24])
-    room = (len(run) - at) // 2 if hexed else (len(run) - at) * 3 // 4
-    top = der_item(head, 0, room) if head and len(head) >= 12 else None
-    # keys start with a version or an algorithm
-    if not top or head[top[1]] not in (0x02, 0x30):
+    data = Coded(text, at, run.end(at, hexed), hexed)
+    top = der_item(data, 0, len(data))
+    if not top or not is_der_key(data[: top[2]]):
         return None
-    end = at + chars(top[2])
-    data = decode(run[at:end])
-    return (end, "der") if data and is_der_key(data[: top[2]]) else None
+    return at + (2 * top[2] if hexed else -(-top[2] * 4 // 3)), "der"
 
 
 def keys_in_runs(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
@@ -232,7 +293,7 @@ def keys_in_runs(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int
             b = bisect_right(firsts, i) - 1
             return m.start() + starts[b] + i - firsts[b]
 
-        upto, at = 0, 0
+        upto, at, whole = 0, 0, Run(run)
         while s := START.search(run, at):
             at = s.start() + 1
             start = place(s.start())
@@ -241,7 +302,7 @@ def keys_in_runs(text: str, found: list[tuple[int, int, str]]) -> list[tuple[int
                 k += 1
             if start < upto and start not in begun:
                 continue
-            key = key_inside(run, s.start())
+            key = key_inside(whole, s.start())
             if key:
                 end = place(key[0] - 1) + 1
                 out.append((start, end + len(re.match("={0,2}", text[end : end + 2])[0]), key[1]))

@@ -1,4 +1,5 @@
 import base64
+import time
 import hashlib
 import json
 import re
@@ -136,3 +137,15 @@ def test_runs_without_keys():
         noise = base64.b64encode(r.randbytes(6000)).decode()
         assert not [s for s in secrets.find_spans(f"data {noise}\n{noise[::-1].strip('=')} {r.randbytes(3000).hex().upper()}") if s[2] in ("der", "openssh", "jwt")]
     assert secrets.find_spans("MI" * 50_000 + "\n" + "MIIB" * 50_000) == []
+
+
+def test_time_grows_with_the_text():
+    """Starts that claim long keys, again and again: nothing is decoded twice."""
+    claims = [der(0x30, der(0x02, b"\0") + der(0x04, bytes(k))) for k in (70_000, 300)]
+    nested = b"".join(b"\x30\x83" + (2_000_000 - 13 * k).to_bytes(3) + b"\x02\x01\x00\x04\x83" + (2_000_000 - 13 * k - 8).to_bytes(3) for k in range(60_000))
+    magic = base64.b64encode(secrets.SSH_MAGIC + (4).to_bytes(4) + b"none" + (4).to_bytes(4) + b"none" + (0).to_bytes(4) + (1).to_bytes(4)).decode().rstrip("=")
+    texts = ["MIL//wIA" * 300_000, "MIMP//8C" * 300_000, "b3BlbnNzaC1rZXktdjEA" * 100_000, magic * 30_000, base64.b64encode(nested + bytes(2_000_000 - 12 * 60_000)).decode(), "3082ffff0201" * 200_000, *[base64.b64encode(c).decode() * 20 for c in claims]]
+    for text in texts:
+        began = time.process_time()
+        assert [k for _, _, k in secrets.find_spans(text) if k != "hex"] == []
+        assert time.process_time() - began < 12, text[:40]
