@@ -310,7 +310,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, k: int =
 
 
 def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKETCH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without all but the first row of each near-duplicate group; columns as in docs. First: of least id, rows without an id last, then of least digest of the text; of rows that share both, any one."""
+    """The documents without all but the first row of each near-duplicate group; columns as in docs. First: of least id, rows without an id last, then of least digest of the text; of rows that share both, any one. Rows without shingles are in no group: all of them stay, also those that repeat."""
     found = staged(labelled(docs, width, percent, k, id_col, text_col), "near-found")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "digest").alias("place")
     grouped = found.filter("label is not null").select("label", place)
@@ -320,6 +320,9 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, k: int = SKE
     gone = met.filter("not stays").select(F.col("place.doc_id").alias("id"), F.col("place.digest").alias("digest")).distinct()
     same = docs[id_col].eqNullSafe(gone["id"]) & (text_digest(docs[text_col]) == gone["digest"])
     left = docs.join(F.broadcast(gone) if gone.count() <= MAX_BROADCAST_IDS else gone, same, "left_anti")
-    if met.filter("stays").groupBy("place").count().filter("count > 1").limit(1).count():
-        left = left.dropDuplicates([id_col, text_col])
+    several = met.filter("stays").groupBy("place").count().filter("count > 1").select(F.col("place.doc_id").alias("id"), F.col("place.digest").alias("digest"))
+    if several.limit(1).count():
+        several = staged(several, "near-several")
+        again = left[id_col].eqNullSafe(several["id"]) & (text_digest(left[text_col]) == several["digest"])
+        left = left.join(several, again, "left_anti").unionByName(left.join(several, again, "left_semi").dropDuplicates([id_col, text_col]))
     return left.select(docs.columns)

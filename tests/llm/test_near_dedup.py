@@ -143,3 +143,13 @@ def test_odd_tables(frame, prose):
     docs = frame([text, text, text + " x", "other words"], ids=[5, 5, 9, 7])
     out = near_dedup.one_of_each(docs)
     assert out.columns == docs.columns and sorted(r["doc_id"] for r in out.collect()) == [5, 7]
+
+
+def test_rows_without_words_stay_whatever_repeats(spark, frame, prose):
+    text = prose(40)
+    empty = [(7, ""), (7, ""), (None, ""), (None, ""), (8, None), (8, None)]
+    for linked, left in (([(1, text), (2, text)], [1]), ([(1, text), (1, text)], [1]), ([(1, text), (1, text), (2, text)], [1]), ([(None, text), (None, text)], [None])):
+        rows = [*empty, *linked]
+        out = near_dedup.one_of_each(frame([t for _, t in rows], ids=[i for i, _ in rows]))
+        got = sorted([(r["doc_id"], r["text"]) for r in out.collect()], key=repr)
+        assert got == sorted([*empty, *[(i, text) for i in left]], key=repr)
