@@ -168,20 +168,27 @@ def inflate(data: bytes, need: int) -> bytes:
 UNPACK = {1: (lambda data, need: data[:need], 1), 5: (unlzw, 3840), 8: (inflate, 1032), 32946: (inflate, 1032), 32773: (unpackbits, 64)}
 
 
+#: How often over directories may go through a file.
+MAX_OVERLAP = 4
+
+
 def directories(data: bytes) -> Iterator[dict[int, tuple]]:
-    """The tags of each image directory, as they are linked."""
+    """The tags of each image directory, as they are linked. Directories whose entries and values together are many times the file (they overlap) are an error."""
     order = {b"II": "<", b"MM": ">"}.get(data[:2])
     if not order or len(data) < 8 or struct.unpack(order + "H", data[2:4])[0] != 42:
         raise TiffError("not a TIFF file")
-    at, seen = struct.unpack(order + "I", data[4:8])[0], set()
+    at, seen, spent = struct.unpack(order + "I", data[4:8])[0], set(), 0
     while at:
         if at in seen or at + 2 > len(data):
             raise TiffError("bad directory")
         seen.add(at)
         n = struct.unpack_from(order + "H", data, at)[0]
-        tags = {}
+        tags, spent = {}, spent + 12 * n
         for k in range(n):
             tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
+            spent += count
+            if spent > MAX_OVERLAP * len(data):
+                raise TiffError("directories overlap")
             if kind in TYPES:
                 size = struct.calcsize(TYPES[kind]) * count
                 place = at + 10 + 12 * k if size <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
@@ -230,9 +237,20 @@ def page_samples(data: bytes, tags: dict[int, tuple], most: int = MAX_PAGE_BYTES
     return out
 
 
-def read_pages(data: bytes) -> Iterator[np.ndarray]:
+def read_pages(data: bytes, most: int = MAX_PAGE_BYTES) -> Iterator[np.ndarray]:
+    """Page by page. All pages together are no more than what the file's compressed bytes, each counted once, can hold: pages that share strips are an error beyond that."""
+    used: set[tuple[int, int]] = set()
+    room = 0
     for tags in directories(data):
-        yield page_samples(data, tags)
+        ratio = UNPACK.get(tags.get(COMPRESSION, (1,))[0], (None, 0))[1]
+        for offsets, sizes in ((STRIP_OFFSETS, STRIP_BYTES), (TILE_OFFSETS, TILE_BYTES)):
+            for place in zip(tags.get(offsets, ()), tags.get(sizes, ()), strict=False):
+                if place not in used:
+                    used.add(place)
+                    room += ratio * min(place[1], len(data))
+        page = page_samples(data, tags, min(most, room))
+        room -= page.size
+        yield page
 
 
 def write_tiff(pages: list[np.ndarray], compression: str = "deflate", predictor: bool = False, tile: tuple[int, int] | None = None, strip_rows: int = STRIP_ROWS, order: str = "<", planar: bool = False) -> bytes:
@@ -286,6 +304,18 @@ def page_feature(pages: list[np.ndarray]) -> str:
     return f"pages={len(pages)};rows={sum(len(p) for p in pages)};mean={total / n:.4f};max={max(int(p.max()) for p in pages)};runs={equal / n:.4f}"
 
 
+def pages_or_error(data: bytes) -> Iterator[tuple]:
+    """(page, width, height, samples, pixels, None) of each page; a bad file ends with its error."""
+    n = 0
+    try:
+        for n, x in enumerate(read_pages(data), 1):
+            yield n - 1, x.shape[1], x.shape[0], x.shape[2], x.tobytes(), None
+        if not n:
+            raise TiffError("no pages")
+    except BROKEN as e:
+        yield None, None, None, None, None, str(e) or "broken file"
+
+
 def tiff_pages(files: DataFrame, id_col: str = "file_id", data_col: str = "data") -> DataFrame:
     """One row a page: id, page, width, height, samples, pixels (row by row, chunky), error. A bad file gives its error in one row."""
     rows = files.select(F.col(id_col).alias("file_id"), F.col(data_col).alias("data"))
@@ -295,16 +325,8 @@ def tiff_pages(files: DataFrame, id_col: str = "file_id", data_col: str = "data"
         types = [pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
         for batch in batches:
             for k in range(batch.num_rows):
-                data, found = batch.column("data")[k].as_py(), []
-                try:
-                    for p, x in enumerate(read_pages(data or b"")):
-                        found.append((p, x.shape[1], x.shape[0], x.shape[2], x.tobytes(), None))
-                    if not found:
-                        raise TiffError("no pages")
-                except BROKEN as e:
-                    found.append((None, None, None, None, None, str(e) or "broken file"))
-                ids = pa.array(batch.column("file_id").slice(k, 1).to_pylist() * len(found), type=batch.schema.field("file_id").type)
-                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, type=t) for c, t in zip(zip(*found, strict=True), types, strict=True)]], names=["file_id", "page", "width", "height", "samples", "pixels", "error"])
+                for found in pages_or_error(batch.column("data")[k].as_py() or b""):  # a batch a page: one is held at a time
+                    yield pa.RecordBatch.from_arrays([batch.column("file_id").slice(k, 1), *[pa.array([c], type=t) for c, t in zip(found, types, strict=True)]], names=["file_id", "page", "width", "height", "samples", "pixels", "error"])
 
     return in_arrow(rows, read, f"file_id {kind}, page int, width int, height int, samples int, pixels binary, error string")
 

@@ -1,4 +1,5 @@
 import hashlib
+import resource
 import itertools
 import struct
 import zlib
@@ -100,3 +101,39 @@ def test_texts_are_stored_whole(frame, prose, forms):
     assert rows[4][1:] == rows[6][1:] and rows[0][1:] == rows[1][1:]
     assert len({zlib.crc32((t or "").encode()) % 8 for t in texts}) == 8
     assert tiff.store_and_read(frame([])).collect() == []
+
+
+def chained(strip, side, n, own=False):
+    """A file of n directories over one strip (or a copy of it each), deflated, of side x side samples."""
+    out, link = bytearray(b"II*\0" + bytes(4)), 4
+    for k in range(n):
+        if own or not k:
+            place = len(out)
+            out += strip + b"\0" * (len(strip) & 1)
+        struct.pack_into("<I", out, link, len(out))
+        tags = [(256, side), (257, side), (258, 8), (259, 8), (273, place), (277, 1), (278, side), (279, len(strip))]
+        out += struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags)
+        link = len(out)
+        out += bytes(4)
+    return bytes(out)
+
+
+def test_many_pages_over_one_strip(spark):
+    strip = zlib.compress(bytes(3200 * 3200))
+    shared, own = chained(strip, 3200, 1000), chained(zlib.compress(b"\1" * 100), 10, 300, own=True)
+    began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    pages = list(map(lambda p: p[:3] + p[5:], tiff.pages_or_error(shared)))
+    assert pages[0][1:] == (3200, 3200, None) and pages[-1][-1] == "page too large" and len(pages) < 4  # the strip holds little more than one page
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - began < 200_000  # kB
+    assert len(list(tiff.read_pages(own))) == 300  # pages of their own are all read
+    rows = tiff.tiff_pages(spark.createDataFrame([(1, own), (2, shared)], "file_id long, data binary")).groupBy("file_id").count().collect()
+    assert {r["file_id"]: r["count"] for r in rows} == {1: 300, 2: len(pages)}
+
+
+def test_directories_over_each_other():
+    n = 3000  # entries of each directory, one every 16 bytes, the last of which link on
+    raw = bytearray(b"II*\0" + struct.pack("<I", 8)) + struct.pack("<HHHI", 4000, 256, 3, 20_000) * n
+    with pytest.raises(tiff.BROKEN):
+        for _ in tiff.directories(bytes(raw)):
+            pass
+
