@@ -38,6 +38,8 @@ LETTERS, LEAD = table_of("abcdefghijklmnopqrstuvwxyz"), 0xC3
 #: Words up to this many bytes share their checksums' shifts.
 SHIFTED = 64
 BITS_A_WORD, MAX_FILTER_BYTES, STEP_WORDS = 32, 64 << 20, 8192
+#: Words whose neighbourhoods one task makes.
+TASK_WORDS = 16_384
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -214,7 +216,7 @@ def candidates(words: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> Da
                     at = pa.array(where[np.array(of, dtype=np.int64)])
                     yield pa.RecordBatch.from_arrays([batch.column("word").take(at), batch.column("n").take(at), pa.array(near, type=pa.string())], names=["word", "n", "near"])
 
-        return in_arrow(words.select("word", "n"), run, "word string, n long, near string")
+        return in_arrow(words.select("word", "n").repartition(-(-n_words // TASK_WORDS) or 1, "word"), run, "word string, n long, near string")
 
     found = [search(share, spark.sparkContext.broadcast(bits)) for share, bits in enumerate(filters(words, size, shares))]
     out = found[0]
