@@ -140,4 +140,5 @@ ORACLES |= {
     "specific_guides": with_(JOBS, CONTIGS, GUIDES, PROTOSPACER, OURS, NEAR, HITS) + "SELECT genome, guide_code, 10000.0 / (100.0 + coalesce(total, 0)) >= 75 AS specific FROM ours LEFT JOIN summed USING (genome, guide_code)",
     "written_site_lists": with_(CONTIGS, PROTOSPACER) + "SELECT genome, count(*) AS n, min(site) AS first, max(site) AS last, true AS in_order FROM sites GROUP BY genome",
     "fasta_headerless": with_(CONTIGS) + "SELECT genome AS lang, 'c' || contig::BIGINT % 10 AS file, 1::BIGINT AS n_contigs, sum(length(seq))::BIGINT AS n FROM contigs GROUP BY ALL",
+    "expired_genomes": with_(FILES, PLAN) + "SELECT genome, count(*)::INTEGER AS num_files, count(*) FILTER (n = parts)::INTEGER AS n_complete, CASE WHEN count(*) = count(*) FILTER (n = parts) THEN 'complete' ELSE 'expired' END AS outcome FROM (SELECT (filename // 2)::VARCHAR AS genome, count(*) AS parts, count(l.k) AS n FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename) GROUP BY genome HAVING sum(n) > 0",
 }

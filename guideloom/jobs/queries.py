@@ -526,6 +526,25 @@ def expired_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounds(spark, "uploads", stream, [delivery(records.filter("part % 2 = 1")), delivery(records), delivery(none)]).drop("round")
 
 
+def expired_genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as files, two a genome, delivered as in expired_uploads: each genome once, complete or expired with its complete files."""
+    path = scratch(spark, "genome-parts")
+    plan = acquisition.plan_parts(remote_files(spark, sf_dir)).select(F.floor(F.col("filename") / 2).cast("string").alias("genome"), F.col("filename").cast("string").alias("filename"), "parts_per_file")
+    records = part_records(spark, sf_dir).select(F.col("filename").cast("string").alias("filename"), "part")
+    none = spark.createDataFrame([("-1", 1)], "filename string, part int")  # the clock goes on
+
+    def delivery(rows: DataFrame):
+        def deliver() -> None:
+            time.sleep(0.5)
+            rows.write.mode("append").parquet(path)
+
+        return deliver
+
+    records.limit(0).write.parquet(path)
+    stream = keyed.finished_genomes(spark.readStream.schema(records.schema).parquet(path), plan, keep_days=0.4 / 86_400)
+    return _rounds(spark, "genomes", stream, [delivery(records.filter("part % 2 = 1")), delivery(records), delivery(none)]).drop("round")
+
+
 def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents as requests, some of them broken, without an id, or no DNA: how often each id is rejected, and why."""
     path, out, rejects, state = (scratch(spark, f"rejected-{part}") for part in ("requests", "rows", "rejects", "state"))
@@ -557,6 +576,6 @@ QUERIES = {
     for f in (
         normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, fasta_headerless, written_sites, written_site_lists, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, neighbours_bucketed, neighbours_in_blocks, neighbours_skewed, specific_guides, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
-        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
+        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, expired_genomes, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
     )
 }

@@ -179,3 +179,55 @@ def finished_uploads(parts: DataFrame, plan: DataFrame, keep_days: float = 1) ->
     sizes = plan.select(F.col("filename").cast("string").alias("filename"), F.col("parts_per_file").cast("int").alias("parts_per_file")).distinct()
     known = parts.select(F.col("filename").cast("string").alias("filename"), F.col("part").cast("int").alias("part")).join(sizes, "filename").filter("part between 1 and parts_per_file")
     return known.groupBy("filename").transformWithState(Uploads(int(keep_days * DAY)), "filename string, parts_per_file int, n_present int, outcome string", "append", "processingTime")
+
+
+class Genomes(StatefulProcessor):
+    """The parts of each file of a genome as bits, until all files are complete or `keep` milliseconds have gone since the first part."""
+
+    def __init__(self, keep: int):
+        self.keep = keep
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.files = handle.getMapState("files", "filename string", "bits binary, parts int")
+        self.genome = handle.getValueState("genome", "complete int, files int, done boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state = self.genome.get()
+        new: dict[str, tuple[int, int]] = {}
+        files = 0
+        for r in rows:
+            files = r["num_files"]
+            new[r["filename"]] = (new.get(r["filename"], (0, 0))[0] | 1 << (r["part"] - 1), r["parts_per_file"])
+        if state and state[2]:
+            return
+        complete = state[0] if state else 0
+        if not state:
+            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep)
+        for name, (bits, parts) in new.items():
+            had = self.files.getValue((name,)) if self.files.containsKey((name,)) else None
+            before = int.from_bytes(had[0], "little") if had else 0
+            bits |= before
+            if bits != before:
+                self.files.updateValue((name,), (bits.to_bytes((bits.bit_length() + 7) // 8, "little"), parts))
+                complete += bits.bit_count() == parts  # it was not, or nothing would be new
+        done = complete == files
+        if done:
+            self.files.clear()
+            yield Row(genome=key[0], num_files=files, n_complete=complete, outcome="complete")
+        self.genome.update((complete, files, done))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        complete, files, done = self.genome.get()
+        self.genome.clear()
+        self.files.clear()
+        if not done:
+            yield Row(genome=key[0], num_files=files, n_complete=complete, outcome="expired")
+
+
+def finished_genomes(parts: DataFrame, plan: DataFrame, keep_days: float = 7) -> DataFrame:
+    """(genome, num_files, n_complete, outcome): each genome once, when the last part of its last file has come (complete: its index can be built) or keep_days after its first (expired); then its state is gone. parts: stream of (filename, part), plan: (genome, filename, parts_per_file), a file belongs to one genome; parts outside the plan do not count."""
+    files = plan.select("genome", F.col("filename").cast("string").alias("filename"), F.col("parts_per_file").cast("int").alias("parts_per_file")).distinct()
+    known = files.join(files.groupBy("genome").agg(F.count("*").cast("int").alias("num_files")), "genome")
+    rows = parts.select(F.col("filename").cast("string").alias("filename"), F.col("part").cast("int").alias("part")).join(known, "filename").filter("part between 1 and parts_per_file")
+    return rows.groupBy("genome").transformWithState(Genomes(int(keep_days * DAY)), "genome string, num_files int, n_complete int, outcome string", "append", "processingTime")

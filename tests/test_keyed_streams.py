@@ -174,3 +174,22 @@ def test_uploads_complete_once_or_expire(spark, tmp_path):
     add([("unknown", 1)])
     found, state = got(soon, "short")
     assert found == [("b", 3, 1, "expired")] and state == 0
+
+
+def test_genomes_complete_once_or_expire(spark, tmp_path):
+    plan = spark.createDataFrame([("g", "a", 2), ("g", "b", 1), ("h", "c", 2), ("g", "a", 2)], "genome string, filename string, parts_per_file int")
+    add = lambda rows: spark.createDataFrame(rows, "filename string, part int").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = lambda keep, name="kept": run(spark, tmp_path, keyed.finished_genomes(spark.readStream.schema("filename string, part int").parquet(str(tmp_path / "in")), plan, keep_days=keep), name)
+    add([("a", 1), ("a", 1), ("b", 1), ("b", 2), ("x", 1)])
+    assert got(1)[0] == []
+    add([("b", 1), ("a", 1), ("a", 2)])
+    assert got(1)[0] == [("g", 2, 2, "complete")]
+    add([("a", 1), ("c", 1), ("c", 7)])
+    soon = 1e-3 / 86_400
+    assert got(soon)[0] == []
+    add([("x", 1)])
+    assert got(soon)[0] == [("h", 1, 0, "expired")]
+    assert got(soon, "short")[0] == [("g", 2, 2, "complete")]
+    add([("x", 1)])
+    found, state = got(soon, "short")
+    assert found == [("h", 1, 0, "expired")] and state == 0
