@@ -26,6 +26,12 @@ def reread(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, name: str) -> None:
+    """Delete a folder of scratch paths: what was reread as `name/...`, when nothing reads it any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch(spark, name).rpartition('/')[0]}/{name}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """df over as many tasks at least as the cluster has cores: for heavy work per row on a few unsplittable files. Larger inputs stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from guideloom.functions.sequences import normalise_sequence
 from guideloom.operators.targets import validate_jobs
-from guideloom.sources.staging import reread
+from guideloom.sources.staging import remove, reread
 from guideloom.streaming import keyed
 
 JOB_SCHEMA = "job_id string, sequence string, genome string, submitted_at timestamp"
@@ -24,7 +24,7 @@ def stream_jobs(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     return rows.withColumn("sequence", normalise_sequence(F.col("sequence")))
 
 
-def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], bit: int = 0) -> tuple[list[DataFrame], list[DataFrame]]:
+def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, bit: int = 0) -> tuple[list[DataFrame], list[DataFrame]]:
     """(rows of the jobs that can be scored, the others with their error): halves by a bit of the id's hash, halved again where they fail."""
     good, dead = [], []
     for half in (0, 1):
@@ -32,28 +32,28 @@ def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], bit: int =
         if not (some := part.limit(2).count()):
             continue
         try:
-            good.append(reread(score(part), "scored"))
+            good.append(reread(score(part), f"{folder}/scored"))
         except PySparkException as error:
             if some == 1 or bit == 63:
                 dead.append(part.withColumn("error", F.lit(str(error)[:1000])))
             else:
-                found = _apart(part, score, bit + 1)
+                found = _apart(part, score, folder, bit + 1)
                 good, dead = good + found[0], dead + found[1]
     return good, dead
 
 
-def _scored(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], tries: int) -> tuple[list[DataFrame], list[DataFrame]]:
+def _scored(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], tries: int, folder: str) -> tuple[list[DataFrame], list[DataFrame]]:
     """(rows of the jobs that can be scored, the others with their error). When all jobs fail at once, single ones are tried, the first by id and then the last, in `tries` runs altogether. If none succeeds, the fault is not theirs and the error goes on; else those that fail are set apart."""
     try:
-        return [reread(score(jobs), "scored")], []
+        return [reread(score(jobs), f"{folder}/scored")], []
     except PySparkException as error:
         if tries < 2:
             raise
         ends = jobs.agg(F.min("job_id"), F.max("job_id")).first()
         for k in range(tries - 1):
             try:
-                reread(score(jobs.filter(F.col("job_id") == ends[k % 2])), "scored")
-                return _apart(jobs, score)
+                reread(score(jobs.filter(F.col("job_id") == ends[k % 2])), f"{folder}/probe")
+                return _apart(jobs, score, folder)
             except PySparkException:
                 continue
         raise error
@@ -71,23 +71,25 @@ def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path
     def write(batch: DataFrame, number: int) -> None:
         run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         save = lambda rows, folder: rows.write.mode("overwrite").parquet(f"{folder}/run={run}/batch={number}")
-        once = reread(batch, "jobs")  # the outputs agree on the jobs, and the stream's source is read once
+        folder = f"batch-{run}-{number}"  # what the steps share; gone when the outputs are written
+        once = reread(batch, f"{folder}/jobs")  # the outputs agree on the jobs, and the stream's source is read once
         old = F.coalesce(F.col("submitted_at") < F.current_timestamp() - F.expr(f"INTERVAL {max_age}"), F.lit(False)) if max_age else F.lit(False)
         accepted, rejected = validate_jobs(once.filter("job_id is not null").withColumn("expired", old), max_length)
         late = accepted.filter("expired").withColumn("reject_reason", F.lit("expired"))
         nameless = once.filter("job_id is null").withColumn("reject_reason", F.lit("no job id"))
         save(rejected.unionByName(late).drop("expired").unionByName(nameless).drop("attempt"), rejects)
-        accepted = reread(accepted.filter("not expired").drop("expired"), "accepted")
+        accepted = reread(accepted.filter("not expired").drop("expired"), f"{folder}/accepted")
         requests, attempts = accepted.drop("attempt"), accepted.select("job_id", "attempt")
         if not dead_letters:
-            return save(score(requests), path)
-        good, dead = _scored(requests, score, tries)
+            save(score(requests), path)
+            return remove(spark, folder)
+        good, dead = _scored(requests, score, tries, folder)
         dead = [d.join(attempts, "job_id") for d in dead]
         found = reduce(DataFrame.unionByName, good) if good else requests.limit(0).select("job_id")
         failed = accepted.limit(0).withColumn("error", F.lit(""))
         if "error" in found.columns:
             errors = found.filter("error is not null").groupBy("job_id").agg(F.min("error").alias("error"))
-            failed = reread(accepted.join(errors, "job_id"), "failed")
+            failed = reread(accepted.join(errors, "job_id"), f"{folder}/failed")
             found = found.join(errors.select("job_id"), "job_id", "left_anti").drop("error")
         over = F.col("attempt") >= tries
         gone = reduce(DataFrame.unionByName, dead, failed.filter(over))
@@ -95,6 +97,7 @@ def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path
         save(gone, dead_letters)
         save(again.select("job_id", "sequence", "genome", "submitted_at", "attempt", "feedback"), feedback)
         save(found, path)
+        remove(spark, folder)
 
     with keyed.state_settings(spark, trigger):
         return keyed.counted_deliveries(jobs, back, keep_days).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()

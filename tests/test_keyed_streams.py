@@ -1,4 +1,5 @@
 import json
+import os
 import time
 
 import pytest
@@ -88,6 +89,7 @@ def test_an_outage_stops_the_stream(spark, tmp_path):
 
 def test_failed_rows_are_tried_again_and_counted(spark, tmp_path):
     p, seen = paths_of(tmp_path), []
+    before = os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
     deliver(tmp_path, "x", [job("a"), job("b"), job("c")])
 
     def start(failing, more=()):
@@ -101,6 +103,8 @@ def test_failed_rows_are_tried_again_and_counted(spark, tmp_path):
     start(["b"], [job("b"), job("c")])  # a waiting try and a finished job, delivered again: neither counts
     start(["b"])
     start([], [job("b")])  # after it was given up, it is new
+    shared = spark.conf.get("spark.checkpoint.dir").removeprefix("file:")
+    assert not [f for f in os.listdir(shared) if f.startswith("batch-") and f not in before]  # nothing stays of what the steps share
     assert seen == [(["c"], []), (["a", "c"], ["b"]), (["a", "c"], ["b"]), (["a", "b", "c"], ["b"])]
     assert {r["attempt"] for r in spark.read.option("recursiveFileLookup", "true").parquet(p["dead"]).collect()} == {2}
 
