@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from guideloom.functions import sequences, votes
 from guideloom.operators import acquisition, efficiency, results, sites, specificity, targets
-from guideloom.sources import fasta, tables
+from guideloom.sources import blocked, fasta, tables
 from guideloom.sources.staging import reread, scratch, spread
 from guideloom.streaming import keyed, streams
 
@@ -134,6 +134,16 @@ def fasta_gzipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fasta.read_fasta(spark, path, "all", partitions=spark.sparkContext.defaultParallelism).select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
 
 
+def fasta_blocked_gzip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contigs through blocked gzip, in three files, each read by as many tasks as it has byte ranges."""
+    path = scratch(spark, "fasta-blocked")
+    rows = contigs(spark, sf_dir).select("contig", F.concat(F.lit(">"), "contig", F.lit("\n"), F.regexp_replace("seq", "(.{60})", "$1\n")).alias("value"))
+    blocked.write_blocked(rows.repartition(3, "contig").select("value"), path)
+    pieces = fasta.read_fasta_lines(spark, path, "all", blocked=True)
+    whole = pieces.groupBy("genome", "file", "record", "contig").agg(F.array_join(F.sort_array(F.collect_list(F.struct("offset", "seq")))["seq"], "").alias("seq"))
+    return whole.select("genome", "contig", F.length("seq").alias("n"), F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+
 def fasta_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks of written FASTA made from its lines, 60 bases each."""
     path = scratch(spark, "fasta-lines")
@@ -574,7 +584,7 @@ def retried_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_chunks, fasta_headerless, written_sites, written_site_lists, written_targets, inventory,
+        normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_blocked_gzip, fasta_chunks, fasta_headerless, written_sites, written_site_lists, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, neighbours_bucketed, neighbours_in_blocks, neighbours_skewed, specific_guides, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
         planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, expired_genomes, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
     )

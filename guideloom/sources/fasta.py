@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .blocked import read_stretches
+
 #: Files whose names may be sent to all tasks.
 MAX_BROADCAST_FILES = 50_000
 
@@ -26,13 +28,22 @@ def read_fasta(spark: SparkSession, paths: str | list[str], genome: str | None =
     return rows.select(F.lit(genome).cast("string").alias("genome"), contig.alias("contig"), F.upper(F.regexp_replace(seq, r"\s", "")).alias("seq"))
 
 
-def read_fasta_lines(spark: SparkSession, paths: str | list[str], genome: str | None = None) -> DataFrame:
+def read_fasta_lines(spark: SparkSession, paths: str | list[str], genome: str | None = None, blocked: bool = False) -> DataFrame:
     """(genome, file, record, contig, offset, seq): the lines of FASTA files, each with its place in its contig; record counts headers in a file.
 
-    No row holds more than a line. Lines are numbered within their file block; sums of the blocks before give the rest, so a contig may span any number of blocks. Lines without a header before them belong to a contig named by the path."""
+    No row holds more than a line. Lines are numbered within their file block; sums of the blocks before give the rest, so a contig may span any number of blocks. Lines without a header before them belong to a contig named by the path.
+
+    blocked: files of blocked gzip, named .bgz; tasks unpack them in parallel, and a row holds a piece of at most 64 kB of the bases between two headers. Plain gzip is unpacked by one task a file."""
+    if blocked:
+        return placed_lines(read_stretches(spark, paths), genome)
     meta = [F.col(f"_metadata.{a}").alias(b) for a, b in (("file_path", "file"), ("file_block_start", "block"))]
-    rows = spark.read.text(paths).select(*meta, F.monotonically_increasing_id().alias("at"), "value")
-    head = F.col("value").startswith(">")
+    rows = spark.read.text(paths).select(*meta, F.monotonically_increasing_id().alias("at"), F.col("value").startswith(">").alias("head"), "value")
+    return placed_lines(rows, genome)
+
+
+def placed_lines(rows: DataFrame, genome: str | None) -> DataFrame:
+    """What read_fasta_lines returns, from (file, block, at, head, value): header lines and pieces of sequence in order of at within each block of a file."""
+    head = F.col("head")
     name = F.when(head, F.trim(F.substring("value", 2, 1 << 30)))
     rows = rows.select("file", "block", "at", name.alias("name"), F.when(~head, F.upper(F.regexp_replace("value", r"\s", ""))).alias("seq"))
     here, n = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0), F.coalesce(F.length("seq"), F.lit(0)).cast("long")
