@@ -11,6 +11,8 @@ from guideloom.functions.sequences import GUIDE, reverse_complement
 EITHER = "(?:CC[ACGT]{21}|[ACGT]{21}GG)"
 #: Starts in one chunk of a query.
 CHUNK = 256
+#: Bases of a job that one task numbers.
+BLOCK = 1_000_000
 
 
 def validate_jobs(jobs: DataFrame, max_length: int = 20_000, accession_col: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -29,8 +31,8 @@ def scan_targets(jobs: DataFrame) -> DataFrame:
     length = F.length("sequence")
     chunks = F.transform(F.sequence(F.lit(0), length - GUIDE, F.lit(CHUNK)), lambda o: F.struct(o.alias("offset"), F.substring("sequence", o + 1, F.lit(CHUNK + GUIDE - 1)).alias("chunk")))
     rows = jobs.filter(length >= GUIDE).select("job_id", F.explode(chunks).alias("c")).select("job_id", "c.offset", "c.chunk", F.split("c.chunk", rf"(?={EITHER})").alias("pieces"))
-    before = F.transform("pieces", lambda p, i: F.length(F.array_join(F.slice("pieces", F.lit(1), i), "")))
-    places = F.filter(before, lambda s: (s > 0) | F.col("chunk").rlike(f"^{EITHER}"))
+    ends = F.aggregate("pieces", F.array(F.lit(0)), lambda found, p: F.concat(found, F.array(F.element_at(found, -1) + F.length(p))))
+    places = F.filter(ends, lambda s: ((s > 0) | F.col("chunk").rlike(f"^{EITHER}")) & (s < F.length("chunk")))
     cut = rows.select("job_id", "offset", "chunk", F.explode(places).alias("at")).select("job_id", F.substring("chunk", F.col("at") + 1, F.lit(GUIDE)).alias("part"), (F.col("offset") + F.col("at")).cast("long").alias("start"))
     strands = F.array(F.when(F.col("part").endswith("GG"), F.struct(F.lit("+").alias("strand"), F.col("part").alias("sequence"))), F.when(F.col("part").startswith("CC"), F.struct(F.lit("-").alias("strand"), reverse_complement(F.col("part")).alias("sequence"))))
     both = cut.select("job_id", "start", F.explode(F.filter(strands, lambda s: s.isNotNull())).alias("s"))
@@ -43,10 +45,10 @@ def unique_targets(matches: DataFrame) -> DataFrame:
     return once.filter("cnt = 1")
 
 
-def number_targets(targets: DataFrame, block: int | None = None) -> DataFrame:
+def number_targets(targets: DataFrame, block: int | None = BLOCK) -> DataFrame:
     """target_id from 0 in each job: + strand by start, then - strand by start.
 
-    block: for jobs too long for one task, bases that one task numbers; counts of blocks give the offsets."""
+    block: bases that one task numbers, so that a job of any length is dealt out; counts of blocks give the offsets. None: one task a job, one shuffle less."""
     order = [F.when(F.col("strand") == "+", 0).otherwise(1), F.col("start")]
     if not block:
         numbered = targets.withColumn("target_id", (F.row_number().over(Window.partitionBy("job_id").orderBy(*order)) - 1).cast("long"))
@@ -60,6 +62,6 @@ def number_targets(targets: DataFrame, block: int | None = None) -> DataFrame:
     return numbered.select("job_id", "target_id", "sequence", "cnt", "start", "end", "strand")
 
 
-def design_guides(jobs: DataFrame, block: int | None = None) -> DataFrame:
+def design_guides(jobs: DataFrame, block: int | None = BLOCK) -> DataFrame:
     """Unique numbered guides of all jobs. jobs: (job_id, sequence)."""
     return number_targets(unique_targets(scan_targets(jobs)), block)

@@ -65,6 +65,7 @@ def test_guides_as_by_brute_force(spark):
     expected = {k: g for k, s in enumerate(seqs) if (g := brute_guides(s or ""))}
     assert rows_by_job(targets.design_guides(jobs_of(spark, seqs))) == expected
     assert rows_by_job(targets.design_guides(jobs_of(spark, seqs), block=100)) == expected
+    assert rows_by_job(targets.design_guides(jobs_of(spark, seqs), block=None)) == expected
 
 
 def test_chunks_hold_each_start_once(spark):
