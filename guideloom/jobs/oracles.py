@@ -119,7 +119,7 @@ ORACLES = {
     "streamed_files": with_(FILES, PLAN) + "SELECT filename, count(l.k)::INTEGER AS n_present FROM plan LEFT JOIN (SELECT DISTINCT l_orderkey AS k, l_linenumber AS p FROM lineitem) l ON l.k = filename AND l.p = part GROUP BY filename HAVING count(*) = count(l.k)",
     "streamed_guides": with_(JOBS, GUIDES) + "SELECT * FROM guides",
 }
-for same, as_ in {"neighbours_salted": "neighbours", "neighbours_by_pairs": "neighbours", "neighbours_bucketed": "neighbours", "neighbours_in_blocks": "neighbours", "fasta_gzipped": "fasta_round_trip", "fasta_blocked_gzip": "fasta_round_trip", "written_targets": "guides", "streamed_consensus": "consensus", "streamed_specificity": "specificity_scores"}.items():
+for same, as_ in {"neighbours_salted": "neighbours", "neighbours_by_pairs": "neighbours", "neighbours_bucketed": "neighbours", "neighbours_in_blocks": "neighbours", "fasta_gzipped": "fasta_round_trip", "fasta_blocked_gzip": "fasta_round_trip", "written_targets": "guides", "sliced_guides": "guides", "streamed_consensus": "consensus", "streamed_specificity": "specificity_scores"}.items():
     ORACLES[same] = ORACLES[as_]
 _VECTORS = [(c, "".join(map(str, v))) for c, v in zip(RBF["dual_coef"], RBF["support_vectors"], strict=True)]
 _KERNELS = " + ".join(f"{c}::DOUBLE * exp(-{RBF['gamma']}::DOUBLE * list_sum(list_transform(range(1, 81), lambda i: CASE WHEN substr(bits, i, 1) = substr('{v}', i, 1) THEN 0 ELSE 1 END)))" for c, v in _VECTORS)

@@ -453,13 +453,13 @@ def settled_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(out, "scored").unionByName(read(rejects, "rejected")).unionByName(read(dead, "dead"))
 
 
-def _scored_stream(spark: SparkSession, sf_dir: str, name: str, score, schema) -> DataFrame:
+def _scored_stream(spark: SparkSession, sf_dir: str, name: str, score, schema, **options) -> DataFrame:
     """Jobs that arrive as JSON lines, some of them again in a later batch, scored as they come."""
     path, out, rejects, state = (scratch(spark, f"{name}-{part}") for part in ("requests", "rows", "rejects", "state"))
     requests = jobs(spark, sf_dir).withColumn("submitted_at", F.lit("2024-01-01T00:00:00Z").cast("timestamp"))
     for delivered in (requests, requests.filter("cast(job_id AS long) % 3 = 0")):
         delivered.write.mode("append").json(path)
-        streams.start_scoring(streams.stream_jobs(spark, path), score, out, rejects, state, {"availableNow": True}).awaitTermination()
+        streams.start_scoring(streams.stream_jobs(spark, path), score, out, rejects, state, {"availableNow": True}, **options).awaitTermination()
     return spark.read.option("recursiveFileLookup", "true").schema(schema).parquet(out)
 
 
@@ -467,6 +467,11 @@ def streamed_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored_stream(spark, sf_dir, "guides", targets.design_guides, guides(spark, sf_dir).schema)
 
 
+def sliced_guides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with at most ten jobs in each run of the scorer."""
+    return _scored_stream(spark, sf_dir, "sliced", targets.design_guides, guides(spark, sf_dir).schema, max_jobs=10)
+
+
 def streamed_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The efficiency votes of jobs as they arrive."""
 
@@ -586,6 +591,6 @@ QUERIES = {
     for f in (
         normalised_jobs, validated_jobs, reverse_complements, parsed_requests, guides, guides_by_blocks, contig_chunks, site_counts, site_counts_reference, sites_per_contig, sorted_sites, site_index, slice_histogram, fasta_round_trip, fasta_gzipped, fasta_blocked_gzip, fasta_chunks, fasta_headerless, written_sites, written_site_lists, written_targets, inventory,
         neighbours, neighbours_salted, neighbours_by_pairs, neighbours_bucketed, neighbours_in_blocks, neighbours_skewed, specific_guides, specificity_scores, orphan_targets, sequence_votes, one_hot, fold_verdicts, consensus, guide_results, recommended_guides, results_json, decoded_messages, job_progress, job_results, rbf_votes, plugged_scores,
-        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, expired_genomes, rejected_requests, retried_jobs, streamed_guides, streamed_consensus, streamed_specificity,
+        planned_parts, file_status, part_lists, latest_events, genome_sizes, missing_indexes, routed_jobs, genome_status, custom_genomes, archive_paths, genome_files, streamed_progress, streamed_files, streamed_index_jobs, settled_jobs, released_jobs, expired_uploads, expired_genomes, rejected_requests, retried_jobs, streamed_guides, sliced_guides, streamed_consensus, streamed_specificity,
     )
 }

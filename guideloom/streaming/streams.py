@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,6 +24,26 @@ def stream_jobs(spark: SparkSession, path: str, files_per_trigger: int = 100) ->
     return rows.withColumn("sequence", normalise_sequence(F.col("sequence")))
 
 
+def in_slices(score: Callable[[DataFrame], DataFrame], most: int, folder: str) -> Callable[[DataFrame], DataFrame]:
+    """score, run for at most `most` jobs at a time, one run after the other; the rows of each run are staged in folder. jobs: with a job_id that is not null.
+
+    Jobs are numbered in parts by hash, and the sums of the parts before give the rest, so no task orders all of them."""
+    part = F.pmod(F.xxhash64("job_id"), F.lit(256))
+
+    def scored(jobs: DataFrame) -> DataFrame:
+        if (runs := -(-jobs.count() // most)) < 2:
+            return score(jobs)
+        counts = jobs.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+        before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = F.broadcast(counts.select("part", before.alias("before")))  # 256 rows at most
+        here = F.row_number().over(Window.partitionBy("part").orderBy("job_id")) - 1
+        numbered = jobs.withColumn("part", part).withColumn("here", here).join(counts, "part").withColumn("slice", F.floor((F.col("before") + F.col("here")) / most))
+        numbered = reread(numbered.drop("part", "here", "before"), f"{folder}/slices")
+        return reduce(DataFrame.unionByName, [reread(score(numbered.filter(F.col("slice") == k).drop("slice")), f"{folder}/scored") for k in range(runs)])
+
+    return scored
+
+
 def _apart(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], folder: str, bit: int = 0) -> tuple[list[DataFrame], list[DataFrame]]:
     """(rows of the jobs that can be scored, the others with their error): halves by a bit of the id's hash, halved again where they fail."""
     good, dead = [], []
@@ -59,9 +79,10 @@ def _scored(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], tries: int
         raise error
 
 
-def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000, max_age: str | None = None, dead_letters: str | None = None, tries: int = 3, keep_days: float = 14) -> StreamingQuery:
+def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, rejects: str, checkpoint: str, trigger: dict | None = None, max_length: int = 20_000, max_age: str | None = None, dead_letters: str | None = None, tries: int = 3, keep_days: float = 14, max_jobs: int | None = None) -> StreamingQuery:
     """Each micro-batch through the batch functions. A job id counts once in keep_days, by keyed state, so redelivery is harmless and no earlier output is read. A batch that runs again replaces its own part under run=.../batch=..., the run being that of the checkpoint: a new checkpoint replaces nothing. Rejected jobs, among them those without an id, go to their own path. Rows of score keep their job_id.
 
+    max_jobs: the most jobs that one run of score gets, however many a file or a batch holds; see in_slices.
     max_age: jobs submitted longer ago than this interval when their batch runs are rejected as expired.
     dead_letters: where jobs that cannot be scored go with their error, and with the number of the try (attempt). score may say so by rows whose column `error` is not null: their job is tried again in a later batch, until `tries` tries are over (the count is in state, what failed comes back through checkpoint/feedback). Delivered again after that, it is tried again. An exception is a fault of all jobs or of a few: if single jobs cannot be scored either (see _scored), the stream stops with the error, nothing becomes a dead letter, and a restart has all jobs again; else those that fail are set apart, and go to the dead letters at once. Without dead_letters, any exception ends the stream."""
     spark, trigger, feedback = jobs.sparkSession, trigger or {"processingTime": "10 seconds"}, f"{checkpoint}/feedback"
@@ -80,10 +101,11 @@ def start_scoring(jobs: DataFrame, score: Callable[[DataFrame], DataFrame], path
         save(rejected.unionByName(late).drop("expired").unionByName(nameless).drop("attempt"), rejects)
         accepted = reread(accepted.filter("not expired").drop("expired"), f"{folder}/accepted")
         requests, attempts = accepted.drop("attempt"), accepted.select("job_id", "attempt")
+        run_score = in_slices(score, max_jobs, folder) if max_jobs else score
         if not dead_letters:
-            save(score(requests), path)
+            save(run_score(requests), path)
             return remove(spark, folder)
-        good, dead = _scored(requests, score, tries, folder)
+        good, dead = _scored(requests, run_score, tries, folder)
         dead = [d.join(attempts, "job_id") for d in dead]
         found = reduce(DataFrame.unionByName, good) if good else requests.limit(0).select("job_id")
         failed = accepted.limit(0).withColumn("error", F.lit(""))
