@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
@@ -139,95 +140,166 @@ def released_jobs(jobs: DataFrame, indexes: DataFrame, known: DataFrame | None =
     return asked.unionByName(ready).groupBy("genome", "part").transformWithState(Waiting(int(keep_days * DAY)), "genome string, job_id string, sequence string, submitted_at timestamp, outcome string", "append", "processingTime", begins)
 
 
+#: Groups in which the state of uploads lies. Python asks the state store a few times a key, so keys are groups of files and not files.
+BUCKETS = 4096
+
+
+def _bucket(column: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def _packed(rows: list[tuple], schema: pa.Schema) -> bytes:
+    """Rows as one value of a state."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, schema) as out:
+        out.write_batch(pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: bytes) -> Iterator[tuple]:
+    return zip(*(c.to_pylist() for c in pa.ipc.open_stream(value).read_all().columns), strict=True)
+
+
+def _of_bits(bits: int) -> bytes:
+    return bits.to_bytes((bits.bit_length() + 7) // 8, "little")
+
+
 class Uploads(StatefulProcessor):
-    """The parts of a file as bits, until all are there or `keep` milliseconds have gone since the first."""
+    """The parts of the files of a bucket as bits, of each until all are there or `keep` milliseconds have gone since its first."""
+
+    SCHEMA = pa.schema([("filename", pa.string()), ("bits", pa.binary()), ("parts", pa.int32()), ("until", pa.int64())])
 
     def __init__(self, keep: int):
         self.keep = keep
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.file = handle.getValueState("file", "bits binary, parts int, done boolean")
+        self.files = handle.getValueState("files", "rows binary")
+
+    def _load(self) -> dict[str, tuple[bytes | None, int, int]]:
+        value = self.files.get()
+        return {name: (bits, parts, until) for name, bits, parts, until in _unpacked(bytes(value[0]))} if value else {}
+
+    def _store(self, files: dict) -> None:
+        self.files.update((_packed([(name, *f) for name, f in files.items()], self.SCHEMA),)) if files else self.files.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = not self.file.exists()
-        state = None if first else self.file.get()
-        bits, done = (0, False) if first else (int.from_bytes(state[0], "little"), state[2])
-        parts = 0
-        for r in rows:
-            parts = r["parts_per_file"]
-            bits |= 1 << (r["part"] - 1)
-        if done:
-            return
-        if first:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep)
-        done = bits.bit_count() == parts
-        # of a finished file only the mark is kept, so that parts that come again change nothing
-        self.file.update((b"" if done else bits.to_bytes((bits.bit_length() + 7) // 8, "little"), parts, done))
-        if done:
-            yield Row(filename=key[0], parts_per_file=parts, n_present=parts, outcome="complete")
+        new: dict[str, tuple[int, int]] = {}
+        for _, name, part, parts in rows:
+            new[name] = (new[name][0] | 1 << (part - 1) if name in new else 1 << (part - 1), parts)
+        files, until = self._load(), timerValues.getCurrentProcessingTimeInMs() + self.keep
+        if any(name not in files for name in new):
+            self.handle.registerTimer(until)
+        complete = []
+        for name, (bits, parts) in new.items():
+            before, _, ends = files.get(name, (b"", parts, until))
+            if before is None:
+                continue
+            bits |= int.from_bytes(before, "little")
+            done = bits.bit_count() == parts
+            # of a finished file only the mark is kept, so that parts that come again change nothing
+            files[name] = (None if done else _of_bits(bits), parts, ends)
+            if done:
+                complete.append((name, parts))
+        self._store(files)
+        for name, parts in complete:
+            yield Row(filename=name, parts_per_file=parts, n_present=parts, outcome="complete")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        bits, parts, done = self.file.get()
-        self.file.clear()
-        if not done:
-            yield Row(filename=key[0], parts_per_file=parts, n_present=int.from_bytes(bits, "little").bit_count(), outcome="expired")
+        files, upto = self._load(), expiredTimerInfo.getExpiryTimeInMs()
+        self._store({name: f for name, f in files.items() if f[2] > upto})
+        for name, (bits, parts, until) in files.items():
+            if until <= upto and bits is not None:
+                yield Row(filename=name, parts_per_file=parts, n_present=int.from_bytes(bits, "little").bit_count(), outcome="expired")
+
 
+def finished_uploads(parts: DataFrame, plan: DataFrame, keep_days: float = 1, buckets: int = BUCKETS) -> DataFrame:
+    """(filename, parts_per_file, n_present, outcome): each file once, when its last part has come (complete) or keep_days after its first (expired); then its state is gone. parts: stream of (filename, part), plan: (filename, parts_per_file); parts outside the plan do not count.
 
-def finished_uploads(parts: DataFrame, plan: DataFrame, keep_days: float = 1) -> DataFrame:
-    """(filename, parts_per_file, n_present, outcome): each file once, when its last part has come (complete) or keep_days after its first (expired); then its state is gone. parts: stream of (filename, part), plan: (filename, parts_per_file); parts outside the plan do not count."""
+    buckets: groups of files whose state is read and written together; it stays as it is for the life of a checkpoint. The plan is read in every batch."""
     sizes = plan.select(F.col("filename").cast("string").alias("filename"), F.col("parts_per_file").cast("int").alias("parts_per_file")).distinct()
     known = parts.select(F.col("filename").cast("string").alias("filename"), F.col("part").cast("int").alias("part")).join(sizes, "filename").filter("part between 1 and parts_per_file")
-    return known.groupBy("filename").transformWithState(Uploads(int(keep_days * DAY)), "filename string, parts_per_file int, n_present int, outcome string", "append", "processingTime")
+    rows = known.select(_bucket("filename", buckets), "filename", "part", "parts_per_file")
+    return rows.groupBy("bucket").transformWithState(Uploads(int(keep_days * DAY)), "filename string, parts_per_file int, n_present int, outcome string", "append", "processingTime")
 
 
 class Genomes(StatefulProcessor):
-    """The parts of each file of a genome as bits, until all files are complete or `keep` milliseconds have gone since the first part."""
+    """The parts of each file of the genomes of a bucket as bits, of each genome until all files are complete or `keep` milliseconds have gone since its first part."""
+
+    FILES = pa.schema([("genome", pa.string()), ("filename", pa.string()), ("bits", pa.binary()), ("parts", pa.int32())])
+    GENOMES = pa.schema([("genome", pa.string()), ("complete", pa.int32()), ("files", pa.int32()), ("until", pa.int64())])
 
     def __init__(self, keep: int):
         self.keep = keep
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.files = handle.getMapState("files", "filename string", "bits binary, parts int")
-        self.genome = handle.getValueState("genome", "complete int, files int, done boolean")
+        self.bucket = handle.getValueState("bucket", "genomes binary, files binary")
+
+    def _load(self) -> tuple[dict, dict]:
+        """Genomes, and the files of those that are not done."""
+        value = self.bucket.get()
+        if not value:
+            return {}, {}
+        genomes = {genome: (complete, files, until) for genome, complete, files, until in _unpacked(bytes(value[0]))}
+        files: dict = {}
+        for genome, name, bits, parts in _unpacked(bytes(value[1])):
+            files.setdefault(genome, {})[name] = (int.from_bytes(bits, "little"), parts)
+        return genomes, files
+
+    def _store(self, genomes: dict, files: dict) -> None:
+        if genomes:
+            open_files = [(genome, name, _of_bits(bits), parts) for genome, of in files.items() for name, (bits, parts) in of.items()]
+            self.bucket.update((_packed([(genome, *g) for genome, g in genomes.items()], self.GENOMES), _packed(open_files, self.FILES)))
+        else:
+            self.bucket.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self.genome.get()
-        new: dict[str, tuple[int, int]] = {}
-        files = 0
-        for r in rows:
-            files = r["num_files"]
-            new[r["filename"]] = (new.get(r["filename"], (0, 0))[0] | 1 << (r["part"] - 1), r["parts_per_file"])
-        if state and state[2]:
-            return
-        complete = state[0] if state else 0
-        if not state:
-            self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.keep)
-        for name, (bits, parts) in new.items():
-            had = self.files.getValue((name,)) if self.files.containsKey((name,)) else None
-            before = int.from_bytes(had[0], "little") if had else 0
-            bits |= before
-            if bits != before:
-                self.files.updateValue((name,), (bits.to_bytes((bits.bit_length() + 7) // 8, "little"), parts))
-                complete += bits.bit_count() == parts  # it was not, or nothing would be new
-        done = complete == files
-        if done:
-            self.files.clear()
-            yield Row(genome=key[0], num_files=files, n_complete=complete, outcome="complete")
-        self.genome.update((complete, files, done))
+        new: dict[str, dict[str, tuple[int, int]]] = {}
+        sizes: dict[str, int] = {}
+        for _, genome, name, part, parts, n in rows:
+            of = new.setdefault(genome, {})
+            of[name] = (of[name][0] | 1 << (part - 1) if name in of else 1 << (part - 1), parts)
+            sizes[genome] = n
+        (genomes, files), until = self._load(), timerValues.getCurrentProcessingTimeInMs() + self.keep
+        if any(genome not in genomes for genome in new):
+            self.handle.registerTimer(until)
+        out = []
+        for genome, of in new.items():
+            complete, had_files, ends = genomes.get(genome, (0, -1, until))
+            if complete == had_files:
+                continue
+            had = files.setdefault(genome, {})
+            for name, (bits, parts) in of.items():
+                before = had.get(name, (0, 0))[0]
+                bits |= before
+                if bits != before:
+                    had[name] = (bits, parts)
+                    complete += bits.bit_count() == parts  # it was not, or nothing would be new
+            genomes[genome] = (complete, sizes[genome], ends)
+            if complete == sizes[genome]:
+                del files[genome]
+                out.append((genome, complete))
+        self._store(genomes, files)
+        for genome, n in out:
+            yield Row(genome=genome, num_files=n, n_complete=n, outcome="complete")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        complete, files, done = self.genome.get()
-        self.genome.clear()
-        self.files.clear()
-        if not done:
-            yield Row(genome=key[0], num_files=files, n_complete=complete, outcome="expired")
+        (genomes, files), upto = self._load(), expiredTimerInfo.getExpiryTimeInMs()
+        left = {genome: g for genome, g in genomes.items() if g[2] > upto}
+        self._store(left, {genome: of for genome, of in files.items() if genome in left})
+        for genome, (complete, n, until) in genomes.items():
+            if until <= upto and complete != n:
+                yield Row(genome=genome, num_files=n, n_complete=complete, outcome="expired")
+
 
+def finished_genomes(parts: DataFrame, plan: DataFrame, keep_days: float = 7, buckets: int = BUCKETS) -> DataFrame:
+    """(genome, num_files, n_complete, outcome): each genome once, when the last part of its last file has come (complete: its index can be built) or keep_days after its first (expired); then its state is gone. parts: stream of (filename, part), plan: (genome, filename, parts_per_file), a file belongs to one genome; parts outside the plan do not count.
 
-def finished_genomes(parts: DataFrame, plan: DataFrame, keep_days: float = 7) -> DataFrame:
-    """(genome, num_files, n_complete, outcome): each genome once, when the last part of its last file has come (complete: its index can be built) or keep_days after its first (expired); then its state is gone. parts: stream of (filename, part), plan: (genome, filename, parts_per_file), a file belongs to one genome; parts outside the plan do not count."""
-    files = plan.select("genome", F.col("filename").cast("string").alias("filename"), F.col("parts_per_file").cast("int").alias("parts_per_file")).distinct()
-    known = files.join(files.groupBy("genome").agg(F.count("*").cast("int").alias("num_files")), "genome")
+    buckets: as in finished_uploads, of genomes with their open files."""
+    files = plan.filter("genome is not null").select(F.col("genome").cast("string").alias("genome"), F.col("filename").cast("string").alias("filename"), F.col("parts_per_file").cast("int").alias("parts_per_file")).distinct()
+    known = files.withColumn("num_files", F.count("*").over(Window.partitionBy("genome")).cast("int"))
     rows = parts.select(F.col("filename").cast("string").alias("filename"), F.col("part").cast("int").alias("part")).join(known, "filename").filter("part between 1 and parts_per_file")
-    return rows.groupBy("genome").transformWithState(Genomes(int(keep_days * DAY)), "genome string, num_files int, n_complete int, outcome string", "append", "processingTime")
+    rows = rows.select(_bucket("genome", buckets), "genome", "filename", "part", "parts_per_file", "num_files")
+    return rows.groupBy("bucket").transformWithState(Genomes(int(keep_days * DAY)), "genome string, num_files int, n_complete int, outcome string", "append", "processingTime")

@@ -197,3 +197,19 @@ def test_genomes_complete_once_or_expire(spark, tmp_path):
     add([("x", 1)])
     found, state = got(soon, "short")
     assert found == [("h", 1, 0, "expired")] and state == 0
+
+
+@pytest.mark.parametrize("name", ["uploads", "genomes"])
+def test_state_of_many_files_lies_in_buckets(spark, tmp_path, name):
+    """A few state rows a bucket, however many files are open: Python asks the store a few times a key."""
+    n = 20_000
+    files = spark.range(n).select(F.concat(F.lit("f"), "id").alias("filename"), (F.col("id") % 3 + 1).cast("int").alias("parts_per_file"), F.floor(F.col("id") / 2).cast("string").alias("genome"))
+    parts = files.select("filename", F.lit(1).alias("part"))
+    parts.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(parts.schema).parquet(str(tmp_path / "in"))
+    stream = keyed.finished_uploads(stream, files) if name == "uploads" else keyed.finished_genomes(stream, files)
+    found, state = run(spark, tmp_path, stream)
+    assert len(found) == (6667 if name == "uploads" else 0) and state <= 3 * 4096
+    parts.withColumn("part", F.explode(F.array(F.lit(3), F.lit(2)))).write.mode("append").parquet(str(tmp_path / "in"))
+    found, _ = run(spark, tmp_path, stream)
+    assert len(found) == (n - 6667 if name == "uploads" else n // 2) and {r[3] for r in found} == {"complete"}
