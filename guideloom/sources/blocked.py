@@ -70,7 +70,7 @@ def stretches(data: bytes) -> list[bytes]:
 def read_stretches(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(file, block, at, head, value): header lines, and pieces of sequence of at most 64 kB, of blocked gzip FASTA files; at orders the rows of a block.
 
-    Only lines cut by the end of a member are looked at across members: their first letter tells whether they are headers, which are put together again; cut sequences stay cut. Members are unpacked twice, once for the cut lines, which are staged."""
+    Only lines cut by the end of a member are looked at across members: their first letter tells whether they are headers, which are put together again; cut sequences stay cut. What is unpacked is staged: byte ranges and the order of rows hang on the cores that the cluster has when a file is read, and a second reading may find others."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -86,9 +86,9 @@ def read_stretches(spark: SparkSession, paths: str | list[str]) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(columns, kinds, strict=True)], names=["file", "block", "at", "i", "edge", "ends", "value"])
 
     found = read_members(spark, paths).mapInArrow(cut, "file string, block long, at long, i int, edge boolean, ends int, value binary")
-    found = found.select("file", "block", F.struct("at", "i").alias("at"), "edge", "ends", F.col("value").cast("string").alias("value"))
+    found = reread(found.select("file", "block", F.struct("at", "i").alias("at"), "edge", "ends", F.col("value").cast("string").alias("value")), "blocked-lines")
     inner = found.filter(~F.col("edge")).select("file", "block", "at", F.col("value").startswith(">").alias("head"), "value")
-    edges = reread(found.filter("edge").drop("edge"), "blocked-edges")
+    edges = found.filter("edge").drop("edge")
     # lines are numbered by the line ends before them, in the blocks before and in their own; those of a member stand behind its first stretch
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = edges.groupBy("file", "block").agg(F.sum("ends").alias("n")).select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("lines"))

@@ -65,3 +65,33 @@ def test_names_that_the_source_would_unpack(spark, tmp_path):
     (tmp_path / "a.gz").write_bytes(blocked.END)
     with pytest.raises(ValueError, match="bgz"):
         blocked.read_members(spark, str(tmp_path / "a.gz"))
+
+
+@pytest.mark.parametrize("blocked_form", [True, False])
+def test_headers_without_bases(spark, tmp_path, blocked_form):
+    raw = b">a\n>b\nAC\nGT\n>a\n\n>c"
+    (tmp_path / "x.bgz").write_bytes(chain(raw, 3) if blocked_form else raw)
+    rows = fasta.read_fasta_lines(spark, str(tmp_path / "x.bgz"), blocked=blocked_form, headers=True).collect()
+    assert [r[1:] for r in contigs_of(rows)] == [(1, "a", ""), (2, "b", "ACGT"), (3, "a", ""), (4, "c", "")]
+
+
+def test_documents_without_letters_are_contigs(spark, tmp_path):
+    from guideloom.jobs import queries
+
+    spark.createDataFrame([(1, "ab ab", "en"), (2, "12 3!", "en"), (3, "", "de")], "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert sorted((r["contig"], r["n"]) for r in queries.fasta_blocked_gzip(spark, str(tmp_path)).collect()) == [("1", 4), ("2", 0), ("3", 0)]
+
+
+def test_ranges_may_change_between_readings(spark, tmp_path):
+    """The cores of a cluster decide the byte ranges of a file, and may change while a query runs."""
+    rng = random.Random(9)
+    contigs = {f"c{k}": "".join(rng.choice("ACGT") for _ in range(rng.randrange(1, 900))) for k in range(300)}
+    (tmp_path / "x.bgz").write_bytes(chain("".join(f">{k}\n{v}\n" for k, v in contigs.items()).encode(), 500))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+        rows = fasta.read_fasta_lines(spark, str(tmp_path / "x.bgz"), blocked=True)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+        found = rows.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert {r[2]: r[3] for r in contigs_of(found)} == contigs
