@@ -169,3 +169,17 @@ def test_svm_linear_and_rbf_agree_with_numpy(spark):
     rbf = [r["sgrnascorer"] for r in efficiency.svm_vote(guides, {"support_vectors": sv.tolist(), "dual_coef": coef.tolist(), "gamma": 0.03, "intercept": 0.01}).orderBy("k").collect()]
     assert rbf == (np.exp(-0.03 * ((x[:, None] - sv[None]) ** 2).sum(2)) @ coef + 0.01 >= 0).tolist()
     assert efficiency.score_with(guides, lambda b: b[["k"]], "k long").count() == len(seqs)
+
+
+def test_counted_codes_are_those_of_the_sites(spark):
+    """Over several steps, genomes (one of them null) and tasks, with sites that repeat."""
+    seqs = [("g", dna(2000, 5)), ("h", dna(1001, 6, "ACGTN")), ("g", dna(2000, 5)), ("h", "CC" + "A" * 60 + "GG"), (None, dna(300, 7)), ("g", ""), ("g", None), ("h", "acgg" * 20), ("g", "\u00e9" * 30 + dna(90, 8))]
+    contigs = spark.createDataFrame([(g, str(k), s) for k, (g, s) in enumerate(seqs)], "genome string, contig string, seq string").repartition(3)
+    for mode in ("reference", "protospacer"):
+        wanted = {}
+        for g, s in seqs:
+            for site in brute_sites(s or "", mode):
+                key = (g, sum("ACGT".index(b) << 2 * (19 - i) for i, b in enumerate(site)))
+                wanted[key] = (site, wanted.get(key, (site, 0))[1] + 1)
+        found = sites.with_letters(sites.count_sites(sites.chunk_contigs(contigs, 100), mode)).collect()
+        assert {(r["genome"], r["code"]): (r["site"], r["n"]) for r in found} == wanted and len(found) == len(wanted)
