@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,44 @@ def test_keyed_writes_read_the_buckets_they_touch(spark, tmp_path, monkeypatch):
     filters = [x.split("]")[0] for x in plans[-1].split("PartitionFilters: [")[1:]]
     assert any("job_bucket" in x and "isnotnull" in x.lower() for x in filters)
     assert spark.read.parquet(path).count() == 200
+
+
+def packed(spark, counted, most=7):
+    """Counts as packed rows of at most `most` sites."""
+    rows = {}
+    for r in counted.collect():
+        rows.setdefault((r["genome"], r["code"] % 5), []).append((r["code"], r["n"]))
+    data = [(g, np.array([c for c, _ in part]).tobytes(), np.array([n for _, n in part]).tobytes()) for (g, _), own in rows.items() for i in range(0, len(own), most) for part in [own[i : i + most]]]
+    return spark.createDataFrame(data, "genome string, codes binary, ns binary")
+
+
+@pytest.mark.parametrize("step", [10, specificity.STEP_PAIRS])
+def test_packed_forms_find_the_same(spark, tables_of, monkeypatch, step):
+    guides, counted = tables_of
+    monkeypatch.setattr(specificity, "STEP_PAIRS", step), monkeypatch.setattr(specificity, "GUIDES_A_ROW", 3)
+    wanted, lying = plain(guides, counted), packed(spark, counted, 50)
+    for keys in ("slices", "pairs"):
+        index = sites.packed_index(lying, keys)
+        assert found(specificity.neighbours(guides, lying, keys=keys)) == wanted
+        assert found(specificity.neighbours(guides, lying, keys=keys, max_broadcast=0, salt=3)) == wanted
+        assert found(specificity.neighbours(guides, index, keys=keys)) == wanted
+        assert found(specificity.neighbours(guides, index, keys=keys, hot=specificity.hot_slices(index, 40))) == wanted
+        assert found(specificity.neighbours_in_blocks(guides, lying, keys=keys, most=40)) == wanted
+    rounds = [specificity.neighbours(guides, lying, only=k) for k in range(5)]
+    assert sorted(r for part in rounds for r in found(part)) == wanted
+
+
+def test_packed_index_holds_each_site_once_a_key(spark, tables_of):
+    _, counted = tables_of
+    for keys in ("slices", "pairs"):
+        index = sites.packed_index(packed(spark, counted), keys)
+        rows = [(r["genome"], r["slice_no"], r["slice_val"], c, n) for r in index.collect() for c, n in zip(np.frombuffer(r["codes"], dtype=np.int64).tolist(), np.frombuffer(r["ns"], dtype=np.int64).tolist(), strict=True)]
+        assert sorted(rows) == sorted(tuple(r) for r in sites.index_of(counted, keys).collect())
+        hist = {tuple(r)[:3]: r["n_sites"] for r in sites.slice_histogram(sites.index_of(counted, keys)).collect()}
+        assert {tuple(r)[:3]: r["parts"] for r in specificity.hot_slices(index, 10).collect()} == {k: -(-n // 10) for k, n in hist.items() if n > 10}
+
+
+def test_few_guides_meet_packed_sites_without_a_row_for_each_key(spark, tables_of):
+    guides, counted = tables_of
+    plan = specificity.neighbours(guides, packed(spark, counted))._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("BroadcastHashJoin") == 1
