@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from guideloom.functions.sequences import GUIDE, reverse_complement
+from guideloom.functions.sequences import GUIDE, SITE, reverse_complement
+from guideloom.functions.windows import C, G, Windows, in_arrow, steps, turned_codes
 
 #: A guide of the + strand, or of the - strand as it stands.
 EITHER = "(?:CC[ACGT]{21}|[ACGT]{21}GG)"
@@ -13,6 +19,8 @@ EITHER = "(?:CC[ACGT]{21}|[ACGT]{21}GG)"
 CHUNK = 256
 #: Bases of a job that one task numbers.
 BLOCK = 1_000_000
+#: Bases of a row whose guides one step of a task compares.
+LONGEST_ROW = 16_000_000
 
 
 def validate_jobs(jobs: DataFrame, max_length: int = 20_000, accession_col: str | None = None) -> tuple[DataFrame, DataFrame]:
@@ -41,8 +49,34 @@ def scan_targets(jobs: DataFrame) -> DataFrame:
 
 def unique_targets(matches: DataFrame) -> DataFrame:
     """Guides seen once in their job over both strands."""
-    once = matches.groupBy("job_id", "sequence").agg(F.count("*").alias("cnt"), F.min("start").alias("start"), F.min("end").alias("end"), F.min("strand").alias("strand"))
-    return once.filter("cnt = 1")
+    once = matches.groupBy("job_id", "sequence").agg(F.count("*").alias("cnt"), F.min("start").alias("start"), F.min("end").alias("end"), F.min(F.col("strand") == "-").alias("minus"))
+    return once.filter("cnt = 1").select("job_id", "sequence", "cnt", "start", "end", F.when(F.col("minus"), "-").otherwise("+").alias("strand"))
+
+
+def unique_targets_by_rows(jobs: DataFrame) -> DataFrame:
+    """unique_targets(scan_targets(jobs)) for many jobs: those that are one row of at most LONGEST_ROW bases are scanned and compared there by numpy, so that sequences are shuffled once and their matches never. The others go the general way."""
+    rows = jobs.select("job_id", "sequence").withColumn("rows", F.count("*").over(Window.partitionBy("job_id")))
+    alone = (F.col("rows") == 1) & (F.length("sequence") <= LONGEST_ROW)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in steps(batches, "sequence"):
+            w = Windows(batch.column("sequence"), GUIDE)
+            (rows, plus), (others, minus) = w.starts((w.at(GUIDE - 2) == G) & (w.at(GUIDE - 1) == G)), w.starts((w.at(0) == C) & (w.at(1) == C))
+            row, at = np.concatenate([rows, others]), np.concatenate([plus, minus])
+            if not len(at):
+                continue
+            ends = lambda places, turned: sum((3 - w.bases[at_].astype(np.int64) if turned else w.bases[at_].astype(np.int64)) << 2 * k for k, at_ in enumerate(places))
+            code = np.concatenate([w.codes(plus) << 6 | ends([plus + 22, plus + 21, plus + SITE], False), turned_codes(w.codes(minus + 3)) << 6 | ends([minus, minus + 1, minus + 2], True)])
+            order = np.lexsort((code, row))
+            differs = np.concatenate([[True], (np.diff(code[order]) != 0) | (np.diff(row[order]) != 0), [True]])
+            kept = np.sort(order[differs[:-1] & differs[1:]])
+            n = int(np.searchsorted(kept, len(plus)))
+            start = at[kept] - w.offsets[row[kept]]
+            sequences = pa.concat_arrays([w.strings(at[kept[:n]], GUIDE), w.strings(at[kept[n:]], GUIDE, True)])
+            yield pa.RecordBatch.from_arrays([batch.column("job_id").take(pa.array(row[kept])), sequences, pa.array(np.ones(len(kept), dtype=np.int64)), pa.array(start), pa.array(start + GUIDE), pa.array(["+"] * n + ["-"] * (len(kept) - n), pa.string())], names=schema.names)
+
+    schema = StructType([StructField("job_id", jobs.schema["job_id"].dataType), StructField("sequence", StringType()), *(StructField(c, LongType()) for c in ("cnt", "start", "end")), StructField("strand", StringType())])
+    return in_arrow(rows.filter(alone).select("job_id", "sequence"), scan, schema).unionByName(unique_targets(scan_targets(rows.filter(~alone))))
 
 
 def number_targets(targets: DataFrame, block: int | None = BLOCK) -> DataFrame:
@@ -62,6 +96,6 @@ def number_targets(targets: DataFrame, block: int | None = BLOCK) -> DataFrame:
     return numbered.select("job_id", "target_id", "sequence", "cnt", "start", "end", "strand")
 
 
-def design_guides(jobs: DataFrame, block: int | None = BLOCK) -> DataFrame:
-    """Unique numbered guides of all jobs. jobs: (job_id, sequence)."""
-    return number_targets(unique_targets(scan_targets(jobs)), block)
+def design_guides(jobs: DataFrame, block: int | None = BLOCK, by_rows: bool = False) -> DataFrame:
+    """Unique numbered guides of all jobs. jobs: (job_id, sequence). by_rows: for many jobs, see unique_targets_by_rows."""
+    return number_targets(unique_targets_by_rows(jobs) if by_rows else unique_targets(scan_targets(jobs)), block)
