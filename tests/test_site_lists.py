@@ -61,7 +61,7 @@ def test_sequences_of_chunks_are_made_once(spark):
     assert plan.count("regexp_replace") == 1
 
 
-@pytest.mark.parametrize("name", ["sorted_sites", "written_sites"])
+@pytest.mark.parametrize("name", ["sorted_sites", "written_sites", "written_site_lists"])
 def test_queries_make_no_row_a_site_before_the_order(spark, monkeypatch, name):
     monkeypatch.setattr(sites, "extract_offtargets", lambda *_: pytest.fail("rows of sites"))
     assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count()
